@@ -41,3 +41,14 @@ def code_blocks(text: Column | str, width: int) -> Column:
     quadratic in the document length.
     """
     return F.regexp_extract_all(as_column(text), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+
+
+def commit_refs(text: Column | str) -> Column:
+    """Words that look like abbreviated or full commit hashes."""
+    words = F.regexp_extract_all(as_column(text), F.lit("[0-9A-Za-z_]+"), F.lit(0))
+    return F.filter(words, lambda w: w.rlike("^[0-9a-f]{7,40}$"))
+
+
+def is_patch(subject: Column | str) -> Column:
+    """Whether a message subject announces a patch."""
+    return as_column(subject).rlike(r"^\s*(\[PATCH|PATCH)")

@@ -6,7 +6,7 @@ partitioned Parquet tables of the session catalog.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def ensure_namespace(spark: SparkSession, namespace: str) -> None:
@@ -65,10 +65,9 @@ def merge_rows(updates: DataFrame, name: str, key: str, columns: list[str] | Non
     Parquet tables have no row-level operations: use :func:`corpusloom.operators.upsert.upsert` for them.
     """
     columns = columns or updates.columns
-    updates.createOrReplaceTempView("_updates")
-    sets = ", ".join(f"t.`{c}` = s.`{c}`" for c in columns if c != key)
-    names, values = ", ".join(f"`{c}`" for c in columns), ", ".join(f"s.`{c}`" for c in columns)
-    updates.sparkSession.sql(
-        f"MERGE INTO {name} t USING _updates s ON t.`{key}` = s.`{key}` "
-        f"WHEN MATCHED THEN UPDATE SET {sets} WHEN NOT MATCHED THEN INSERT ({names}) VALUES ({values})"
+    values = {c: F.col(f"s.{c}") for c in columns}
+    changed = {c: v for c, v in values.items() if c != key}
+    (
+        updates.alias("s").mergeInto(name, F.col(f"{name}.{key}") == F.col(f"s.{key}"))
+        .whenMatched().update(changed).whenNotMatched().insert(values).merge()
     )
