@@ -20,16 +20,15 @@ def row_hash(text: Column | str, algorithm: str = "md5") -> Column:
     return F.md5(text) if algorithm == "md5" else F.sha2(text, 256)
 
 
-def word_sums(text: Column | str, algorithm: str = "md5", where: Column | None = None) -> list[Column]:
-    """Aggregate columns ``w0, w1, ...``: the word sums over rows (over rows matching ``where``)."""
-    digest = row_hash(text, algorithm)
-    sums = []
-    for i in range(_WIDTH[algorithm]):
-        word = F.conv(F.substring(digest, 4 * i + 1, 4), 16, 10).cast("long")
-        if where is not None:
-            word = F.when(where, word)
-        sums.append(F.coalesce(F.sum(word), F.lit(0)).alias(f"w{i}"))
-    return sums
+def word_sums(digest: str, algorithm: str = "md5") -> list[Column]:
+    """Aggregate columns ``w0, w1, ...``: the word sums over the column of :func:`row_hash` values named ``digest``.
+
+    Hash in a column of its own before aggregating, or the text is hashed once per word. Null digests do not count.
+    """
+    return [
+        F.coalesce(F.sum(F.conv(F.substring(digest, 4 * i + 1, 4), 16, 10).cast("long")), F.lit(0)).alias(f"w{i}")
+        for i in range(_WIDTH[algorithm])
+    ]
 
 
 def fold(count: Column | str, algorithm: str = "md5") -> Column:

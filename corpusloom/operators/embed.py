@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from typing import Protocol
 
 import numpy as np
@@ -23,22 +23,29 @@ class Encoder(Protocol):
 _TOKEN = re.compile("[a-z0-9]+")
 
 
-@lru_cache(maxsize=1 << 16)
-def _hash(token: str) -> int:
-    return int(hashlib.md5(token.encode()).hexdigest()[:8], 16)
-
-
 class HashingEncoder:
     """Offline default encoder: token counts hashed into ``dimensions`` buckets, scaled to unit length."""
 
-    def __init__(self, dimensions: int = 64):
+    def __init__(self, dimensions: int = 64, cached_tokens: int = 1 << 18):
         self.dimensions = dimensions
+        self.cached_tokens = cached_tokens
+        self._buckets: dict[str, int] = {}
+
+    def _bucket(self, token: str) -> int:
+        found = self._buckets.get(token)
+        if found is None:
+            found = int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % self.dimensions
+            if len(self._buckets) < self.cached_tokens:
+                self._buckets[token] = found
+        return found
 
     def encode(self, texts: list[str]) -> np.ndarray:
         vectors = np.zeros((len(texts), self.dimensions))
         for row, text in zip(vectors, texts):
-            buckets = [_hash(token) % self.dimensions for token in _TOKEN.findall(text.lower())]
-            row += np.bincount(buckets, minlength=self.dimensions) if buckets else 0
+            counts = Counter(_TOKEN.findall(text.lower()))
+            if counts:
+                buckets = [self._bucket(token) for token in counts]
+                row += np.bincount(buckets, weights=list(counts.values()), minlength=self.dimensions)
         norms = np.linalg.norm(vectors, axis=1, keepdims=True)
         return np.divide(vectors, norms, out=vectors, where=norms > 0).astype(np.float32)
 

@@ -108,19 +108,29 @@ def with_parent(items: DataFrame, columns: list[str]) -> DataFrame:
     return join_on_hot_key(items.where(F.col("parent").isNotNull()), parents, "parent")
 
 
-def item_depths(items: DataFrame, max_depth: int = 100) -> DataFrame:
-    """Depth of every item below its root: (id, root, depth), one join per level."""
-    narrow = items.select("id", "parent")
-    level = narrow.where(F.col("parent").isNull()).select("id", F.col("id").alias("root"), F.lit(0).alias("depth"))
-    level = cut_lineage(level)
-    reached = level
-    for depth in range(1, max_depth + 1):
-        above = level.select(F.col("id").alias("parent"), "root")
-        level = cut_lineage(
-            join_on_hot_key(narrow.where(F.col("parent").isNotNull()), above, "parent")
-            .select("id", "root", F.lit(depth).alias("depth"))
-        )
-        if level.isEmpty():
+def item_depths(items: DataFrame, max_rounds: int = 40) -> DataFrame:
+    """Root and depth of every item that descends from a root: (id, root, depth).
+
+    Every round doubles the distance each item has looked upwards, so a thread ``n`` levels deep takes ``log2(n)``
+    rounds, and only unfinished items take part. Items below a missing parent or in a cycle have no root and are
+    left out.
+    """
+    is_root = F.col("parent").isNull()
+    steps = cut_lineage(items.select(
+        "id", F.coalesce("parent", "id").alias("up"), F.when(is_root, 0).otherwise(1).cast("long").alias("depth"),
+        is_root.alias("done"),
+    ))
+    open_items = None
+    for _ in range(max_rounds):
+        still_open = steps.where(~F.col("done")).count()
+        if not still_open or still_open == open_items:
             break
-        reached = reached.unionByName(level)
-    return reached
+        open_items = still_open
+        above = steps.select(
+            F.col("id").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("done").alias("_done")
+        )
+        moved = join_on_hot_key(steps.where(~F.col("done")).drop("done"), above, "up").select(
+            "id", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_done").alias("done")
+        )
+        steps = cut_lineage(steps.where("done").unionByName(moved))
+    return steps.where("done").select("id", F.col("up").alias("root"), F.col("depth").cast("int").alias("depth"))

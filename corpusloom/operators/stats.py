@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.functions.digest import fold, word_sums
+from corpusloom.functions.digest import fold, row_hash, word_sums
 from corpusloom.functions.text import rounded_int
 from corpusloom.operators.chunk import grid_spans
 
@@ -33,8 +33,8 @@ def metadata_sidecar(docs: DataFrame, dataset: str, version: str, source: str, l
 
 def content_checksum(df: DataFrame, text: str, algorithm: str = "md5") -> DataFrame:
     """One row ``(row_count, content_checksum)``, independent of row order and partitioning."""
-    present = F.col(text).isNotNull()
-    sums = df.agg(F.count_if(present).alias("row_count"), *word_sums(text, algorithm))
+    digests = df.select(row_hash(text, algorithm).alias("_h"))
+    sums = digests.agg(F.count("_h").alias("row_count"), *word_sums("_h", algorithm))
     return sums.select("row_count", fold("row_count", algorithm).alias("content_checksum"))
 
 
@@ -48,11 +48,12 @@ def grid_manifest(
     """
     spans = grid_spans(docs.select(text), text, size, overlap, outer=True)
     piece = F.col("_chunk.chunk_content")
-    kept = F.length(piece) > min_chars
-    first = F.coalesce(F.col("_chunk.chunk_index"), F.lit(0)) == 0
-    sums = spans.agg(
-        F.count_if(first).alias("document_count"), F.count_if(kept).alias("chunk_count"),
-        *word_sums(piece, where=kept),
+    rows = spans.select(
+        (F.coalesce(F.col("_chunk.chunk_index"), F.lit(0)) == 0).alias("_first"),
+        F.when(F.length(piece) > min_chars, row_hash(piece)).alias("_h"),
+    )
+    sums = rows.agg(
+        F.count_if("_first").alias("document_count"), F.count("_h").alias("chunk_count"), *word_sums("_h")
     )
     return sums.select(
         F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), "document_count", "chunk_count",

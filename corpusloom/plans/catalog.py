@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.session import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,3 +30,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def wide_table(spark: SparkSession, folder: str, name: str, key: str, *columns: str) -> DataFrame:
+    """Selected columns of a table whose rows are expensive to process, spread over all cores when it is small."""
+    return spread(table(spark, folder, name).select(key, *columns), key)

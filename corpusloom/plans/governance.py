@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import govern, registry
 from corpusloom.plans import inputs
-from corpusloom.plans.catalog import query, table
+from corpusloom.plans.catalog import query, table, wide_table
 
 D, M, KEY = inputs.DOCUMENTS_SQL, inputs.MANIFESTS_SQL, inputs.VERSION_KEY_SQL
 
@@ -93,7 +93,7 @@ def dataset_health(spark, folder):
 
 @query("license_detect", f"SELECT doc_id, {inputs.LICENSE_SQL} AS license FROM documents")
 def license_detect(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text")
     return docs.select("doc_id", govern.detect_license("text").alias("license"))
 
 
@@ -104,7 +104,7 @@ def license_detect(spark, folder):
   FROM d LEFT JOIN p ON license = spdx
 """)
 def license_policy(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text", "lang")
     named = F.when(F.col("lang") == "fr", "Proprietary").otherwise(F.coalesce(govern.detect_license("text"), F.lit("MIT")))
     return govern.license_policy(docs.select("doc_id", named.alias("license")))
 
@@ -130,7 +130,7 @@ def _scrub_sql() -> str:
 
 @query("pii_scrub", _scrub_sql())
 def pii_scrub(spark, folder):
-    rows = govern.scrub_personal_data(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    rows = govern.scrub_personal_data(wide_table(spark, folder, "documents", "doc_id", "text"), "text")
     return rows.select("doc_id", "email_hits", "ip_hits", "phone_hits", "text")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.clean import crawl_rows_from_pages
 from corpusloom.operators.govern import LICENSE_PHRASES, detect_license
-from corpusloom.plans.catalog import table
+from corpusloom.plans.catalog import table, wide_table
 
 
 def raw_crawl(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,7 +18,7 @@ def raw_crawl(spark: SparkSession, folder: str) -> DataFrame:
     )
     start = F.lit("2024-12-01 00:00:00").cast("timestamp_ntz")
     crawled = start + F.make_dt_interval(secs=F.col("page_id").cast("decimal(18,6)"))
-    return crawl_rows_from_pages(table(spark, folder, "pages"), crawled, metadata)
+    return crawl_rows_from_pages(wide_table(spark, folder, "pages", "page_id", "url", "html"), crawled, metadata)
 
 
 RAW_CRAWL_SQL = """
@@ -32,7 +32,7 @@ RAW_CRAWL_SQL = """
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The document table: string id, address, content, license found in the text (MIT when none), language."""
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text", "lang", "source")
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("source_url"),

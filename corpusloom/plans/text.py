@@ -9,7 +9,7 @@ from corpusloom.functions.text import commit_refs as find_commit_refs, is_patch
 from corpusloom.functions.urls import canonical_url
 from corpusloom.operators import chunk, clean, graph, html, stats
 from corpusloom.plans import inputs
-from corpusloom.plans.catalog import query, table
+from corpusloom.plans.catalog import query, table, wide_table
 
 D = inputs.DOCUMENTS_SQL
 
@@ -42,7 +42,7 @@ def chunk_grid(spark, folder):
 """)
 def chunk_udtf_rule(spark, folder):
     chunks = chunk.chunk_documents(
-        table(spark, folder, "documents"), "window", 300, 60, doc_id="doc_id", text="text"
+        wide_table(spark, folder, "documents", "doc_id", "text"), "window", 300, 60, doc_id="doc_id", text="text"
     )
     return chunks.select("doc_id", "chunk_index", "chunk_content")
 
@@ -55,7 +55,7 @@ def chunk_udtf_rule(spark, folder):
 """)
 def chunk_udtf_lateral(spark, folder):
     chunk.register_chunk_text(spark)
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text")
     return spark.sql(
         "SELECT d.doc_id, c.chunk_index, c.chunk_content FROM {docs} d, LATERAL chunk_text(d.text, 1000, 200) c",
         docs=docs,
@@ -122,7 +122,7 @@ def sentence_sql(size: int, overlap: int, least: int) -> str:
 
 
 def _chunks(spark, folder, strategy, size, overlap):
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text")
     return chunk.chunk_documents(docs, strategy, size, overlap, 50, doc_id="doc_id", text="text")
 
 
@@ -222,7 +222,7 @@ def _decoded(expression: str) -> str:
   FROM pages
 """)
 def page_extract(spark, folder):
-    return html.extract_pages(table(spark, folder, "pages")).select("page_id", "url", "title", "content")
+    return html.extract_pages(wide_table(spark, folder, "pages", "page_id", "url", "html")).select("page_id", "url", "title", "content")
 
 
 @query("page_titles", "SELECT page_id, regexp_extract(html, '(?is)<title>(.*?)</title>', 1) AS title FROM pages")
@@ -242,13 +242,13 @@ LINKS_SQL = f"""
 
 @query("page_links", LINKS_SQL)
 def page_links(spark, folder):
-    return html.page_links(table(spark, folder, "pages"), strip_regions=False)
+    return html.page_links(wide_table(spark, folder, "pages", "page_id", "url", "html"), strip_regions=False)
 
 
 @query("link_filter", f"SELECT * FROM ({LINKS_SQL}) WHERE regexp_matches(link, '/th[a-z]+$')")
 def link_filter(spark, folder):
     return html.page_links(
-        table(spark, folder, "pages"), strip_regions=False, where=F.col("link").rlike("/th[a-z]+$")
+        wide_table(spark, folder, "pages", "page_id", "url", "html"), strip_regions=False, where=F.col("link").rlike("/th[a-z]+$")
     )
 
 
@@ -260,7 +260,7 @@ def link_filter(spark, folder):
   WHERE contains(href, '/an')
 """)
 def list_page_links(spark, folder):
-    return html.list_page_links(table(spark, folder, "pages"), needle="/an")
+    return html.list_page_links(wide_table(spark, folder, "pages", "page_id", "url", "html"), needle="/an")
 
 
 def _canonical(url: str) -> str:
@@ -312,7 +312,7 @@ def message_extract(spark, folder):
         F.lit("<html><head><title>Archive</title></head><body><h1> Re: topic "), conv, F.lit("</h1><table>"), header,
         F.lit("</table><p>quoted<pre>"), _escaped(F.col("text")), F.lit("</pre></body></html>"),
     )
-    pages = table(spark, folder, "conversations").select(
+    pages = wide_table(spark, folder, "conversations", "conv_id", "turn", "role", "text").select(
         F.concat(F.lit("https://archive.example.org/message-id/"), conv, F.lit("-"), turn).alias("url"),
         page.alias("html"),
     )
@@ -355,7 +355,7 @@ def parse_dates(spark, folder):
   FROM documents
 """)
 def commit_refs(spark, folder):
-    docs = table(spark, folder, "documents")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text")
     return docs.select("doc_id", F.explode(find_commit_refs("text")).alias("commit_ref"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.vectors import cosine, to_matrix
 from corpusloom.operators import embed, search
 from corpusloom.plans import inputs
-from corpusloom.plans.catalog import query, table
+from corpusloom.plans.catalog import query, table, wide_table
 
 # A query vector, as a client would send it: 64 numbers from a rule.
 QUERY = [((i * 37) % 64 - 31.5) / 64.0 for i in range(64)]
@@ -137,7 +137,7 @@ def knn_ivf(spark, folder):
   SELECT doc_id, bucket, round((c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE, 6) AS weight FROM b
 """)
 def embed_hash(spark, folder):
-    docs = table(spark, folder, "documents").select("doc_id", "text")
+    docs = wide_table(spark, folder, "documents", "doc_id", "text")
     vectors = embed.embed_chunks(docs, text="text")
     cells = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "weight")).where(F.col("weight") != 0)
     return cells.select("doc_id", "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight"))

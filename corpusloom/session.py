@@ -52,6 +52,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Inputs of more splits than this are never redistributed: moving them would cost more than idle cores do.
+_FEW_SPLITS = 16
+
+
+def spread(scan: DataFrame, *keys: str) -> DataFrame:
+    """Distribute a small scan over all cores before expensive per-row work.
+
+    A file of a single row group is one task however many cores there are. Scans of many splits, and scans that
+    already have a split per core, are returned unchanged. Pass a plain scan: its plan is inspected.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    return scan.repartition(cores, *keys) if splits < min(cores, _FEW_SPLITS) else scan
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably so that loops neither replay their history nor lose data with an executor."""
     spark = df.sparkSession

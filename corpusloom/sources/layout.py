@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
 
-from corpusloom.functions.digest import fold, word_sums
+from corpusloom.functions.digest import fold, row_hash, word_sums
 from corpusloom.functions.versions import version_key
 from corpusloom.schemas import MANIFEST
 
@@ -43,9 +43,11 @@ def write_version(
     seen = Observation("write_version")
     measures = [F.count(F.lit(1)).alias("row_count")]
     if checksum_of:
-        measures += [F.count_if(F.col(checksum_of).isNotNull()).alias("texts"), *word_sums(checksum_of)]
+        measures += [F.count("_h").alias("texts"), *word_sums("_h")]
+        watched = df.withColumn("_h", row_hash(checksum_of)).observe(seen, *measures).drop("_h")
+    else:
+        watched = df.observe(seen, *measures)
     path = version_path(root, table, dataset, version)
-    watched = df.observe(seen, *measures)
     watched.write.mode("errorifexists").option("compression", compression).parquet(path)
     measured = seen.get
 
