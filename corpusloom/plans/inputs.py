@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusloom.operators.clean import crawl_rows_from_pages
 from corpusloom.operators.govern import LICENSE_PHRASES, detect_license
 from corpusloom.plans.catalog import table, wide_table
+from corpusloom.session import spread
 
 
 def raw_crawl(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,9 +31,11 @@ RAW_CRAWL_SQL = """
 """
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
+def documents(spark: SparkSession, folder: str, spread_rows: bool = True) -> DataFrame:
     """The document table: string id, address, content, license found in the text (MIT when none), language."""
-    docs = wide_table(spark, folder, "documents", "doc_id", "text", "lang", "source")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    if spread_rows:
+        docs = spread(docs, "doc_id")
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("source_url"),

@@ -84,8 +84,10 @@ def top_scored(spark, folder):
   FROM d WHERE license = 'MIT' ORDER BY content_length DESC, id LIMIT 10
 """)
 def longest_docs(spark, folder):
-    docs = inputs.documents(spark, folder).where(F.col("license") == "MIT")
-    sized = docs.select("id", "source_url", F.length("content").cast("long").alias("content_length"), "license")
+    docs = inputs.documents(spark, folder, spread_rows=False).where(F.col("license") == "MIT")
+    sized = docs.select(
+        "id", "source_url", F.length("content").cast("long").alias("content_length"), F.lit("MIT").alias("license")
+    )
     return sized.orderBy(F.col("content_length").desc(), "id").limit(10)
 
 

@@ -139,7 +139,9 @@ def knn_ivf(spark, folder):
 def embed_hash(spark, folder):
     docs = wide_table(spark, folder, "documents", "doc_id", "text")
     vectors = embed.embed_chunks(docs, text="text")
-    cells = vectors.select("doc_id", F.posexplode("embedding").alias("bucket", "weight")).where(F.col("weight") != 0)
+    # The outer form: for the inner one Spark adds a filter on the array, which would run the encoder twice.
+    cells = vectors.select("doc_id", F.posexplode_outer("embedding").alias("bucket", "weight"))
+    cells = cells.where(F.col("weight") != 0)
     return cells.select("doc_id", "bucket", F.round(F.col("weight").cast("double"), 6).alias("weight"))
 
 

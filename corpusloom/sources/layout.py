@@ -1,9 +1,9 @@
 """Versioned dataset folders.
 
-``<root>/<table>/dataset=<d>/version=<v>/`` holds the Parquet files of one table of one version and
-``<root>/manifest/dataset=<d>/version=<v>/`` its manifests, one folder per table. A version is written once and never
-changed; the manifest is written after the data, so a version without manifest is not complete. Listings read
-manifests only, one small file per version, and never touch the data.
+``<root>/<table>/dataset=<d>/version=<v>/`` holds the Parquet files of one table of one version. ``<root>/manifest/``
+holds JSON lines, one per version and table, that are only ever added to. A version is written once and never changed;
+its manifest line is written after the data, so a version without one is not complete. Listings read manifests only
+and never touch the data.
 """
 
 from __future__ import annotations
@@ -65,8 +65,7 @@ def write_version(
         F.lit(chunk_size).cast("int").alias("chunk_size"), F.lit(chunk_overlap).cast("int").alias("chunk_overlap"),
         checksum.alias("content_checksum"), F.current_timestamp().alias("created_at"),
     )
-    target = f"{version_path(root, 'manifest', dataset, version)}/table={table}"
-    manifest.drop("dataset", "version", "table").coalesce(1).write.mode("errorifexists").json(target)
+    manifest.coalesce(1).write.mode("append").json(f"{root}/manifest")
     return manifest
 
 
@@ -89,7 +88,7 @@ def write_versions(df: DataFrame, root: str, table: str, compression: str = "zst
         F.array(*[F.lit(c) for c in columns]).alias("columns"), F.lit(compression).alias("compression"),
         F.current_timestamp().alias("created_at"),
     )
-    manifests.write.mode("append").partitionBy("dataset", "version", "table").json(f"{root}/manifest")
+    manifests.write.mode("append").json(f"{root}/manifest")
 
 
 def read_manifests(spark: SparkSession, root: str) -> DataFrame:
@@ -98,8 +97,9 @@ def read_manifests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, root: str, dataset: str, version: str, table: str) -> DataFrame:
-    path = f"{version_path(root, 'manifest', dataset, version)}/table={table}"
-    return spark.read.option("basePath", f"{root}/manifest").schema(MANIFEST).json(path)
+    return read_manifests(spark, root).where(
+        (F.col("dataset") == dataset) & (F.col("version") == version) & (F.col("table") == table)
+    )
 
 
 def resolve_version(spark: SparkSession, root: str, dataset: str, version: str = "latest") -> str:
