@@ -90,9 +90,8 @@ def grid_spans(docs: DataFrame, text: str, size: int, overlap: int, outer: bool
             (i * step + F.length(content)).alias("end_char"),
         )
 
-    cut = code_blocks(text, step)
     # An empty text still has its first, empty window.
-    cut = F.when(F.size(cut) == 0, F.array(F.lit(""))).otherwise(cut)
+    cut = F.when(F.col(text) == "", F.array(F.lit(""))).otherwise(code_blocks(text, step))
     explode = F.explode_outer if outer else F.explode
     return docs.withColumn("_blocks", cut).withColumn("_chunk", explode(F.transform(blocks, span))).drop("_blocks")
 

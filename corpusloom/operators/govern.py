@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpusloom.operators.skew import BROADCAST_ROWS, join_on_hot_key
+from corpusloom.operators.skew import BROADCAST_ROWS, broadcast_if_small, join_unique
 
 # License name, SPDX id, commercial use, attribution.
 LICENSES = (
@@ -28,7 +28,7 @@ LICENSE_PHRASES = (
 
 # Fixed patterns of personal data, replaced in this order.
 PERSONAL = (
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+([.][A-Za-z0-9-]+)+", "[EMAIL]"),
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9][A-Za-z0-9.-]*[.][A-Za-z0-9-]+", "[EMAIL]"),
     ("ip", r"[0-9]{1,3}([.][0-9]{1,3}){3}", "[IP]"),
     ("phone", r"[+]?[0-9]{1,3}[-. ][(]?[0-9]{2,4}[)]?[-. ][0-9]{3,4}([-. ][0-9]{2,4})?", "[PHONE]"),
 )
@@ -88,7 +88,7 @@ def scrub_personal_data(rows: DataFrame, text: str) -> DataFrame:
 def content_filter(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Documents that no label row calls toxic or of low quality; unlabelled documents pass."""
     bad = labels.where((F.col("toxic") == 1) | (F.col("quality") == 0)).select(key).distinct()
-    return docs.join(bad, key, "left_anti")
+    return docs.join(broadcast_if_small(bad), key, "left_anti")
 
 
 def without_takedowns(
@@ -96,10 +96,7 @@ def without_takedowns(
 ) -> DataFrame:
     """Rows whose key is not on the takedown list. A short list (counted) is broadcast; a long one is joined so that
     a source with very many rows stays spread out."""
-    listed = takedowns.select(key).distinct()
-    if listed.limit(max_broadcast + 1).count() <= max_broadcast:
-        return rows.join(F.broadcast(listed), key, "left_anti")
-    return join_on_hot_key(rows, listed, key, "left_anti")
+    return join_unique(rows, takedowns.select(key).distinct(), key, "left_anti", max_broadcast)
 
 
 def constraint_report(rows: DataFrame, key: str, required: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.urls import canonical_url
 from corpusloom.operators.html import page_links
-from corpusloom.operators.skew import join_on_hot_key
+from corpusloom.operators.skew import join_on_hot_key, join_unique
 from corpusloom.session import cut_lineage
 
 
@@ -41,10 +41,11 @@ def crawl_order(
     could not be fetched.
     """
     spark = pages.sparkSession
-    # Rows of the same canonical URL are one page; keep the smallest URL.
-    stored = pages.groupBy(canonical_url("url").alias("canonical")).agg(
-        F.min(F.struct("url", "html")).alias("_p")
-    ).select("canonical", F.col("_p.url").alias("url"), F.col("_p.html").alias("html"))
+    # Of several URLs with the same canonical form the smallest stands for the page.
+    chosen = pages.groupBy(canonical_url("url").alias("source")).agg(F.min("url").alias("page_url"))
+    # Links are extracted once; the walk itself only sees this narrow table.
+    links = page_links(pages, strip_regions=strip_regions, where=url_filter).join(chosen, "page_url")
+    links = cut_lineage(links.select("source", "position", "link", canonical_url("link").alias("canonical")))
 
     seeds = spark.createDataFrame([(u, i) for i, u in enumerate(start_urls)], "link string, position long")
     targets = seeds.groupBy(canonical_url("link").alias("canonical")).agg(
@@ -59,12 +60,10 @@ def crawl_order(
         if not found or count >= max_pages or (max_depth is not None and depth >= max_depth):
             return visited
         depth += 1
-        here = level.select("canonical", F.col("place").alias("parent")).join(stored, "canonical")
-        links = page_links(here, strip_regions=strip_regions, where=url_filter, keep=("parent",))
+        here = level.select(F.col("canonical").alias("source"), F.col("place").alias("parent"))
         rank = F.struct("parent", "position")
-        targets = links.groupBy(canonical_url("link").alias("canonical")).agg(
-            F.min(rank).alias("rank"), F.min_by("link", rank).alias("link")
-        )
+        onward = join_unique(links, here, "source")
+        targets = onward.groupBy("canonical").agg(F.min(rank).alias("rank"), F.min_by("link", rank).alias("link"))
         targets = targets.join(visited.select("canonical"), "canonical", "left_anti")
 
 

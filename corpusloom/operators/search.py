@@ -6,19 +6,23 @@ and only those rows are shuffled. No pair of rows is ever materialised.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from corpusloom.functions.vectors import RANK_DIGITS, cosine_to, nearest_row, to_matrix, unit_rows
 from corpusloom.operators.skew import BROADCAST_ROWS
+from corpusloom.session import scratch_path
 
 # Bytes of query vectors sent to the executors at a time; more queries take more passes over the corpus.
 QUERY_BYTES = 64 << 20
 
+Passes = tuple[int, Iterator[tuple[pa.Array, np.ndarray]]]
+Scan = Callable[[pa.Array, np.ndarray], tuple[DataFrame, object]]
+
 # Query rows scored against one Arrow batch at a time.
 _SLAB = 256
 
@@ -30,15 +34,16 @@ def search(
     licenses: list[str] | None = None,
     chunk_id: str = "chunk_id",
     vector: str = "embedding",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The ``k`` chunks most similar to one query vector: (chunk_id, similarity), best first.
+    """The ``k`` chunks most similar to one query vector: (chunk_id, <keep>, similarity), best first.
 
-    ``licenses`` is pushed to the scan; None means all. Only the id and the vector are read; use :func:`hydrate` for
-    the content of the hits.
+    ``licenses`` is pushed to the scan; None means all. Only the id, the vector and the ``keep`` columns are read: keep
+    short columns, and use :func:`hydrate` for the content of the hits.
     """
     if licenses is not None:
         corpus = corpus.where(F.col("license").isin(licenses))
-    scored = corpus.select(F.col(chunk_id), cosine_to(vector, query).alias("similarity"))
+    scored = corpus.select(F.col(chunk_id), *keep, cosine_to(vector, query).alias("similarity"))
     order = F.round("similarity", RANK_DIGITS).desc_nulls_last()
     return scored.orderBy(order, F.col(chunk_id)).limit(k)
 
@@ -81,21 +86,18 @@ def search_many(
 ) -> DataFrame:
     """Exact top ``k`` per query row: (query_id, chunk_id, similarity, rank).
 
-    The queries are counted first (an action) and sent in as many passes as ``query_bytes`` demands.
+    The queries are counted first (an action). Up to ``query_bytes`` of them are sent at once; more take several passes
+    over the corpus, each of which stores its finished results before the next begins.
     """
-    passes = _query_passes(queries, query_id, query_vector, query_bytes)
     spark = corpus.sparkSession
     shape = _candidate_schema(queries, query_id, corpus, chunk_id)
-    best = None
-    for ids, matrix in passes:
+
+    def scan(ids: pa.Array, matrix: np.ndarray) -> tuple[DataFrame, object]:
         shared = spark.sparkContext.broadcast((ids, matrix))
-        found = corpus.select(chunk_id, vector).mapInArrow(
-            _best_per_task(shared, shape, k + exclude_self), schema=shape
-        )
-        best = found if best is None else best.unionByName(found)
-    if best is None:
-        best = spark.createDataFrame([], shape)
-    return _top(best, k, query_id, chunk_id, exclude_self)
+        best = corpus.select(chunk_id, vector).mapInArrow(_best_per_task(shared, shape, k + exclude_self), schema=shape)
+        return _top(best, k, query_id, chunk_id, exclude_self), shared
+
+    return _run_passes(spark, _query_passes(queries, query_id, query_vector, query_bytes), scan, shape)
 
 
 def assign_cells(corpus: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
@@ -151,33 +153,51 @@ def search_cells(
     spark = cells.sparkSession
     shape = _candidate_schema(queries, query_id, cells, chunk_id)
     goals = unit_rows(np.asarray(centroids, dtype=np.float64))
-    best = None
-    for ids, matrix in _query_passes(queries, query_id, query_vector, query_bytes):
+
+    def scan(ids: pa.Array, matrix: np.ndarray) -> tuple[DataFrame, object]:
         scores = np.round(matrix @ goals.T, RANK_DIGITS)
         probed = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
         visits = {int(c): np.flatnonzero((probed == c).any(axis=1)) for c in np.unique(probed)}
         shared = spark.sparkContext.broadcast((ids, matrix, visits))
         near = cells.where(F.col("cell").isin(sorted(visits))).select(chunk_id, vector, "cell")
-        found = near.mapInArrow(_best_per_task(shared, shape, k), schema=shape)
-        best = found if best is None else best.unionByName(found)
-    if best is None:
-        best = spark.createDataFrame([], shape)
-    return _top(best, k, query_id, chunk_id, exclude_self=False)
-
-
-def _query_passes(queries: DataFrame, query_id: str, query_vector: str, budget: int):
-    """Yield (ids, unit matrix) per pass; one pass never exceeds about ``budget`` bytes of vectors."""
+        best = near.mapInArrow(_best_per_task(shared, shape, k), schema=shape)
+        return _top(best, k, query_id, chunk_id, exclude_self=False), shared
+
+    return _run_passes(spark, _query_passes(queries, query_id, query_vector, query_bytes), scan, shape)
+
+
+def _run_passes(spark: SparkSession, passes: Passes, scan: Scan, shape: T.StructType) -> DataFrame:
+    """Result of all passes. A single pass stays lazy. Of several, each is written to shared storage and its queries
+    are dropped from the executors before the next, so neither memory nor the plan grows with their number."""
+    total, parts = passes
+    if total <= 1:
+        for ids, matrix in parts:
+            return scan(ids, matrix)[0]
+        return spark.createDataFrame([], shape).withColumn("rank", F.lit(0))
+    path = scratch_path(spark, "search")
+    spark.createDataFrame([], shape).withColumn("rank", F.lit(0)).write.parquet(path)
+    for ids, matrix in parts:
+        found, shared = scan(ids, matrix)
+        found.write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.parquet(path)
+
+
+def _query_passes(queries: DataFrame, query_id: str, query_vector: str, budget: int) -> Passes:
+    """Number of passes and, lazily, the (ids, unit matrix) of each: about ``budget`` bytes of vectors at most."""
     queries = queries.select(query_id, F.col(query_vector).cast("array<double>").alias(query_vector))
     size, width = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
-    if not size:
-        return
-    passes = -(-size * width * 8 // budget)
-    number = F.pmod(F.xxhash64(query_id), F.lit(passes))
-    for i in range(passes):
-        part = (queries if passes == 1 else queries.where(number == i)).toArrow()
-        if part.num_rows:
-            vectors = part.column(query_vector).combine_chunks()
-            yield part.column(query_id).combine_chunks(), unit_rows(to_matrix(vectors, width))
+    total = -(-size * (width or 0) * 8 // budget)
+    number = F.pmod(F.xxhash64(query_id), F.lit(max(total, 1)))
+
+    def parts() -> Iterator[tuple[pa.Array, np.ndarray]]:
+        for i in range(total):
+            part = (queries if total == 1 else queries.where(number == i)).toArrow()
+            if part.num_rows:
+                vectors = part.column(query_vector).combine_chunks()
+                yield part.column(query_id).combine_chunks(), unit_rows(to_matrix(vectors, width))
+
+    return total, parts()
 
 
 def _candidate_schema(queries: DataFrame, query_id: str, corpus: DataFrame, chunk_id: str) -> T.StructType:

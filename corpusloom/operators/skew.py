@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from corpusloom.session import cut_lineage
+
 # Rows a side may have before it is no longer broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -35,22 +37,39 @@ def latest_per_key(
     return merged.select(*[F.col(sources.get(c, c)).alias(c) for c in df.columns])
 
 
+def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000) -> DataFrame:
+    """Keys that hold more than ``1 / max_hot_keys`` of the rows of ``df``, hence fewer than ``max_hot_keys`` of them.
+
+    Runs one narrow aggregation and stores its small result.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return cut_lineage(counts.where(F.col("_n") * max_hot_keys > total).select(F.col(key).alias("_hot")))
+
+
 def join_on_hot_key(
     left: DataFrame, right: DataFrame, key: str, how: str = "inner", max_hot_keys: int = 1000
 ) -> DataFrame:
     """Equi-join where ``right`` is unique on ``key`` and ``left`` may hold very many rows of one key.
 
-    A key is hot when it has more than ``1 / max_hot_keys`` of the left rows, so fewer than ``max_hot_keys`` keys
-    can be hot and their right rows are safe to broadcast. Hot rows of ``left`` join in place and are never
-    shuffled; the rest joins through an ordinary shuffle, now without any dominant key.
+    There are fewer than ``max_hot_keys`` hot keys (see :func:`hot_keys`) and ``right`` has one row for each at most, so
+    those rows are safe to broadcast: hot rows of ``left`` join in place and are never shuffled. The rest joins
+    through an ordinary shuffle, now without any dominant key.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
-    counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = left.agg(F.count(F.lit(1))).scalar()
-    hot = counts.where(F.col("_n") * max_hot_keys > total).select(F.col(key).alias("_hot"))
-    hot = F.broadcast(hot)
+    hot = hot_keys(left, key, max_hot_keys)
+    if hot.isEmpty():
+        return left.join(right, key, how)
     is_hot = F.col(key) == F.col("_hot")
+    hot = F.broadcast(hot)
     hot_left = left.join(hot, is_hot, "left_semi")
     cold_left = left.join(hot, is_hot, "left_anti")
     hot_right = F.broadcast(right.join(hot, is_hot, "left_semi"))
     return hot_left.join(hot_right, key, how).unionByName(cold_left.join(right, key, how))
+
+
+def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Equi-join with a ``right`` that is unique on ``key``: broadcast while it is small (counted), else split by hot keys."""
+    if right.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(right), key, how)
+    return join_on_hot_key(left, right, key, how)

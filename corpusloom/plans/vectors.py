@@ -69,9 +69,8 @@ def hits_hydrate(spark, folder):
         F.col("doc_id").alias("chunk_id"), F.col("text").alias("content"),
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("source_url"),
     )
-    hits = _six(search.search(corpus, QUERY))
-    full = search.hydrate(hits, search.hydrate(hits.select("chunk_id"), corpus, 10).select("chunk_id", "license"), 10)
-    answer = search.search_response(search.hydrate(full, content, 10), corpus, "oss-docs", "v2024.12.1")
+    hits = _six(search.search(corpus, QUERY, 10, keep=("license",)))
+    answer = search.search_response(search.hydrate(hits, content, 10), corpus, "oss-docs", "v2024.12.1")
     return answer.select("chunk_id", "similarity", "license", "content", "source_url", "meta.*")
 
 
