@@ -61,7 +61,7 @@ def resolve_url(base: Column | str, href: Column | str) -> Column:
     return (
         F.when(href.rlike(_SCHEME), href)
         .when(href.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), href))
-        .when(href == "", without_fragment(base))
+        .when(href == "", base)
         .when(href.startswith("#"), F.concat(without_fragment(base), href))
         .when(href.startswith("?"), F.concat(page, href))
         .when(href.startswith("/"), F.concat(site, _tidy_path(target), extra))
