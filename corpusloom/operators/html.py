@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
+from corpusloom.functions.dates import message_time
 from corpusloom.functions.text import strip_space
 from corpusloom.functions.urls import canonical_url, is_same_site, resolve_url
 
@@ -227,8 +228,11 @@ _ARROW = {
 }
 
 
-def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Add title, content and same-site absolute links of each page.
+def extract_pages(
+    pages: DataFrame, html: str = "html", url: str = "url", status_code: Column | None = None,
+    content_type: Column | None = None,
+) -> DataFrame:
+    """Add title, content, same-site absolute links and response metadata of each page.
 
     Script, style, nav, footer and header elements are ignored. The title is the title element, else the first h1;
     the text is that of the first main, else article, else body element, one line per text node.
@@ -238,9 +242,14 @@ def extract_pages(pages: DataFrame, html: str = "html", url: str = "url") -> Dat
         F.filter("_page.links", lambda a: is_same_site(F.col(url), a["href"])),
         lambda a: resolve_url(F.col(url), a["href"]),
     )
+    unknown = F.lit(None)
+    metadata = F.struct(
+        (unknown if status_code is None else status_code).cast("int").alias("status_code"),
+        (unknown if content_type is None else content_type).cast("string").alias("content_type"),
+    )
     return parsed.select(
         *pages.columns, F.col("_page.title").alias("title"), F.col("_page.content").alias("content"),
-        links.alias("links"),
+        links.alias("links"), metadata.alias("metadata"),
     )
 
 
@@ -282,28 +291,42 @@ def list_page_links(pages: DataFrame, needle: str = "/message-id/", url: str = "
 
 def extract_messages(
     pages: DataFrame, html: str = "html", url: str = "url", list_name: str = "pgsql-hackers",
-    link_subject: str | None = None,
+    link_subject: str | None = None, missing: str | None = None,
 ) -> DataFrame:
     """Message archive pages to rows: id (last URL segment), message_id, subject, author, date, content, url, list_name.
 
-    ``link_subject`` names a column used where the page itself has no subject. Missing header fields are null.
+    ``link_subject`` names a column used where the page itself has no subject. Missing header fields are null, or
+    ``missing``.
     """
+
+    def header(name: str) -> Column:
+        return F.coalesce(F.col(f"_m.{name}"), F.lit(missing)).alias(name)
+
     parsed = pages.withColumn("_m", _parser(_Message, MESSAGE)(F.col(html)))
     subject = F.col("_m.subject")
     if link_subject:
         subject = F.coalesce(F.nullif(subject, F.lit("")), F.col(link_subject), F.lit(""))
     return parsed.select(
         F.element_at(F.split(url, "/"), -1).alias("id"),
-        F.col("_m.message_id").alias("message_id"),
+        header("message_id"),
         subject.alias("subject"),
-        F.col("_m.author").alias("author"),
-        F.col("_m.date").alias("date"),
+        header("author"),
+        header("date"),
         F.col("_m.content").alias("content"),
         F.col(url).alias("url"),
         F.lit(list_name).alias("list_name"),
     )
 
 
+def message_rows(messages: DataFrame, crawled_at: Column | None = None) -> DataFrame:
+    """Extracted messages in the layout of the messages table: dates parsed and threads keyed."""
+    return messages.select(
+        "id", "message_id", "subject", "author", "date", message_time("date").alias("date_parsed"), "content", "url",
+        thread_key("subject").alias("thread_id"), "list_name",
+        (F.current_timestamp().cast("timestamp_ntz") if crawled_at is None else crawled_at).alias("crawled_at"),
+    )
+
+
 def thread_key(subject: str) -> Column:
     """Thread id from the subject alone: reply and forward prefixes removed, lower-cased, hashed."""
     bare = F.regexp_replace(subject, r"(?i)^\s*((re|fwd?)\s*:\s*)+", "")

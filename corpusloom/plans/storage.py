@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusloom.operators import chunk
-from corpusloom.plans import inputs
+from corpusloom.plans import build, inputs
 from corpusloom.plans.catalog import query, table
 from corpusloom.plans.text import GRID_SQL
+from corpusloom.plans.vectors import QUERY_TEXT
 from corpusloom.schemas import RAW_CRAWL
 from corpusloom.session import scratch_path
 from corpusloom.sources import crawl, layout, tables
@@ -195,3 +196,63 @@ def incremental_upsert(spark, folder):
     stream = incremental.file_stream(spark, folder, schema, glob="events.parquet").select("user_id", "event_id", "value", "ts")
     incremental.upsert_new(stream, target, checkpoint, "user_id", order)
     return incremental.current_rows(spark, target, "user_id", order)
+
+
+# --- whole journeys -----------------------------------------------------------------------------------------------
+
+CLEANED_SQL = f"""
+  raw AS ({RAW}),
+  cleaned AS (SELECT DISTINCT ON (url) md5(url) AS id, url, regexp_replace(content, '<[^>]+>', '', 'g') AS content,
+                     coalesce(metadata->>'license', 'MIT') AS license, coalesce(metadata->>'author', 'Unknown') AS author
+              FROM raw WHERE content IS NOT NULL AND length(content) > 50 ORDER BY url, crawled_at DESC),
+  c AS (SELECT id, url, license, author, content, length(content) AS n, 0 AS i FROM cleaned
+        UNION ALL SELECT id, url, license, author, content, n, i + 1 FROM c WHERE (i + 1) * 800 < n),
+  k AS (SELECT id || '_' || i AS chunk_id, url, license, author, substr(content, i * 800 + 1, 1000) AS piece FROM c
+        WHERE length(substr(content, i * 800 + 1, 1000)) > 50)
+"""
+
+
+@query("build_version", f"""
+  WITH RECURSIVE {CLEANED_SQL}
+  SELECT 'Pipeline Complete' AS status, (SELECT count(*) FROM cleaned) AS documents, (SELECT count(*) FROM k) AS chunks,
+         'web' AS dataset, 'v2024.12.1' AS version
+""")
+def build_version(spark, folder):
+    """Stored pages all the way to documents, chunks, attributions and embeddings on disk."""
+    return build.build_version(inputs.raw_crawl(spark, folder), scratch_path(spark, "built"), "web", "v2024.12.1")
+
+
+@query("build_attributions", f"""
+  WITH RECURSIVE {CLEANED_SQL}
+  SELECT chunk_id AS record_id, url AS source_url, author, license,
+         author || ', ' || url || ' (' || license || ')' AS attribution_text
+  FROM k
+""")
+def build_attributions(spark, folder):
+    root = scratch_path(spark, "built")
+    build.build_version(inputs.raw_crawl(spark, folder), root, "web", "v2024.12.1", encoder=None)
+    return layout.read_version(spark, root, "attributions", "web").drop("dataset", "version")
+
+
+@query("search_version", f"""
+  WITH RECURSIVE {CLEANED_SQL},
+  everything AS (SELECT chunk_id, piece FROM k WHERE license = 'MIT' UNION ALL SELECT '?', '{QUERY_TEXT}'),
+  t AS (SELECT chunk_id, unnest(regexp_extract_all(lower(piece), '[a-z0-9]+')) AS token FROM everything),
+  b AS (SELECT chunk_id, ('0x' || substr(md5(token), 1, 8))::BIGINT % 64 AS bucket, count(*) AS n FROM t GROUP BY 1, 2),
+  v AS (SELECT chunk_id, bucket, (n / sqrt(sum(n * n) OVER (PARTITION BY chunk_id)))::FLOAT::DOUBLE AS w FROM b),
+  m AS (SELECT chunk_id, sqrt(sum(w * w)) AS norm FROM v GROUP BY 1),
+  s AS (SELECT a.chunk_id, round(sum(a.w * q.w) / (any_value(ma.norm) * any_value(mq.norm)), 12) AS sim
+        FROM v a JOIN v q ON q.chunk_id = '?' AND q.bucket = a.bucket JOIN m ma ON ma.chunk_id = a.chunk_id
+        JOIN m mq ON mq.chunk_id = '?' WHERE a.chunk_id <> '?' GROUP BY 1 ORDER BY sim DESC, a.chunk_id LIMIT 10)
+  SELECT chunk_id, piece AS content, url AS source_url, license, '{{}}' AS metadata, round(sim, 6) AS similarity,
+         'web' AS dataset, 'v2024.12.1' AS version, (SELECT count(*) FROM k) AS total_chunks
+  FROM s JOIN k USING (chunk_id)
+""")
+def search_version(spark, folder):
+    """A text searched in the latest version built from stored pages, with a license filter."""
+    root = scratch_path(spark, "built")
+    build.build_version(inputs.raw_crawl(spark, folder), root, "web", "v2024.12.1")
+    hits = build.search_version(spark, root, "web", QUERY_TEXT, licenses=["MIT"])
+    return hits.select(
+        "chunk_id", "content", "source_url", "license", "metadata", F.round("similarity", 6).alias("similarity"), "meta.*"
+    )

@@ -25,6 +25,14 @@ def ensure_table(
     return True
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def list_tables(spark: SparkSession, namespace: str) -> list[str]:
+    return [t.name for t in spark.catalog.listTables(namespace)]
+
+
 def _fitted(df: DataFrame, name: str) -> DataFrame:
     """Columns in table order, cast to the declared types; inserting goes by position."""
     schema = df.sparkSession.table(name).schema
