@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.urls import canonical_url
 from corpusloom.operators.html import page_links
-from corpusloom.operators.skew import join_on_hot_key, join_unique
+from corpusloom.operators.skew import join_on_hot_key, join_unique, without_keys
 from corpusloom.session import cut_lineage
 
 
@@ -23,7 +23,7 @@ def frontier_step(
     targets = links.groupBy(canonical_url("link").alias("canonical")).agg(
         F.min("link").alias("link"), F.count(F.lit(1)).alias("links")
     )
-    return targets.join(visited.select("canonical").distinct(), "canonical", "left_anti")
+    return without_keys(targets, visited.select("canonical").distinct(), "canonical")
 
 
 def crawl_order(
@@ -64,7 +64,7 @@ def crawl_order(
         rank = F.struct("parent", "position")
         onward = join_unique(links, here, "source")
         targets = onward.groupBy("canonical").agg(F.min(rank).alias("rank"), F.min_by("link", rank).alias("link"))
-        targets = targets.join(visited.select("canonical"), "canonical", "left_anti")
+        targets = without_keys(targets, visited, "canonical")
 
 
 def _next_places(targets: DataFrame, count: int, max_pages: int, depth: int) -> tuple[DataFrame, int]:
@@ -74,21 +74,19 @@ def _next_places(targets: DataFrame, count: int, max_pages: int, depth: int) ->
     """
     ordered = targets.orderBy("rank.parent", "rank.position", "canonical")
     ordered = cut_lineage(ordered.withColumn("_id", F.monotonically_increasing_id()))
-    partition = F.shiftright("_id", 33)
-    sizes = ordered.groupBy(partition.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
-    if not sizes:
-        return _level(ordered, F.lit(0).cast("long"), depth), 0
-    offsets, total = [], count
+    # The upper bits of the generated id are the partition, the lower 33 bits count within it.
+    ordered = ordered.withColumn("_part", F.shiftright("_id", 33))
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    total, offsets = count, []
     for row in sizes:
-        offsets += [F.lit(row["p"]), F.lit(total)]
+        offsets.append((row["_part"], total))
         total += row["n"]
-    within = F.col("_id") - F.shiftleft(partition, 33)
-    level = _level(ordered, F.element_at(F.create_map(*offsets), partition).cast("long") + within, depth)
-    return level.where(F.col("place") < max_pages), min(total, max_pages) - count
-
-
-def _level(ordered: DataFrame, place: Column, depth: int) -> DataFrame:
-    return ordered.select("canonical", F.col("link").alias("url"), F.lit(depth).alias("depth"), place.alias("place"))
+    starts = ordered.sparkSession.createDataFrame(offsets, "_part long, _start long")
+    numbered = ordered.join(F.broadcast(starts), "_part").select(
+        "canonical", F.col("link").alias("url"), F.lit(depth).alias("depth"),
+        (F.col("_start") + F.col("_id") - F.shiftleft("_part", 33)).alias("place"),
+    )
+    return numbered.where(F.col("place") < max_pages), min(total, max_pages) - count
 
 
 def item_children(items: DataFrame, kids: str = "kids") -> DataFrame:

@@ -6,6 +6,7 @@ a piece of text is in, so it runs a small streaming tag handler over Arrow batch
 
 from __future__ import annotations
 
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -37,6 +38,7 @@ class _Walker(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, object]] = []
+        self._names: Counter[str] = Counter()
         self._text: list[str] = []
 
     def walk(self, html: str):
@@ -44,9 +46,15 @@ class _Walker(HTMLParser):
         self.close()
         self._flush()
         while self.open:
-            self.left(*self.open.pop())
+            self._pop()
         return self
 
+    def _pop(self) -> str:
+        name, mark = self.open.pop()
+        self._names[name] -= 1
+        self.left(name, mark)
+        return name
+
     def handle_starttag(self, tag, attrs):
         self._flush()
         mark = self.entered(tag, dict(attrs))
@@ -54,6 +62,7 @@ class _Walker(HTMLParser):
             self.left(tag, mark)
         else:
             self.open.append((tag, mark))
+            self._names[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -62,12 +71,9 @@ class _Walker(HTMLParser):
 
     def handle_endtag(self, tag):
         self._flush()
-        if any(name == tag for name, _ in self.open):
-            while True:
-                name, mark = self.open.pop()
-                self.left(name, mark)
-                if name == tag:
-                    break
+        if self._names[tag]:
+            while self._pop() != tag:
+                pass
 
     def handle_data(self, data):
         self._text.append(data)

@@ -19,22 +19,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 
 def latest_per_key(
-    df: DataFrame, keys: list[str], order: list[str | Column], keep_first: tuple[str, ...] = ()
+    df: DataFrame,
+    keys: list[str],
+    order: list[str | Column],
+    keep_first: tuple[str, ...] = (),
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """One row per key: the row with the greatest ``order`` values (nulls lowest).
 
     ``max_by`` combines on the map side, so every task sends at most one row per key through the shuffle and a key
     that holds a third of the table costs no more than any other. Columns in ``keep_first`` take the value of the
-    earliest row instead of the latest.
+    earliest row instead of the latest. ``columns`` limits what is carried along (default: everything).
     """
+    wanted = df.columns if columns is None else [*keys, *columns]
     rank = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
-    newest = [c for c in df.columns if c not in keys and c not in keep_first]
+    newest = [c for c in wanted if c not in keys and c not in keep_first]
     aggregates = [F.max_by(F.struct(*newest), rank).alias("_newest")]
     if keep_first:
         aggregates.append(F.min_by(F.struct(*keep_first), rank).alias("_oldest"))
     merged = df.groupBy(*keys).agg(*aggregates)
     sources = {c: f"_newest.{c}" for c in newest} | {c: f"_oldest.{c}" for c in keep_first}
-    return merged.select(*[F.col(sources.get(c, c)).alias(c) for c in df.columns])
+    return merged.select(*[F.col(sources.get(c, c)).alias(c) for c in wanted])
 
 
 def hot_keys(df: DataFrame, key: str, max_hot_keys: int = 1000) -> DataFrame:
@@ -73,3 +78,13 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner",
     if right.limit(max_rows + 1).count() <= max_rows:
         return left.join(F.broadcast(right), key, how)
     return join_on_hot_key(left, right, key, how)
+
+
+def without_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of an aggregated ``df`` whose ``key`` is not among ``keys`` (unique).
+
+    Catalyst moves an anti-join below the aggregation, back to where a popular key still has all its rows. An outer
+    join stays where it is written.
+    """
+    marked = keys.select(key, F.lit(True).alias("_found"))
+    return df.join(marked, key, "left").where(F.col("_found").isNull()).drop("_found")

@@ -19,7 +19,7 @@ def upsert(
     """
     defaults = defaults or {}
     listed = [c for c in updates.columns if c != key and c in target.columns]
-    newest = latest_per_key(updates, [key], order)
+    newest = latest_per_key(updates, [key], order, columns=listed)
     packed = newest.select(F.col(key).alias("_key"), F.struct(*listed).alias("_new"))
     joined = target.withColumn("_old", F.lit(True)).join(packed, F.col(key) == F.col("_key"), "full_outer")
 

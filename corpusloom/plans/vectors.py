@@ -197,7 +197,7 @@ def attach_embeddings(spark, folder):
 """)
 def poi_build(spark, folder):
     places = table(spark, folder, "supplier").join(
-        F.broadcast(table(spark, folder, "nation")), F.col("s_nationkey") == F.col("n_nationkey")
+        table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     features = places.select(
         F.col("s_suppkey").alias("id"), F.when(F.col("s_acctbal") >= 0, F.col("s_name")).otherwise("").alias("name"),
