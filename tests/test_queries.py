@@ -38,6 +38,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_query(spark, folder, duck, name):
     frame = entry_points.queries()[name](spark, folder)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     expected = duck.sql(entry_points.oracle_sql()[name])
     columns = sorted(expected.columns)
     assert sorted(frame.columns) == columns
