@@ -42,7 +42,10 @@ def license_table(spark: SparkSession) -> DataFrame:
 
 # Fixed pattern: how the phrases above begin. One quick scan tells almost all texts apart from those
 # that need the phrases tried one by one.
-_LICENSE_HINT = "[AaCcMmOo](?:[Cc][0 -]|[Rr][Ee][Aa]|[Pp][Aa][Cc]|[Ii][Tt] |[Pp][Ee][Nn] |[Dd][Bb])"
+_LICENSE_HINT = (
+    "[AaCcMmOo](?:[Cc](?:0|[ -][Bb][Yy])|[Rr][Ee][Aa][Tt][Ii][Vv][Ee] |[Pp][Aa][Cc][Hh][Ee]|[Ii][Tt] [Ll]"
+    "|[Pp][Ee][Nn] [Dd]|[Dd][Bb][Ll])"
+)
 
 
 def detect_license(text: str) -> Column:

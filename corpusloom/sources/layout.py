@@ -8,7 +8,7 @@ and never touch the data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from corpusloom.functions.digest import fold, row_hash, word_sums
 from corpusloom.functions.versions import version_key
@@ -61,12 +61,11 @@ def write_version(
     if stored != measured["row_count"]:
         raise RuntimeError(f"{path} holds {stored} rows, {measured['row_count']} were written")
     checksum: Column = F.lit(None).cast("string")
-    one = spark.createDataFrame([Row(**measured)])
+    one = spark.range(1).select(*[F.lit(value).cast("long").alias(name) for name, value in measured.items()])
     if checksum_of:
         checksum = fold("texts")
     manifest = one.select(
-        F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), F.lit(table).alias("table"),
-        F.col("row_count").cast("long").alias("row_count"),
+        F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), F.lit(table).alias("table"), "row_count",
         F.array(*[F.lit(c) for c in df.columns]).alias("columns"), F.lit(compression).alias("compression"),
         F.lit(chunk_size).cast("int").alias("chunk_size"), F.lit(chunk_overlap).cast("int").alias("chunk_overlap"),
         checksum.alias("content_checksum"), F.current_timestamp().alias("created_at"),
