@@ -118,11 +118,29 @@ def train_centroids(corpus: DataFrame, cells: int, vector: str = "embedding", se
 def mean_vectors(corpus: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """Element-wise mean vector per group: (group, mean), without gathering a group's vectors in one place.
 
-    Positions are summed as (group, position) partial aggregates; the sums of a group are as many numbers as a
-    vector has.
+    Every Arrow batch is reduced to one sum per group; these meet as (group, position) partial aggregates. Null vectors
+    do not count.
     """
-    parts = corpus.select(group, F.posexplode(vector).alias("position", "value"))
-    means = parts.groupBy(group, "position").agg(F.avg(F.col("value").cast("double")).alias("value"))
+    shape = T.StructType([
+        corpus.schema[group], T.StructField("n", T.LongType()), T.StructField("sums", T.ArrayType(T.DoubleType())),
+    ])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(batch.column(1).is_valid())
+            if batch.num_rows:
+                names = batch.column(0).dictionary_encode(null_encoding="encode")
+                rows = to_matrix(batch.column(1), pa.compute.max(batch.column(1).value_lengths()).as_py())
+                sums = np.zeros((len(names.dictionary), rows.shape[1]))
+                np.add.at(sums, names.indices.to_numpy(), rows)
+                counts = np.bincount(names.indices.to_numpy(), minlength=len(sums))
+                offsets = pa.array(np.arange(len(sums) + 1, dtype=np.int32) * np.int32(rows.shape[1]))
+                parts = [names.dictionary, pa.array(counts), pa.ListArray.from_arrays(offsets, pa.array(sums.ravel()))]
+                yield pa.RecordBatch.from_arrays(parts, names=shape.names)
+
+    sums = corpus.select(group, vector).mapInArrow(add_up, schema=shape)
+    parts = sums.select(group, "n", F.posexplode("sums").alias("position", "value"))
+    means = parts.groupBy(group, "position").agg((F.sum("value") / F.sum("n")).alias("value"))
     ordered = F.array_sort(F.collect_list(F.struct("position", "value")))
     return means.groupBy(group).agg(F.transform(ordered, lambda p: p["value"]).alias("mean"))
 

@@ -44,28 +44,42 @@ def test_fixed_chunks_leave_only_a_short_tail(text, shape):
     assert len(missing) == 0
 
 
+def runs(lengths, size, overlap):
+    """Sentence ranges by their definition, every quantity computed from scratch."""
+    first = new = 0
+
+    def joined(low, high):
+        return sum(lengths[low:high]) + max(high - low - 1, 0)
+
+    while True:
+        full = [
+            k for k in range(first + 1, len(lengths))
+            if k >= new and joined(first, new) + sum(n + 1 for n in lengths[new:k]) + lengths[k] > size
+        ]
+        stop = min(full, default=len(lengths))
+        yield first, stop
+        if not full:
+            return
+        fits = [low for low in range(first, stop + 1)
+                if all(joined(i + 1, stop) + lengths[i] < overlap for i in range(low, stop))]
+        first, new = min(fits), stop
+
+
 @settings(max_examples=400, deadline=None)
 @given(TEXT, SHAPES)
 def test_sentence_chunks(text, shape):
     size, overlap, least = shape
     sentences = re.split(r"(?<=[.!?])\s+", text)
     spans = sentence_spans(text, size, overlap, least)
-    # Replay with plain lists.
-    expected, current, length, start = [], [], 0, 0
-    for sentence in sentences:
-        if current and length + len(sentence) > size:
-            joined = " ".join(current)
-            expected.append((start, start + len(joined), joined))
-            tail = []
-            while len(tail) < len(current) and len(" ".join(tail)) + len(current[-1 - len(tail)]) < overlap:
-                tail = current[len(current) - len(tail) - 1 :]
-            start += len(joined) - len(" ".join(tail))
-            current, length = list(tail), len(" ".join(tail))
-        current.append(sentence)
-        length += len(sentence) + 1
-    joined = " ".join(current)
-    if len(joined) >= least:
-        expected.append((start, start + len(joined), joined))
+    expected, start, before = [], 0, None
+    for first, stop in runs([len(x) for x in sentences], size, overlap):
+        piece = " ".join(sentences[first:stop])
+        if before is not None:
+            shared = " ".join(sentences[first : before[1]])
+            start += len(before[2]) - len(shared)
+        before = (first, stop, piece)
+        if stop < len(sentences) or len(piece) >= least:
+            expected.append((start, start + len(piece), piece))
     assert spans == expected
 
 

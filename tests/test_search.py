@@ -126,3 +126,10 @@ def test_embeddings_table(spark):
     assert (row.chunk_id, row.source_url, row.license, row.metadata) == ("1", "", "", "{}")
     assert table.schema["embedding"].dataType.simpleString() == "array<float>"
     assert table.schema["chunk_index"].dataType.simpleString() == "int"
+
+
+def test_mean_vectors(spark, corpus, vectors):
+    extra = spark.createDataFrame([("x", None, "MIT")], corpus.schema)
+    means = {r.license: r["mean"] for r in search.mean_vectors(corpus.unionByName(extra), "license").collect()}
+    for i, name in enumerate(("MIT", "ODbL-1.0")):
+        assert np.allclose(means[name], vectors[i::2].astype(float).mean(axis=0))
