@@ -37,7 +37,7 @@ def crawl_order(
     """Breadth-first walk over stored pages: (canonical, url, depth, place), at most ``max_pages`` visited.
 
     ``place`` sorts pages in visiting order. Within a level, targets are visited in the order of the page that first
-    links to them, then by position on that page. Each level is sorted, numbered and checkpointed. URLs that are not among ``pages`` count as visited but lead nowhere, like pages that
+    links to them, then by position on that page. Each level is sorted, numbered and stored. URLs that are not among ``pages`` count as visited but lead nowhere, like pages that
     could not be fetched.
     """
     spark = pages.sparkSession
