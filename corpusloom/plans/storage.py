@@ -127,7 +127,7 @@ def version_files(spark, folder):
 
 def _namespace(spark) -> str:
     name = f"ns_{uuid.uuid4().hex}"
-    tables.ensure_namespace(spark, name)
+    tables.ensure_namespace(spark, name, scratch_path(spark, "tables"))
     return name
 
 

@@ -9,8 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
-def ensure_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}")
+def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """Create the namespace unless it exists; ``location`` is where its tables are kept (default: the warehouse)."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {namespace}{where}")
+
+
+def list_namespaces(spark: SparkSession) -> list[str]:
+    return [row.namespace for row in spark.sql("SHOW NAMESPACES").collect()]
 
 
 def ensure_table(

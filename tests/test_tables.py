@@ -239,6 +239,9 @@ def test_catalog_table(spark):
     tables.delete_version(spark, name, "nobody", "v2")
     assert rows_of(tables.list_partitions(spark, name)) == [("d", "v1"), ("d", "v2")]
     assert rows_of(spark.table(name).select("id")) == [(1,), (2,)]
+    assert space in tables.list_namespaces(spark) and tables.list_tables(spark, space) == ["emb"]
+    tables.drop_table(spark, name)
+    assert tables.list_tables(spark, space) == []
 
 
 def test_json_files(spark, tmp_path):
