@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpusloom.operators import chunk, clean, embed, govern, search
+from corpusloom.operators import chunk, clean, embed, govern, search, stats
 from corpusloom.sources import layout
 
 
@@ -34,25 +34,30 @@ def build_version(
     """
     spark = raw.sparkSession
 
-    def store(df: DataFrame, table: str, **options) -> DataFrame:
-        manifest = layout.write_version(df, root, table, dataset, version, compression, **options)
-        return manifest.select(F.col("row_count"), "dataset", "version")
+    def store(df: DataFrame, table: str, **options) -> None:
+        layout.write_version(df, root, table, dataset, version, compression, **options)
 
     def stored(table: str) -> DataFrame:
         return layout.read_version(spark, root, table, dataset, version).drop("dataset", "version")
 
     docs = clean.dedup_latest(clean.clean_documents(raw, min_chars), key="source_url", tie="id")
-    documents = store(docs.drop("crawled_at"), "documents")
+    store(docs.drop("crawled_at"), "documents")
     chunks = chunk.chunk_documents(
         stored("documents"), strategy, size, overlap, min_chars, keep=("source_url", "title", "license", "author")
     )
-    counted = store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
+    store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
     store(govern.attributions(stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
     if encoder is not None:
         store(embed.embeddings_table(embed.embed_chunks(stored("chunks"), encoder)), "embeddings")
-    return documents.select(
-        F.lit("Pipeline Complete").alias("status"), F.col("row_count").alias("documents"), "dataset", "version"
-    ).join(counted.withColumnRenamed("row_count", "chunks"), ["dataset", "version"])
+
+    def rows(table: str) -> Column:
+        return F.max(F.when(F.col("table") == table, F.col("row_count")))
+
+    written = layout.read_manifests(spark, root).where((F.col("dataset") == dataset) & (F.col("version") == version))
+    counts = written.groupBy("dataset", "version").agg(
+        rows("documents").alias("document_count"), rows("chunks").alias("chunk_count")
+    )
+    return stats.build_summary(counts)
 
 
 def search_version(
