@@ -16,40 +16,31 @@ from pyspark.sql.functions import arrow_udf
 
 from corpusloom.llm.common import stored
 from corpusloom.llm.graph import components
+from corpusloom.llm.word_hashes import SECOND, WordHasher, mixed
 
 # Bands in each collection and MinHash values in a band: two sets of similarity 0.8 share a table but for 9 in 100,000.
 BANDS, DEPTH = 14, 3
-# Words a task remembers the hash of. Memory only.
-REMEMBERED = 300_000
-_MIX, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(31))) * _MIX
-    return values ^ (values >> np.uint64(29))
+# Documents of one crowd that are compared in a task, times two.
+CROWD = 1024
+# Entries of the inverted index that a task reads at once, about.
+INDEX_READS = 1 << 22
 
 
 class Shingler:
     """Distinct shingles of ``size`` words as sorted 64-bit hashes."""
 
     def __init__(self, size: int) -> None:
-        self.size, self.known = size, {}
+        self.size, self.hasher = size, WordHasher()
 
     def shingles(self, text: str | None) -> np.ndarray:
         """A-Z lower-cased, words between ASCII white space; fewer words than ``size`` are one shingle."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
+        hashes = self.hasher.hashes((text or "").encode("utf-8", "surrogatepass").lower())
+        if not len(hashes):
             return np.zeros(0, np.uint64)
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        count = max(1, len(words) - self.size + 1)
-        codes = np.full(count, min(len(words), self.size), np.uint64)
-        for n in range(min(len(words), self.size)):
-            codes = _mixed(codes * _SECOND + hashes[n : n + count])
+        count, length = max(1, len(hashes) - self.size + 1), min(len(hashes), self.size)
+        codes = np.full(count, length, np.uint64)
+        for n in range(length):
+            codes = mixed(codes * SECOND + hashes[n : n + count])
         return np.unique(codes)
 
 
@@ -59,19 +50,22 @@ class Bands:
     def __init__(self, bands: int, depth: int, seed: int = 41) -> None:
         draw = np.random.default_rng(seed)
         count = 2 * bands * depth
-        self.factors = draw.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.masks = draw.integers(0, 1 << 63, count, dtype=np.uint64)
+        self.factors = (draw.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
+        self.masks = draw.integers(0, 1 << 32, count, dtype=np.uint32)[:, None]
         self.shape = (2 * bands, depth)
-        self.places = _mixed(np.arange(1, 2 * bands + 1, dtype=np.uint64))
+        self.places = mixed(np.arange(1, 2 * bands + 1, dtype=np.uint64))
 
     def of(self, shingles: np.ndarray) -> np.ndarray:
-        least = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(shingles), 2048):
-            part = shingles[at : at + 2048]
-            np.minimum(least, ((part[:, None] ^ self.masks) * self.factors).min(axis=0), out=least)
+        """Least values of the permutations ``(x ^ mask) * factor`` of 32-bit numbers, band by band."""
+        numbers = (shingles >> np.uint64(32)).astype(np.uint32)
+        least = np.full(len(self.factors), np.iinfo(np.uint32).max, np.uint32)
+        for at in range(0, len(numbers), 1024):
+            values = numbers[at : at + 1024] ^ self.masks
+            values *= self.factors
+            np.minimum(least, values.min(axis=1), out=least)
         codes = self.places.copy()
         for column in least.reshape(self.shape).T:
-            codes = _mixed(codes * _SECOND + column)
+            codes = mixed(codes * SECOND + column)
         return codes.view(np.int64)
 
 
@@ -122,11 +116,11 @@ def near_duplicates(
 
     Equal sets are one class with its smallest id as representative; only representatives are compared. A band hash that
     no other representative has cannot lead to anything and is dropped, which loses no pair; of the rest every document
-    forms its table keys. Links are looked for in three steps, each confirmed on full sets, so that a table with thousands of
-    like documents needs no pairs within: every document with the smallest id it meets in any table; in tables that
-    still hold several components, everything with the table's smallest and greatest id; then all members of two
-    components that still meet in some table and share a band in both collections. The last step leaves no candidate pair
-    of different components untested.
+    forms its table keys. Links are looked for in two steps. First every document meets the smallest id of all its tables.
+    Then, where a table still holds several components, all documents that share a band of the first collection with its
+    members come together with their full sets, in blocks of bounded size that meet pairwise; a task tests everything that
+    is not yet of one component and returns only the links that join components. So no candidate pair of different components
+    stays untested, and a group of thousands of like documents makes no rows for its pairs.
 
     Null ids take no part and are kept, with null ``component_id``; null and empty texts are linked with nothing. Rows that
     repeat an id are judged each by its text (an id that stands for two classes links them). Stores narrow tables for each step, and the shingle sets of documents
@@ -148,38 +142,24 @@ def near_duplicates(
     rows = met.select("rep", "right", F.explode("left").alias("_l"))
     keys = rows.select("rep", "_l", F.explode("right").alias("_r")).select("rep", F.xxhash64("_l", "_r").alias("key"))
     ends = keys.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    tables = stored(keys.join(stored(ends), "key"))
+    tables = stored(keys.join(stored(ends.drop("high")), "key"))
     sets = stored(_shingle_sets(docs, classes, tables.select("rep").distinct(), shingle, id_column, text_column))
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        sides = pairs.join(sets.select(F.col("rep").alias("x"), F.col("shingles").alias("_left")), "x")
-        sides = sides.join(sets.select(F.col("rep").alias("y"), F.col("shingles").alias("_right")), "y")
-        return sides.where(alike(threshold)).select("x", "y")
-
     # 1: the smallest id met.
-    pairs = tables.where("low < rep").groupBy(F.col("rep").alias("x")).agg(F.min("low").alias("y"))
-    links = stored(confirmed(pairs))
+    sides = tables.where("low < rep").groupBy(F.col("rep").alias("x")).agg(F.min("low").alias("y"))
+    sides = sides.join(sets.select(F.col("rep").alias("x"), F.col("shingles").alias("_left")), "x")
+    sides = sides.join(sets.select(F.col("rep").alias("y"), F.col("shingles").alias("_right")), "y")
+    links = stored(sides.where(alike(threshold)).select("x", "y"))
     found = components(links)
-    # 2: both ends of every table that holds several components.
-    labelled = stored(_labelled(tables, found, "rep", "own"))
+    # 2: tables that hold several components.
+    labelled = _labelled(tables.select("key", "rep"), found, "rep", "own")
     apart = labelled.groupBy("key").agg(F.min("own").alias("_a"), F.max("own").alias("_b")).where("_a < _b").select("key")
-    open_ = stored(labelled.join(apart, "key"))
-    to_ends = open_.select(F.col("rep").alias("x"), "own", F.explode(F.array("low", "high")).alias("y")).where("x <> y").distinct()
-    to_ends = _labelled(to_ends, found, "y", "other").where("own <> other").select("x", "y")
-    links = stored(links.unionByName(confirmed(to_ends)))
+    open_ = tables.join(stored(apart), "key").select("rep").distinct()
+    near = met.join(stored(open_), "rep").select("rep", F.explode("left").alias("code"))
+    firsts = near.groupBy("code").agg(F.min("rep").alias("leader"), F.max("rep").alias("_last")).where("leader < _last").drop("_last")
+    crowds = stored(_labelled(near.join(stored(firsts), "code").select("leader", "rep").distinct(), found, "rep", "own"))
+    links = stored(links.unionByName(_links_between(crowds, sets, threshold)))
     found = components(links)
-    # 3: whatever still meets: components first, then their members.
-    labelled = _labelled(open_.select("key", "rep"), found, "rep", "own").select("key", "own").distinct()
-    many = labelled.groupBy("key").agg(F.min("own").alias("_a"), F.max("own").alias("_b")).where("_a < _b").select("key")
-    labelled = stored(labelled.join(many, "key"))
-    other = labelled.select("key", F.col("own").alias("other"))
-    meeting = labelled.join(other, "key").where("own < other").select("own", "other").distinct()
-    members = _labelled(met, found, "rep", "own")
-    left = members.select("own", F.col("rep").alias("x"), F.col("left").alias("_l1"), F.col("right").alias("_r1"))
-    right = members.select(F.col("own").alias("other"), F.col("rep").alias("y"), F.col("left").alias("_l2"), F.col("right").alias("_r2"))
-    rest = stored(meeting).join(left, "own").join(right, "other")
-    rest = rest.where(F.arrays_overlap("_l1", "_l2") & F.arrays_overlap("_r1", "_r2")).select("x", "y").distinct()
-    found = components(links.unionByName(confirmed(rest)))
 
     groups = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     result = signed.select("doc_id", "n_shingles", "digest").join(groups, "digest", "left")
@@ -188,6 +168,73 @@ def near_duplicates(
     return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def _links_between(crowds: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Links that join different components (``own``) of the documents (``rep``) of each ``leader``.
+
+    A crowd of more than CROWD documents is cut into blocks by a hash; a task holds two blocks of one crowd.
+    """
+    sizes = crowds.groupBy("leader").agg(F.count(F.lit(1)).alias("_n"), F.min("own").alias("_a"), F.max("own").alias("_b"))
+    sizes = stored(sizes.where("_a < _b").select("leader", F.ceil(F.col("_n") / CROWD).cast("int").alias("_blocks")))
+    placed = crowds.join(sizes, "leader").withColumn("_block", F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int"))
+    placed = placed.withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    placed = placed.select("leader", F.least("_block", "_with").alias("one"), F.greatest("_block", "_with").alias("two"), "rep", "own")
+
+    def link(table: pa.Table) -> pa.Table:
+        # A representative has one row for each class it stands for; they are one node.
+        table = table.sort_by("rep")
+        rep, own = table.column("rep").to_numpy(), table.column("own").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        values, sizes = lists.values.to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+        pairs = links_of_sets(values, sizes, own, threshold)
+        return pa.table([pa.array(rep[[p[0] for p in pairs]]), pa.array(rep[[p[1] for p in pairs]])], ["x", "y"]) if pairs else (
+            pa.table([pa.array([], pa.int64()), pa.array([], pa.int64())], ["x", "y"]))
+
+    return placed.join(sets, "rep").groupBy("leader", "one", "two").applyInArrow(link, "x long, y long")
+
+
+def links_of_sets(values: np.ndarray, sizes: np.ndarray, own: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+    """Pairs of sets with 100 * intersection >= threshold * union that connect different components, as few as do.
+
+    Sets lie one after the other in ``values``. An inverted index of the elements gives each set's intersections with
+    all earlier ones at once.
+    """
+    _, codes = np.unique(values, return_inverse=True)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(codes, kind="stable")  # by element, then by set
+    holders, starts = of[order], np.r_[0, np.cumsum(np.bincount(codes))]
+    place = np.empty(len(codes), np.int64)
+    place[order] = np.arange(len(codes))
+    earlier = place - starts[codes]  # how many earlier sets hold the element
+    begins = np.r_[0, np.cumsum(sizes)]
+    roots = {c: c for c in own.tolist()}
+
+    def root(c: int) -> int:
+        while roots[c] != c:
+            roots[c] = roots[roots[c]]
+            c = roots[c]
+        return c
+
+    pairs = []
+    for n in range(1, len(sizes)):
+        mine = slice(begins[n], begins[n + 1])
+        counts, firsts = earlier[mine], starts[codes[mine]]
+        both = np.zeros(n, np.int64)
+        before = np.cumsum(counts) - counts
+        for begin in range(0, int(counts.sum()), INDEX_READS):  # a long set of common elements is read in parts
+            some = slice(*np.searchsorted(before, [begin, begin + INDEX_READS]))
+            own_counts = counts[some]
+            total = int(own_counts.sum())
+            if total:
+                at = np.arange(total) + np.repeat(firsts[some] - np.cumsum(own_counts) + own_counts, own_counts)
+                both += np.bincount(holders[at], minlength=n)
+        for other in np.flatnonzero(100 * both >= threshold * (sizes[n] + sizes[:n] - both)).tolist():
+            a, b = root(int(own[n])), root(int(own[other]))
+            if a != b:
+                roots[max(a, b)] = min(a, b)
+                pairs.append((n, other))
+    return pairs
+
+
 def _labelled(df: DataFrame, found: DataFrame, node: str, name: str) -> DataFrame:
     """``df`` with the component of ``node`` (itself if it has no link)."""
     labels = found.select(F.col("node").alias(node), F.col("component").alias("_component"))
