@@ -115,8 +115,11 @@ def embeddings_table(rows: DataFrame, created_at: Column | None = None) -> DataF
 
 
 def attach_embeddings(chunks: DataFrame, vectors: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """Join chunks to vectors made elsewhere by key; positions are never relied on."""
-    return chunks.join(vectors.select(key, "embedding"), key)
+    """Join chunks to vectors made elsewhere by key; positions are never relied on.
+
+    A chunk without a vector keeps its row with a null embedding, as searches expect it.
+    """
+    return chunks.join(vectors.select(key, "embedding"), key, "left")
 
 
 def poi_rows(features: DataFrame) -> DataFrame:

@@ -16,14 +16,23 @@ LICENSES = (
     ("ODbL", "ODbL-1.0", True, "Required (share-alike)"),
 )
 
-# Phrase that identifies a license in running text, tried in this order.
+RESERVED = "LicenseRef-Reserved"
+
+# Phrase that identifies a license in running text (any case), tried in this order.
 LICENSE_PHRASES = (
-    ("(?i)CC[ -]BY[ -]NC", "CC-BY-NC-4.0"),
-    ("(?i)CC[ -]BY", "CC-BY-4.0"),
-    ("(?i)CC0|Creative Commons Zero", "CC0-1.0"),
-    ("(?i)Apache License|Apache[ -]2[.]0", "Apache-2.0"),
-    ("(?i)MIT License", "MIT"),
-    ("(?i)Open Database License|ODbL", "ODbL-1.0"),
+    ("CC[ -]BY[ -]NC", "CC-BY-NC-4.0"),
+    ("CC[ -]BY[ -]SA", "CC-BY-SA-4.0"),
+    ("CC[ -]BY", "CC-BY-4.0"),
+    ("CC0|Creative Commons Zero", "CC0-1.0"),
+    ("GNU Affero General Public License|AGPL", "AGPL-3.0"),
+    ("GNU Lesser General Public License|LGPL", "LGPL-3.0"),
+    ("GNU General Public License|GPL", "GPL-3.0"),
+    ("Mozilla Public License|MPL[ -]2[.]0", "MPL-2.0"),
+    ("BSD License|BSD[ -][23][ -]Clause", "BSD-3-Clause"),
+    ("Apache License|Apache[ -]2[.]0", "Apache-2.0"),
+    ("MIT License", "MIT"),
+    ("Open Database License|ODbL", "ODbL-1.0"),
+    ("All rights reserved", RESERVED),
 )
 
 # Fixed patterns of personal data, replaced in this order.
@@ -40,20 +49,16 @@ def license_table(spark: SparkSession) -> DataFrame:
     )
 
 
-# Fixed pattern: how the phrases above begin. One quick scan tells almost all texts apart from those
-# that need the phrases tried one by one.
-_LICENSE_HINT = (
-    "[AaCcMmOo](?:[Cc](?:0|[ -][Bb][Yy])|[Rr][Ee][Aa][Tt][Ii][Vv][Ee] |[Pp][Aa][Cc][Hh][Ee]|[Ii][Tt] [Ll]"
-    "|[Pp][Ee][Nn] [Dd]|[Dd][Bb][Ll])"
-)
-
-
 def detect_license(text: str) -> Column:
-    """SPDX id of the first license phrase found in the text, else null."""
+    """License id of the first phrase of ``LICENSE_PHRASES`` found in the text, else null: not known.
+
+    A text is searched for any of the phrases first; only the few that have one are searched for each.
+    """
     found = F.lit(None).cast("string")
     for pattern, spdx in reversed(LICENSE_PHRASES):
-        found = F.when(F.col(text).rlike(pattern), spdx).otherwise(found)
-    return F.when(F.col(text).rlike(_LICENSE_HINT), found)
+        found = F.when(F.col(text).rlike(f"(?i){pattern}"), spdx).otherwise(found)
+    some = "|".join(pattern for pattern, _ in LICENSE_PHRASES)
+    return F.when(F.col(text).rlike(f"(?i){some}"), found)
 
 
 def license_policy(rows: DataFrame, license_column: str = "license") -> DataFrame:

@@ -100,17 +100,20 @@ def item_children(items: DataFrame, kids: str = "kids") -> DataFrame:
 
 
 def with_parent(items: DataFrame, columns: list[str]) -> DataFrame:
-    """Items with ``columns`` of their parent prefixed ``parent_``; a parent of a third of all items is no bottleneck."""
+    """Items that have a parent, with ``columns`` of it prefixed ``parent_``; null where the parent is not stored.
+
+    A parent of a third of all items is no bottleneck. Looks for such parents while it is built (an action).
+    """
     parents = items.select(F.col("id").alias("parent"), *[F.col(c).alias(f"parent_{c}") for c in columns])
-    return join_on_hot_key(items.where(F.col("parent").isNotNull()), parents, "parent")
+    return join_on_hot_key(items.where(F.col("parent").isNotNull()), parents, "parent", "left")
 
 
-def item_depths(items: DataFrame, max_rounds: int = 40) -> DataFrame:
+def item_depths(items: DataFrame) -> DataFrame:
     """Root and depth of every item that descends from a root: (id, root, depth).
 
     Every round doubles the distance each item has looked upwards, so a thread ``n`` levels deep takes ``log2(n)``
     rounds, and only unfinished items take part. Items below a missing parent or in a cycle have no root and are
-    left out.
+    left out; the rounds end when nothing but these is left. Every round is an action that stores its result.
     """
     is_root = F.col("parent").isNull()
     steps = cut_lineage(items.select(
@@ -118,7 +121,7 @@ def item_depths(items: DataFrame, max_rounds: int = 40) -> DataFrame:
         is_root.alias("done"),
     ))
     open_items = None
-    for _ in range(max_rounds):
+    while True:
         still_open = steps.where(~F.col("done")).count()
         if not still_open or still_open == open_items:
             break

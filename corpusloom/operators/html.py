@@ -1,7 +1,7 @@
 """Extraction from stored HTML: page text, links, message fields.
 
-Titles and links of well-formed pages are regular expressions in the JVM. Text extraction needs to know which element
-a piece of text is in, so it runs a small streaming tag handler over Arrow batches of the HTML column.
+What a piece of text or a link is in decides whether it counts, so text and links come from one small streaming tag
+handler over Arrow batches of the HTML column. It takes any string: what is no proper markup is skipped as browsers do.
 """
 
 from __future__ import annotations
@@ -25,9 +25,6 @@ VOID = frozenset((
 ))
 _BODIES = ("main", "article", "body")
 
-ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a\s*>"""
-_REGION = r"(?is)<(script|style|nav|footer|header)\b[^>]*>.*?</\1\s*>"
-
 PAGE = "struct<title:string,content:string,links:array<struct<href:string,label:string>>>"
 MESSAGE = "struct<subject:string,author:string,date:string,message_id:string,content:string>"
 
@@ -81,6 +78,17 @@ class _Walker(HTMLParser):
     def handle_comment(self, data):
         self._flush()
 
+    def parse_marked_section(self, i, report=1):
+        """``<![`` outside of foreign markup is a comment up to the next ``>``, whatever its keyword."""
+        end = self.rawdata.find(">", i + 3)
+        if end < 0:
+            return -1
+        self._flush()
+        return end + 1
+
+    def unknown_decl(self, data):
+        self._flush()
+
     def _flush(self):
         if self._text:
             self.text("".join(self._text))
@@ -270,14 +278,13 @@ def page_links(
 ) -> DataFrame:
     """One row per link ``(page_url, <keep>, position, href, link)`` with ``link`` absolute.
 
-    With ``strip_regions`` links inside navigation, header and footer are left out, as in page extraction.
+    Links are those of :func:`extract_pages`: every start tag ``a`` with an ``href``, quoted or bare, entities decoded, comments
+    and scripts left out. With ``strip_regions`` so are links inside navigation, header and footer.
     ``where`` is any predicate over the result columns.
     """
-    source = F.regexp_replace(html, _REGION, "") if strip_regions else F.col(html)
+    links = _parser(_Page if strip_regions else _AllLinks, PAGE)(F.col(html))["links"]
     found = pages.select(
-        F.col(url).alias("page_url"),
-        *keep,
-        F.posexplode(F.regexp_extract_all(source, F.lit(ANCHOR), F.lit(1))).alias("position", "href"),
+        F.col(url).alias("page_url"), *keep, F.posexplode(F.transform(links, lambda a: a["href"])).alias("position", "href")
     )
     if same_site:
         found = found.where(is_same_site("page_url", "href"))

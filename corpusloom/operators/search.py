@@ -1,27 +1,31 @@
 """Exact and approximate nearest-neighbour search over an embeddings table.
 
-Corpus vectors never move. Queries travel to them as a matrix of checked size, every task keeps the best k per query,
-and only those rows are shuffled. No pair of rows is ever materialised.
+One query vector travels to the corpus inside the plan. Many queries meet the corpus on the executors, in blocks of bounded
+size: a task scores one block of chunks for one block of queries and keeps the best k per query, and only those rows go on.
+No pair of rows is ever materialised, and neither side passes through the driver.
+
+A chunk or query without direction (null, zero or of another width) has null similarity to everything. Such chunks rank
+last, by id; such a query gets the chunks with the smallest ids.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.functions import arrow_udf
 
 from corpusloom.functions.vectors import RANK_DIGITS, cosine_to, nearest_row, to_matrix, unit_rows
 from corpusloom.operators.skew import BROADCAST_ROWS
-from corpusloom.session import scratch_path
-
-# Bytes of query vectors sent to the executors at a time; more queries take more passes over the corpus.
-QUERY_BYTES = 64 << 20
+from corpusloom.session import cut_lineage
 
-Passes = tuple[int, Iterator[tuple[pa.Array, np.ndarray]]]
-Scan = Callable[[pa.Array, np.ndarray], tuple[DataFrame, object]]
+# Chunks and queries of one cell that meet in one task.
+BLOCK_CHUNKS, BLOCK_QUERIES = 16_384, 4096
+# The cell of chunks without direction.
+NO_CELL = -1
 
 # Query rows scored against one Arrow batch at a time.
 _SLAB = 256
@@ -82,35 +86,34 @@ def search_many(
     query_id: str = "query_id",
     query_vector: str = "query_vector",
     exclude_self: bool = False,
-    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """Exact top ``k`` per query row: (query_id, chunk_id, similarity, rank).
 
-    The queries are counted first (an action). Up to ``query_bytes`` of them are sent at once; more take several passes
-    over the corpus, each of which stores its finished results before the next begins.
+    Every block of chunks meets every block of queries: the work of an exact search. For very many queries
+    :func:`search_cells` visits a part of the corpus only. Both sides are counted first (an action).
     """
-    spark = corpus.sparkSession
-    shape = _candidate_schema(queries, query_id, corpus, chunk_id)
-
-    def scan(ids: pa.Array, matrix: np.ndarray) -> tuple[DataFrame, object]:
-        shared = spark.sparkContext.broadcast((ids, matrix))
-        best = corpus.select(chunk_id, vector).mapInArrow(_best_per_task(shared, shape, k + exclude_self), schema=shape)
-        return _top(best, k, query_id, chunk_id, exclude_self), shared
-
-    return _run_passes(spark, _query_passes(queries, query_id, query_vector, query_bytes), scan, shape)
+    one = F.lit(0).alias("cell")
+    chunks = corpus.select(one, F.col(chunk_id), F.col(vector))
+    goals = queries.select(one, F.col(query_id), F.col(query_vector).cast("array<double>").alias(query_vector))
+    return _meet(chunks, goals, k, exclude_self)
 
 
 def assign_cells(corpus: DataFrame, centroids: np.ndarray, vector: str = "embedding") -> DataFrame:
-    """Add ``cell``, the index of the nearest centroid."""
-    return corpus.withColumn("cell", nearest_row(vector, centroids))
+    """Add ``cell``, the index of the nearest centroid; ``NO_CELL`` for a vector without direction."""
+    return corpus.withColumn("cell", F.coalesce(nearest_row(vector, centroids), F.lit(NO_CELL)))
 
 
 def train_centroids(corpus: DataFrame, cells: int, vector: str = "embedding", seed: int = 42) -> np.ndarray:
-    """Centroids of the unit vectors by k-means on the cluster (an action)."""
+    """Centroids of the unit vectors by k-means on the cluster (an action). The points are stored first, as k-means scans
+    them many times; vectors without direction, and of another width than most, are left out."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    points = corpus.where(F.col(vector).isNotNull()).select(array_to_vector(vector).alias("features"))
+    square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    directed = corpus.select(vector).where((square > 0) & (square < float("inf")))
+    directed = cut_lineage(directed)
+    width = directed.agg(F.mode(F.size(vector))).scalar()
+    points = directed.where(F.size(vector) == width).select(array_to_vector(vector).alias("features"))
     model = KMeans(k=cells, seed=seed, distanceMeasure="cosine").fit(points)
     return np.array(model.clusterCenters())
 
@@ -147,7 +150,7 @@ def mean_vectors(corpus: DataFrame, group: str, vector: str = "embedding") -> Da
 
 def write_cells(corpus: DataFrame, centroids: np.ndarray, path: str, vector: str = "embedding") -> None:
     """Store the corpus by cell. The rebalance splits a crowded cell over several files and tasks."""
-    cells = assign_cells(corpus, centroids, vector).where(F.col("cell").isNotNull())
+    cells = assign_cells(corpus, centroids, vector)
     cells.hint("rebalance", "cell").write.mode("errorifexists").partitionBy("cell").parquet(path)
 
 
@@ -161,92 +164,79 @@ def search_cells(
     vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "query_vector",
-    query_bytes: int = QUERY_BYTES,
+    exclude_self: bool = False,
 ) -> DataFrame:
     """Approximate top ``k`` per query from the ``probes`` cells nearest to it, ranked exactly.
 
     ``cells`` carries the ``cell`` column of :func:`assign_cells`; stored with :func:`write_cells` it is a partition
-    column, so cells that no query probes are not read.
+    column, so cells that no query probes are not read. Every query also visits the chunks without direction, which rank
+    last; a query without direction probes the first cells. Both sides are counted by cell first (an action).
     """
-    spark = cells.sparkSession
-    shape = _candidate_schema(queries, query_id, cells, chunk_id)
     goals = unit_rows(np.asarray(centroids, dtype=np.float64))
 
-    def scan(ids: pa.Array, matrix: np.ndarray) -> tuple[DataFrame, object]:
-        scores = np.round(matrix @ goals.T, RANK_DIGITS)
-        probed = np.argsort(-scores, axis=1, kind="stable")[:, :probes]
-        visits = {int(c): np.flatnonzero((probed == c).any(axis=1)) for c in np.unique(probed)}
-        shared = spark.sparkContext.broadcast((ids, matrix, visits))
-        near = cells.where(F.col("cell").isin(sorted(visits))).select(chunk_id, vector, "cell")
-        best = near.mapInArrow(_best_per_task(shared, shape, k), schema=shape)
-        return _top(best, k, query_id, chunk_id, exclude_self=False), shared
-
-    return _run_passes(spark, _query_passes(queries, query_id, query_vector, query_bytes), scan, shape)
-
-
-def _run_passes(spark: SparkSession, passes: Passes, scan: Scan, shape: T.StructType) -> DataFrame:
-    """Result of all passes. A single pass stays lazy. Of several, each is written to shared storage and its queries
-    are dropped from the executors before the next, so neither memory nor the plan grows with their number."""
-    total, parts = passes
-    if total <= 1:
-        for ids, matrix in parts:
-            return scan(ids, matrix)[0]
-        return spark.createDataFrame([], shape).withColumn("rank", F.lit(0))
-    path = scratch_path(spark, "search")
-    spark.createDataFrame([], shape).withColumn("rank", F.lit(0)).write.parquet(path)
-    for ids, matrix in parts:
-        found, shared = scan(ids, matrix)
-        found.write.mode("append").parquet(path)
-        shared.destroy()
-    return spark.read.parquet(path)
-
-
-def _query_passes(queries: DataFrame, query_id: str, query_vector: str, budget: int) -> Passes:
-    """Number of passes and, lazily, the (ids, unit matrix) of each: about ``budget`` bytes of vectors at most."""
-    queries = queries.select(query_id, F.col(query_vector).cast("array<double>").alias(query_vector))
-    size, width = queries.agg(F.count(F.lit(1)), F.max(F.size(query_vector))).first()
-    total = -(-size * (width or 0) * 8 // budget)
-    number = F.pmod(F.xxhash64(query_id), F.lit(max(total, 1)))
-
-    def parts() -> Iterator[tuple[pa.Array, np.ndarray]]:
-        for i in range(total):
-            part = (queries if total == 1 else queries.where(number == i)).toArrow()
-            if part.num_rows:
-                vectors = part.column(query_vector).combine_chunks()
-                yield part.column(query_id).combine_chunks(), unit_rows(to_matrix(vectors, width))
-
-    return total, parts()
-
-
-def _candidate_schema(queries: DataFrame, query_id: str, corpus: DataFrame, chunk_id: str) -> T.StructType:
-    return T.StructType([
-        T.StructField(query_id, queries.schema[query_id].dataType),
-        T.StructField(chunk_id, corpus.schema[chunk_id].dataType),
-        T.StructField("similarity", T.DoubleType()),
-    ])
+    @arrow_udf("array<int>")
+    def probed(vectors: pa.Array) -> pa.Array:
+        scores = np.round(unit_rows(to_matrix(vectors, goals.shape[1])) @ goals.T, RANK_DIGITS)
+        order = np.argsort(-np.nan_to_num(scores, nan=-2.0), axis=1, kind="stable")[:, :probes].astype(np.int32)
+        return pa.array([[*row, NO_CELL] for row in order.tolist()], pa.list_(pa.int32()))
 
+    wanted = queries.select(F.col(query_id), F.col(query_vector).cast("array<double>").alias(query_vector))
+    visits = cut_lineage(wanted.select(F.explode(probed(query_vector)).alias("cell"), query_id, query_vector))
+    return _meet(cells.select("cell", F.col(chunk_id), F.col(vector)), visits, k, exclude_self)
 
-def _best_per_task(shared, shape: T.StructType, k: int):
-    """Arrow task function: stream the batches of a partition, keep the ``k`` best rows per query, emit them once."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix, *rest = shared.value
-        visits = rest[0] if rest else None
-        keep = _Keeper(k)
-        for batch in batches:
-            rows = unit_rows(to_matrix(batch.column(1), matrix.shape[1]))
-            if visits is None:
-                groups = [(np.arange(len(rows)), np.arange(len(matrix)))]
-            else:
-                cell = batch.column(2).to_numpy(zero_copy_only=False)
-                groups = [(np.flatnonzero(cell == c), visits[int(c)]) for c in np.unique(cell)]
-            for row_index, query_index in groups:
-                keep.offer(batch.column(0), rows, row_index, matrix, query_index)
-        if keep.size:
-            query, chunk, score = keep.result()
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(query)), chunk, pa.array(score)], names=shape.names)
+def _meet(chunks: DataFrame, queries: DataFrame, k: int, exclude_self: bool) -> DataFrame:
+    """Top ``k`` of queries over the cells that they visit; columns of both sides: cell, id, vector.
 
-    return run
+    A cell with many rows on either side is cut by a hash of the ids, so a block of each is what a task holds. One row per
+    cell comes to the driver.
+    """
+    spark = chunks.sparkSession
+    chunk_id, vector, query_id, query_vector = *chunks.columns[1:], *queries.columns[1:]
+    asked = {r[0]: r[1] for r in queries.groupBy("cell").count().collect()}
+    width = queries.agg(F.max(F.size(query_vector))).scalar()
+    chunks = chunks.where(F.col("cell").isin(sorted(asked)))
+    held = {r[0]: r[1] for r in chunks.groupBy("cell").count().collect()}
+    cuts = [(cell, -(-held[cell] // BLOCK_CHUNKS), -(-asked[cell] // BLOCK_QUERIES)) for cell in sorted(held)]
+    cuts = F.broadcast(spark.createDataFrame(cuts, "cell int, _parts int, _blocks int"))
+    queries = queries.withColumn("_width", width)
+
+    def part(key: str, count: str):
+        return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    left = chunks.join(cuts, "cell").select("cell", part(chunk_id, "_parts").alias("part"), every("_blocks").alias("block"), chunk_id, vector)
+    right = queries.join(cuts, "cell").select(
+        "cell", every("_parts").alias("part"), part(query_id, "_blocks").alias("block"), query_id, query_vector, "_width"
+    )
+    shape = T.StructType([
+        T.StructField(query_id, queries.schema[query_id].dataType),
+        T.StructField(chunk_id, chunks.schema[chunk_id].dataType),
+        T.StructField("similarity", T.DoubleType()),
+    ])
+    kept = k + exclude_self
+
+    def score(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        mine, theirs = mine.combine_chunks(), theirs.combine_chunks()
+        ids, goals = theirs.column(query_id).combine_chunks(), theirs.column(query_vector).combine_chunks()
+        keep = _Keeper(kept)
+        if mine.num_rows and theirs.num_rows:
+            wide = theirs.column("_width")[0].as_py() or 0
+            rows = unit_rows(to_matrix(mine.column(vector).combine_chunks(), wide))
+            everything = np.arange(len(rows)), np.arange(len(ids))
+            keep.offer(mine.column(chunk_id).combine_chunks(), rows, everything[0], unit_rows(to_matrix(goals, wide)), everything[1])
+        if not keep.size:
+            empty = [ids[:0], mine.column(chunk_id).combine_chunks()[:0], pa.array([], pa.float64())]
+            return pa.table(empty, names=shape.names)
+        query, chunk, scores = keep.result()
+        missing = ~np.isfinite(scores)
+        return pa.table([ids.take(pa.array(query)), chunk, pa.array(scores, mask=missing)], names=shape.names)
+
+    keys = ("cell", "part", "block")
+    best = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(score, shape)
+    return _top(best, k, query_id, chunk_id, exclude_self)
 
 
 class _Keeper:
@@ -265,11 +255,10 @@ class _Keeper:
             scores = np.round(matrix[slab] @ rows[row_index].T, RANK_DIGITS)
             scores[np.isnan(scores)] = -np.inf
             # Everything at or above the k-th best score of its query, ties included.
+            floor = np.full((len(slab), 1), -np.inf)
             if scores.shape[1] > self.k:
                 floor = np.partition(scores, -self.k, axis=1)[:, -self.k][:, None]
-                query, column = np.nonzero((scores >= floor) & (scores > -np.inf))
-            else:
-                query, column = np.nonzero(scores > -np.inf)
+            query, column = np.nonzero(scores >= floor)
             self._add(slab[query], ids.take(pa.array(row_index[column])), scores[query, column])
 
     def _add(self, query: np.ndarray, chunk: pa.Array, score: np.ndarray) -> None:
@@ -300,7 +289,7 @@ def _top(candidates: DataFrame, k: int, query_id: str, chunk_id: str, exclude_se
     """Merge the candidates of all tasks. Two rounds, so one query never gathers the rows of every task at once."""
     if exclude_self:
         candidates = candidates.where(F.col(query_id) != F.col(chunk_id))
-    order = [F.col("similarity").desc(), F.col(chunk_id)]
+    order = [F.col("similarity").desc_nulls_last(), F.col(chunk_id)]
     salted = candidates.withColumn("_salt", F.pmod(F.xxhash64(chunk_id), F.lit(32)))
     first = Window.partitionBy(query_id, "_salt").orderBy(*order)
     salted = salted.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k).drop("_salt")

@@ -71,13 +71,32 @@ def build_summary(manifest: DataFrame) -> DataFrame:
 
 
 def storage_estimate(embeddings: DataFrame, dataset: str = "dataset", doc_id: str = "doc_id") -> DataFrame:
-    """Documents, chunks and embedding bytes (four per dimension) per dataset."""
-    sized = embeddings.select(dataset, doc_id, (F.size("embedding").cast("long") * 4).alias("bytes"))
+    """Documents, chunks and embedding bytes (four per dimension) per dataset, of rows that carry their dataset."""
+    sized = embeddings.select(dataset, doc_id, vector_bytes("embedding").alias("bytes"))
     # Per document first: a dataset with a third of all rows is spread over its documents.
     per_doc = sized.groupBy(dataset, doc_id).agg(F.count(F.lit(1)).alias("chunks"), F.sum("bytes").alias("bytes"))
+    return _storage_totals(per_doc, dataset)
+
+
+def vector_bytes(vector: str) -> Column:
+    """Bytes of a vector at four per component; 0 for null."""
+    return F.coalesce(F.size(vector).cast("long") * 4, F.lit(0))
+
+
+def storage_of_documents(docs: DataFrame, embeddings: DataFrame, dataset: str = "dataset", doc_id: str = "doc_id") -> DataFrame:
+    """The same for embeddings that only know their document. Documents without vectors count, with no chunks.
+
+    Vectors are measured before the join and added up per document, so none is shuffled.
+    """
+    sized = embeddings.select(doc_id, vector_bytes("embedding").alias("bytes"))
+    per_doc = sized.groupBy(doc_id).agg(F.count(F.lit(1)).alias("chunks"), F.sum("bytes").alias("bytes"))
+    return _storage_totals(docs.select(dataset, doc_id).join(per_doc, doc_id, "left"), dataset)
+
+
+def _storage_totals(per_doc: DataFrame, dataset: str) -> DataFrame:
     return per_doc.groupBy(dataset).agg(
-        F.count(F.lit(1)).alias("documents"), F.sum("chunks").alias("chunks"),
-        F.sum("bytes").alias("embedding_bytes"),
+        F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("embedding_bytes"),
     )
 
 

@@ -10,9 +10,11 @@ from corpusloom.plans.catalog import query, table, wide_table
 
 D, M, KEY = inputs.DOCUMENTS_SQL, inputs.MANIFESTS_SQL, inputs.VERSION_KEY_SQL
 
-_POLICY = ", ".join(
-    f"('{spdx}', {str(commercial).lower()}, '{attribution}')" for _, spdx, commercial, attribution in govern.LICENSES
-)
+# Fixed values of the license policy, as SQL.
+_POLICY = """
+  ('MIT', true, 'Required'), ('Apache-2.0', true, 'Required'), ('CC0-1.0', true, 'No'), ('CC-BY-4.0', true, 'Required'),
+  ('CC-BY-NC-4.0', false, 'Required'), ('ODbL-1.0', true, 'Required (share-alike)')
+"""
 
 
 @query("list_datasets", f"WITH m AS ({M}) SELECT DISTINCT dataset FROM m")
@@ -99,13 +101,13 @@ def license_detect(spark, folder):
 
 @query("license_policy", f"""
   WITH p(spdx, commercial_use, attribution) AS (VALUES {_POLICY}),
-  d AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN 'Proprietary' ELSE coalesce({inputs.LICENSE_SQL}, 'MIT') END AS license FROM documents)
+  d AS (SELECT doc_id, CASE WHEN lang = 'fr' THEN 'Proprietary' ELSE coalesce({inputs.LICENSE_SQL}, 'unknown') END AS license FROM documents)
   SELECT doc_id, license, commercial_use, attribution, spdx IS NOT NULL AS known_license
   FROM d LEFT JOIN p ON license = spdx
 """)
 def license_policy(spark, folder):
     docs = wide_table(spark, folder, "documents", "doc_id", "text", "lang")
-    named = F.when(F.col("lang") == "fr", "Proprietary").otherwise(F.coalesce(govern.detect_license("text"), F.lit("MIT")))
+    named = F.when(F.col("lang") == "fr", "Proprietary").otherwise(F.coalesce(govern.detect_license("text"), F.lit("unknown")))
     return govern.license_policy(docs.select("doc_id", named.alias("license")))
 
 
@@ -120,15 +122,22 @@ def attribution_build(spark, folder):
     return govern.attributions(inputs.documents(spark, folder).withColumn("author", author), "id")
 
 
-def _scrub_sql() -> str:
-    value, columns = "text", []
-    for kind, pattern, mark in govern.PERSONAL:
-        columns.append(f"len(regexp_extract_all({value}, '{pattern}'))::INTEGER AS {kind}_hits")
-        value = f"regexp_replace({value}, '{pattern}', '{mark}', 'g')"
-    return f"SELECT doc_id, {', '.join(columns)}, {value} AS text FROM documents"
+# Personal data as SQL sees it.
+_MAIL = r"[\w.%+-]+@[[:alnum:]][[:alnum:].-]*\.[[:alnum:]-]+"
+_ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
+_PHONE = r"\+?\d{1,3}[. -]\(?\d{2,4}\)?[. -]\d{3,4}(?:[. -]\d{2,4})?"
+_SCRUB = f"""
+  WITH a AS (SELECT doc_id, text, regexp_replace(text, '{_MAIL}', '[EMAIL]', 'g') AS t1 FROM documents),
+  b AS (SELECT *, regexp_replace(t1, '{_ADDRESS}', '[IP]', 'g') AS t2 FROM a),
+  c AS (SELECT *, regexp_replace(t2, '{_PHONE}', '[PHONE]', 'g') AS t3 FROM b)
+  SELECT doc_id, len(regexp_extract_all(text, '{_MAIL}'))::INTEGER AS email_hits,
+         len(regexp_extract_all(t1, '{_ADDRESS}'))::INTEGER AS ip_hits,
+         len(regexp_extract_all(t2, '{_PHONE}'))::INTEGER AS phone_hits, t3 AS text
+  FROM c
+"""
 
 
-@query("pii_scrub", _scrub_sql())
+@query("pii_scrub", _SCRUB)
 def pii_scrub(spark, folder):
     rows = govern.scrub_personal_data(wide_table(spark, folder, "documents", "doc_id", "text"), "text")
     return rows.select("doc_id", "email_hits", "ip_hits", "phone_hits", "text")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.operators.clean import crawl_rows_from_pages
-from corpusloom.operators.govern import LICENSE_PHRASES, detect_license
+from corpusloom.operators.govern import detect_license
 from corpusloom.plans.catalog import table, wide_table
 from corpusloom.session import spread
 
@@ -32,7 +32,7 @@ RAW_CRAWL_SQL = """
 
 
 def documents(spark: SparkSession, folder: str, spread_rows: bool = True) -> DataFrame:
-    """The document table: string id, address, content, license found in the text (MIT when none), language."""
+    """The document table: string id, address, content, license found in the text (unknown when none), language."""
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     if spread_rows:
         docs = spread(docs, "doc_id")
@@ -40,21 +40,33 @@ def documents(spark: SparkSession, folder: str, spread_rows: bool = True) -> Dat
         F.col("doc_id").cast("string").alias("id"),
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("source_url"),
         F.col("text").alias("content"),
-        F.coalesce(detect_license("text"), F.lit("MIT")).alias("license"),
+        F.coalesce(detect_license("text"), F.lit("unknown")).alias("license"),
         "lang", "source",
     )
 
 
-def _license_case(column: str) -> str:
-    lines = " ".join(f"WHEN regexp_matches({column}, '{p}') THEN '{spdx}'" for p, spdx in LICENSE_PHRASES)
-    return f"CASE {lines} END"
-
-
-LICENSE_SQL = _license_case("text")
+# Licenses as SQL sees them, by plain search in the lower-cased text.
+_L = "lower(text)"
+LICENSE_SQL = f"""
+  CASE WHEN contains(replace({_L}, '-', ' '), 'cc by nc') THEN 'CC-BY-NC-4.0'
+       WHEN contains(replace({_L}, '-', ' '), 'cc by sa') THEN 'CC-BY-SA-4.0'
+       WHEN contains(replace({_L}, '-', ' '), 'cc by') THEN 'CC-BY-4.0'
+       WHEN contains({_L}, 'cc0') OR contains({_L}, 'creative commons zero') THEN 'CC0-1.0'
+       WHEN contains({_L}, 'gnu affero general public license') OR contains({_L}, 'agpl') THEN 'AGPL-3.0'
+       WHEN contains({_L}, 'gnu lesser general public license') OR contains({_L}, 'lgpl') THEN 'LGPL-3.0'
+       WHEN contains({_L}, 'gnu general public license') OR contains({_L}, 'gpl') THEN 'GPL-3.0'
+       WHEN contains({_L}, 'mozilla public license') OR contains(replace({_L}, '-', ' '), 'mpl 2.0') THEN 'MPL-2.0'
+       WHEN contains({_L}, 'bsd license') OR contains(replace({_L}, '-', ' '), 'bsd 2 clause')
+         OR contains(replace({_L}, '-', ' '), 'bsd 3 clause') THEN 'BSD-3-Clause'
+       WHEN contains({_L}, 'apache license') OR contains(replace({_L}, '-', ' '), 'apache 2.0') THEN 'Apache-2.0'
+       WHEN contains({_L}, 'mit license') THEN 'MIT'
+       WHEN contains({_L}, 'open database license') OR contains({_L}, 'odbl') THEN 'ODbL-1.0'
+       WHEN contains({_L}, 'all rights reserved') THEN 'LicenseRef-Reserved' END
+"""
 
 DOCUMENTS_SQL = f"""
   SELECT doc_id::VARCHAR AS id, source || '/' || doc_id AS source_url, text AS content,
-         coalesce({LICENSE_SQL}, 'MIT') AS license, lang, source
+         coalesce({LICENSE_SQL}, 'unknown') AS license, lang, source
   FROM documents
 """
 

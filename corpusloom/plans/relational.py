@@ -154,24 +154,24 @@ def corpus_stats(spark, folder):
 
 @query("metadata_sidecar", f"""
   WITH d AS ({D})
-  SELECT 'oss-docs' AS dataset_name, 'v2024.12.1' AS version, count(*) AS record_count, 'crawl' AS source,
-         'MIT/Apache' AS license
+  SELECT 'manuals' AS dataset_name, 'v2025.3.2' AS version, count(*) AS record_count, 'crawl' AS source,
+         'mixed' AS license
   FROM d WHERE content IS NOT NULL AND length(content) > 100
 """)
 def metadata_sidecar(spark, folder):
     docs = inputs.documents(spark, folder).where(F.col("content").isNotNull() & (F.length("content") > 100))
-    return stats.metadata_sidecar(docs, "oss-docs", "v2024.12.1", "crawl", "MIT/Apache").drop("created_at")
+    return stats.metadata_sidecar(docs, "manuals", "v2025.3.2", "crawl", "mixed").drop("created_at")
 
 
 @query("storage_estimate", """
-  SELECT lang AS dataset, count(DISTINCT d.doc_id) AS documents, count(*) AS chunks,
-         sum(len(embedding) * 4)::BIGINT AS embedding_bytes
-  FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id GROUP BY 1
+  SELECT lang AS dataset, count(DISTINCT d.doc_id) AS documents, count(vec_id) AS chunks,
+         coalesce(sum(len(embedding) * 4), 0)::BIGINT AS embedding_bytes
+  FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id GROUP BY 1
 """)
 def storage_estimate(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", F.col("lang").alias("dataset"))
     vectors = table(spark, folder, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    return stats.storage_estimate(docs.join(vectors, "doc_id"))
+    return stats.storage_of_documents(docs, vectors)
 
 
 @query("cost_model", """
@@ -316,7 +316,7 @@ def item_parents(spark, folder):
   FROM conversations
 """)
 def thread_depths(spark, folder):
-    """Each turn of a conversation replies to the one before; one join per level."""
+    """Each turn of a conversation replies to the one before; every round doubles the distance looked upwards."""
     turns = table(spark, folder, "conversations").select("conv_id", "turn")
     items = turns.select(
         (F.col("conv_id") * 100000 + F.col("turn")).alias("id"),

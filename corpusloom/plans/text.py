@@ -230,10 +230,11 @@ def page_titles(spark, folder):
     return table(spark, folder, "pages").select("page_id", clean.page_title("html").alias("title"))
 
 
-_ANCHOR = html.ANCHOR.replace("'", "''")
+# Start tags of the anchors in these pages, whose attribute values are all quoted, and the text up to their end tags.
+_ANCHOR = """<[aA]\\s+(?:[^>]*\\s)?[hH][rR][eE][fF]="([^"]*)"[^>]*>((?:[^<]|<[^/]|</[^aA])*)"""
 _SITE = "regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*')"
 LINKS_SQL = f"""
-  SELECT url AS page_url, (j - 1)::INTEGER AS position, hrefs[j] AS href, {_SITE} || hrefs[j] AS link
+  SELECT url AS page_url, (j - 1)::INTEGER AS position, {_decoded('hrefs[j]')} AS href, {_SITE} || {_decoded('hrefs[j]')} AS link
   FROM (SELECT url, hrefs, unnest(range(1, len(hrefs) + 1)) AS j
         FROM (SELECT url, regexp_extract_all(html, '{_ANCHOR}', 1) AS hrefs FROM pages))
   WHERE hrefs[j] LIKE '/%' AND hrefs[j] NOT LIKE '//%'

@@ -59,7 +59,7 @@ def search_license_filter(spark, folder):
   WITH h AS (SELECT vec_id, {_similarity('embedding', QUERY_SQL)} AS sim, {LICENSE} AS license FROM embeddings
              ORDER BY sim DESC, vec_id LIMIT 10)
   SELECT vec_id AS chunk_id, round(sim, 6) AS similarity, license, text AS content, source || '/' || doc_id AS source_url,
-         'oss-docs' AS dataset, 'v2024.12.1' AS version, (SELECT count(*) FROM embeddings) AS total_chunks
+         'manuals' AS dataset, 'v2025.3.2' AS version, (SELECT count(*) FROM embeddings) AS total_chunks
   FROM h JOIN documents ON doc_id = vec_id
 """)
 def hits_hydrate(spark, folder):
@@ -70,7 +70,7 @@ def hits_hydrate(spark, folder):
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("source_url"),
     )
     hits = _six(search.search(corpus, QUERY, 10, keep=("license",)))
-    answer = search.search_response(search.hydrate(hits, content, 10), corpus, "oss-docs", "v2024.12.1")
+    answer = search.search_response(search.hydrate(hits, content, 10), corpus, "manuals", "v2025.3.2")
     return answer.select("chunk_id", "similarity", "license", "content", "source_url", "meta.*")
 
 
@@ -130,6 +130,37 @@ def knn_ivf(spark, folder):
     return _six(search.search_cells(cells, queries, centroids, k=10, probes=3))
 
 
+ODD_SQL = """
+  SELECT vec_id, CASE WHEN vec_id % 97 = 1 THEN NULL WHEN vec_id % 97 = 2 THEN list_transform(embedding, lambda x: 0.0::FLOAT)
+                      WHEN vec_id % 97 = 3 THEN embedding[1:8] ELSE embedding END AS v,
+         vec_id % 97 BETWEEN 1 AND 3 AS odd
+  FROM embeddings
+"""
+
+
+@query("knn_trained", f"""
+  WITH o AS ({ODD_SQL}),
+  r AS (SELECT q.vec_id AS query_id, e.vec_id AS chunk_id,
+               CASE WHEN NOT q.odd AND NOT e.odd THEN {_similarity('e.v', 'q.v')} END AS sim
+        FROM o q JOIN o e ON q.vec_id % 10 = 1),
+  k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC NULLS LAST, chunk_id) AS rank FROM r)
+  SELECT query_id, chunk_id, round(sim, 6) AS similarity, rank::INTEGER AS rank FROM k WHERE rank <= 10
+""")
+def knn_trained(spark, folder):
+    """A stored inverted file with trained cells, all of them probed; some vectors are null, zero or short on both sides."""
+    from corpusloom.session import scratch_path
+
+    path, case = scratch_path(spark, "cells"), F.col("vec_id") % 97
+    odd = F.when(case == 1, F.lit(None)).when(case == 2, F.transform("embedding", lambda x: F.lit(0.0).cast("float"))) \
+        .when(case == 3, F.slice("embedding", 1, 8)).otherwise(F.col("embedding"))
+    corpus = table(spark, folder, "embeddings").select(F.col("vec_id").alias("chunk_id"), odd.alias("embedding"))
+    centroids = search.train_centroids(corpus, 8)
+    search.write_cells(corpus, centroids, path)
+    cells = spark.read.parquet(path)
+    queries = corpus.where(F.col("chunk_id") % 10 == 1).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    return _six(search.search_cells(cells, queries, centroids, k=10, probes=len(centroids)))
+
+
 @query("embed_hash", """
   WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents),
   b AS (SELECT doc_id, (('0x' || substr(md5(token), 1, 8))::BIGINT % 64)::INTEGER AS bucket, count(*) AS c FROM t GROUP BY 1, 2)
@@ -170,7 +201,7 @@ def search_text(spark, folder):
   SELECT id AS chunk_id, id AS doc_id, source_url, content AS chunk_content, license, 0 AS chunk_index,
          '{{"lang":"' || lang || '"}}' AS metadata, len(embedding)::INTEGER AS dimensions,
          round(list_sum(embedding::DOUBLE[]), 5) AS total
-  FROM d JOIN embeddings ON vec_id = id::BIGINT
+  FROM d LEFT JOIN embeddings ON vec_id = id::BIGINT
 """)
 def attach_embeddings(spark, folder):
     docs = inputs.documents(spark, folder)

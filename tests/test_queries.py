@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from corpusloom.plans.catalog import QUERIES, SQL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -32,15 +33,16 @@ def plain(value):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, folder, duck, name):
-    frame = entry_points.queries()[name](spark, folder)
+    frame = QUERIES[name](spark, folder)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
-    expected = duck.sql(entry_points.oracle_sql()[name])
+    expected = duck.sql(SQL[name])
     columns = sorted(expected.columns)
     assert sorted(frame.columns) == columns
     types = dict(zip(expected.columns, map(str, expected.types)))

@@ -23,3 +23,18 @@ print("all ran")
 def test_queries_run_from_any_folder(folder, tmp_path):
     done = subprocess.run([sys.executable, "-c", PROGRAM], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert "all ran" in done.stdout, done.stderr[-3000:]
+
+
+def test_works_without_the_training_operators(folder, tmp_path):
+    """The rest imports and runs where the optional package and its pipeline are not there."""
+    import shutil
+
+    shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
+    shutil.copytree(ROOT / "corpusloom", tmp_path / "corpusloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    program = """
+import __spark_entry__ as e
+assert set(e.queries()) == set(e.oracle_sql()) and not any(n.startswith("op") or n == "pipeline" for n in e.queries())
+print("fine without")
+"""
+    done = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "fine without" in done.stdout, done.stderr[-3000:]
