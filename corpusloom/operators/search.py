@@ -65,9 +65,9 @@ def hydrate(
     return content.join(F.broadcast(hits) if max_hits <= BROADCAST_ROWS else hits, key)
 
 
-def search_response(hits: DataFrame, corpus: DataFrame, dataset: str, version: str) -> DataFrame:
-    """Hits with a ``meta`` struct: dataset, version and the number of chunks searched."""
-    total = corpus.agg(F.count(F.lit(1))).scalar()
+def search_response(hits: DataFrame, corpus: DataFrame | int, dataset: str, version: str) -> DataFrame:
+    """Hits with a ``meta`` struct: dataset, version and the number of chunks searched, counted unless it is given."""
+    total = F.lit(corpus).cast("long") if isinstance(corpus, int) else corpus.agg(F.count(F.lit(1))).scalar()
     meta = F.struct(F.lit(dataset).alias("dataset"), F.lit(version).alias("version"), total.alias("total_chunks"))
     return hits.withColumn("meta", meta)
 

@@ -65,7 +65,7 @@ def grid_manifest(
 def build_summary(manifest: DataFrame) -> DataFrame:
     """Closing report of a dataset build."""
     return manifest.select(
-        F.lit("Pipeline Complete").alias("status"), F.col("document_count").alias("documents"),
+        F.lit("complete").alias("status"), F.col("document_count").alias("documents"),
         F.col("chunk_count").alias("chunks"), "dataset", "version",
     )
 

@@ -1,7 +1,7 @@
 """The two whole journeys: build a dataset version from crawl rows, and search a built version.
 
-Each stage reads what the stage before has stored, so a lost executor or a restarted build repeats one stage at most,
-and every table is computed once.
+Each stage reads what the stage before has stored, so every table is computed once and a lost executor repeats a part of
+one stage. Readers see a version when all of its tables are stored; a build that failed is simply run again.
 """
 
 from __future__ import annotations
@@ -34,8 +34,11 @@ def build_version(
     """
     spark = raw.sparkSession
 
+    tables = []
+
     def store(df: DataFrame, table: str, **options) -> None:
-        layout.write_version(df, root, table, dataset, version, compression, **options)
+        layout.write_version(df, root, table, dataset, version, compression, released=False, **options)
+        tables.append(table)
 
     def stored(table: str) -> DataFrame:
         return layout.read_version(spark, root, table, dataset, version).drop("dataset", "version")
@@ -43,16 +46,17 @@ def build_version(
     docs = clean.dedup_latest(clean.clean_documents(raw, min_chars), key="source_url", tie="id")
     store(docs.drop("crawled_at"), "documents")
     chunks = chunk.chunk_documents(
-        stored("documents"), strategy, size, overlap, min_chars, keep=("source_url", "title", "license", "author")
+        stored("documents"), strategy, size, overlap, min_chars, keep=("source_url", "title", "license", "author", "metadata")
     )
     store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
     store(govern.attributions(stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
     if encoder is not None:
-        store(embed.embeddings_table(embed.embed_chunks(stored("chunks"), encoder)), "embeddings")
+        store(embed.embeddings_table(embed.embed_chunks(stored("chunks"), encoder)), "embeddings", sort_by="chunk_id")
 
     def rows(table: str) -> Column:
         return F.max(F.when(F.col("table") == table, F.col("row_count")))
 
+    layout.release(spark, root, dataset, version, tables)
     written = layout.read_manifests(spark, root).where((F.col("dataset") == dataset) & (F.col("version") == version))
     counts = written.groupBy("dataset", "version").agg(
         rows("documents").alias("document_count"), rows("chunks").alias("chunk_count")
@@ -73,15 +77,20 @@ def search_version(
 ) -> DataFrame:
     """The ``k`` best chunks for a text or a vector, best first, with content, address, license, metadata and ``meta``.
 
-    A text is embedded by the same encoder as the dataset.
+    A text is embedded by the same encoder as the dataset. Finds the hits while it is built (an action).
     """
     if isinstance(query, str):
         query = np.asarray(encoder().encode([query])[0], dtype=float).tolist()
-    version = layout.resolve_version(spark, root, dataset, version)
+    version = layout.resolve_version(spark, root, dataset, version, "embeddings")
     corpus = layout.read_version(spark, root, "embeddings", dataset, version).drop("dataset", "version")
     hits = search.search(corpus, query, k, licenses)
+    # k rows: their ids go into the scan, which reads the few row groups of a table sorted by id.
+    found = hits.collect()
+    hits = spark.createDataFrame(found, hits.schema)
     columns = ["chunk_id", "chunk_content", "source_url", "license", "metadata"]
     content = corpus.select(*columns, *(["embedding"] if include_embeddings else []))
+    content = content.where(F.col("chunk_id").isin([row.chunk_id for row in found]))
     full = search.hydrate(hits, content, k, include_embeddings=include_embeddings)
     full = full.withColumnRenamed("chunk_content", "content").orderBy(F.col("similarity").desc_nulls_last(), "chunk_id")
-    return search.search_response(full, corpus, dataset, version)
+    total = layout.read_manifest(spark, root, dataset, version, "embeddings").select("row_count").first()[0]
+    return search.search_response(full, total, dataset, version)

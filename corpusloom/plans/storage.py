@@ -84,7 +84,7 @@ def version_manifests(spark, folder):
 @query("publish_version", f"""
   WITH RECURSIVE {GRID_SQL},
   k AS (SELECT substr(content, i * 800 + 1, 1000) AS piece FROM c WHERE length(substr(content, i * 800 + 1, 1000)) > 50)
-  SELECT 'oss-docs' AS dataset, 'v2024.12.1' AS version, count(*) AS row_count, 1000 AS chunk_size, 200 AS chunk_overlap,
+  SELECT 'manuals' AS dataset, 'v2025.3.2' AS version, count(*) AS row_count, 1000 AS chunk_size, 200 AS chunk_overlap,
          md5(concat_ws(':', count(*), {", ".join(
              f"sum(('0x' || substr(md5(piece), {4 * i + 1}, 4))::BIGINT)::VARCHAR" for i in range(8))})) AS content_checksum,
          count(*) AS stored_rows
@@ -94,12 +94,12 @@ def publish_version(spark, folder):
     """Two versions of the chunks; the later one is published with checksum and found again as ``latest``."""
     root = scratch_path(spark, "published")
     chunks = chunk.chunk_documents(inputs.documents(spark, folder), "grid", keep=("source_url", "license"))
-    layout.write_version(chunks.where(F.col("chunk_index") == 0), root, "chunks", "oss-docs", "v2024.9.1", "gzip")
+    layout.write_version(chunks.where(F.col("chunk_index") == 0), root, "chunks", "manuals", "v2025.1.9", "gzip")
     layout.write_version(
-        chunks, root, "chunks", "oss-docs", "v2024.12.1", checksum_of="chunk_content", chunk_size=1000, chunk_overlap=200
+        chunks, root, "chunks", "manuals", "v2025.3.2", checksum_of="chunk_content", chunk_size=1000, chunk_overlap=200
     )
-    newest = layout.read_version(spark, root, "chunks", "oss-docs", "latest")
-    manifest = layout.read_manifest(spark, root, "oss-docs", "v2024.12.1", "chunks")
+    newest = layout.read_version(spark, root, "chunks", "manuals", "latest")
+    manifest = layout.read_manifest(spark, root, "manuals", "v2025.3.2", "chunks")
     stored = newest.groupBy("dataset", "version").agg(F.count(F.lit(1)).alias("stored_rows"))
     return manifest.join(stored, ["dataset", "version"]).select(
         "dataset", "version", "row_count", "chunk_size", "chunk_overlap", "content_checksum", "stored_rows"
@@ -119,7 +119,7 @@ def version_files(spark, folder):
         F.col("lang").alias("dataset"), inputs.version_of_source().alias("version"), "id"
     )
     layout.write_versions(docs, root, "documents")
-    files = layout.version_files(layout.read_all_versions(spark, root, "documents"))
+    files = layout.version_files(layout.read_all_versions(spark, root, "documents", with_files=True))
     return files.groupBy("dataset", "version", layout.version_of_path(F.col("file_path")).alias("path_version")).agg(
         F.every(F.col("file_size") > 0).alias("has_size"), F.sum("row_count").alias("row_count")
     )
@@ -201,25 +201,66 @@ def incremental_upsert(spark, folder):
 # --- whole journeys -----------------------------------------------------------------------------------------------
 
 CLEANED_SQL = f"""
-  raw AS ({RAW}),
-  cleaned AS (SELECT DISTINCT ON (url) md5(url) AS id, url, regexp_replace(content, '<[^>]+>', '', 'g') AS content,
-                     coalesce(metadata->>'license', 'MIT') AS license, coalesce(metadata->>'author', 'Unknown') AS author
-              FROM raw WHERE content IS NOT NULL AND length(content) > 50 ORDER BY url, crawled_at DESC),
-  c AS (SELECT id, url, license, author, content, length(content) AS n, 0 AS i FROM cleaned
-        UNION ALL SELECT id, url, license, author, content, n, i + 1 FROM c WHERE (i + 1) * 800 < n),
-  k AS (SELECT id || '_' || i AS chunk_id, url, license, author, substr(content, i * 800 + 1, 1000) AS piece FROM c
+  long_enough AS (SELECT * FROM ({RAW}) WHERE length(content) > 50),
+  newest AS (SELECT url, arg_max(struct_pack(content, metadata), crawled_at) AS r FROM long_enough GROUP BY url),
+  cleaned AS (SELECT md5(url) AS id, url, regexp_replace(r.content, '<[^>]+>', '', 'g') AS content, r.metadata AS metadata,
+                     ifnull(json_extract_string(r.metadata, '$.license'), 'MIT') AS license,
+                     ifnull(json_extract_string(r.metadata, '$.author'), 'Unknown') AS author
+              FROM newest),
+  k AS (SELECT id || '_' || i AS chunk_id, url, license, author, metadata, substr(content, i * 800 + 1, 1000) AS piece
+        FROM cleaned, unnest(range(0, greatest(1, ceil(length(content) / 800.0))::BIGINT)) AS t(i)
         WHERE length(substr(content, i * 800 + 1, 1000)) > 50)
 """
 
 
 @query("build_version", f"""
   WITH RECURSIVE {CLEANED_SQL}
-  SELECT 'Pipeline Complete' AS status, (SELECT count(*) FROM cleaned) AS documents, (SELECT count(*) FROM k) AS chunks,
-         'web' AS dataset, 'v2024.12.1' AS version
+  SELECT 'complete' AS status, (SELECT count(*) FROM cleaned) AS documents, (SELECT count(*) FROM k) AS chunks,
+         'web' AS dataset, 'v2025.3.2' AS version
 """)
 def build_version(spark, folder):
     """Stored pages all the way to documents, chunks, attributions and embeddings on disk."""
-    return build.build_version(inputs.raw_crawl(spark, folder), scratch_path(spark, "built"), "web", "v2024.12.1")
+    return build.build_version(inputs.raw_crawl(spark, folder), scratch_path(spark, "built"), "web", "v2025.3.2")
+
+
+class _Failing:
+    def encode(self, texts):
+        raise RuntimeError("no model")
+
+
+@query("build_again", """
+  SELECT 'web' AS dataset, 'v2025.2.1' AS latest_after_failure, 'v2025.3.2' AS latest_after_rerun, count(DISTINCT url) AS documents
+  FROM pages WHERE length(html) > 50
+""")
+def build_again(spark, folder):
+    """A build that fails half-way leaves the earlier version in place, and the next run takes its place."""
+    root, raw = scratch_path(spark, "built"), inputs.raw_crawl(spark, folder)
+    build.build_version(raw, root, "web", "v2025.2.1", encoder=None)
+    try:
+        build.build_version(raw, root, "web", "v2025.3.2", encoder=_Failing)
+    except Exception as failure:
+        if "no model" not in str(failure):
+            raise
+    before = layout.resolve_version(spark, root, "web")
+    report = build.build_version(raw, root, "web", "v2025.3.2", encoder=None)
+    after = layout.resolve_version(spark, root, "web")
+    return report.select("dataset", F.lit(before).alias("latest_after_failure"), F.lit(after).alias("latest_after_rerun"), "documents")
+
+
+@query("delete_stored_version", f"""
+  WITH d AS ({D})
+  SELECT lang AS dataset, {inputs.VERSION_OF_SOURCE_SQL} AS version, count(*) AS documents
+  FROM d WHERE NOT (lang = 'en' AND source = 'src3') GROUP BY 1, 2
+""")
+def delete_stored_version(spark, folder):
+    """One version deleted from the file layout, its files and its release."""
+    root = scratch_path(spark, "versions")
+    docs = inputs.documents(spark, folder).select(F.col("lang").alias("dataset"), inputs.version_of_source().alias("version"), "id")
+    layout.write_versions(docs, root, "documents")
+    layout.delete_version(spark, root, "en", "v2024.3.1")
+    seen = layout.read_manifests(spark, root).select("dataset", "version")
+    counts = layout.read_all_versions(spark, root, "documents").groupBy("dataset", "version").agg(F.count(F.lit(1)).alias("documents"))
+    return counts.join(seen, ["dataset", "version"])
 
 
 @query("build_attributions", f"""
@@ -230,7 +271,7 @@ def build_version(spark, folder):
 """)
 def build_attributions(spark, folder):
     root = scratch_path(spark, "built")
-    build.build_version(inputs.raw_crawl(spark, folder), root, "web", "v2024.12.1", encoder=None)
+    build.build_version(inputs.raw_crawl(spark, folder), root, "web", "v2025.3.2", encoder=None)
     return layout.read_version(spark, root, "attributions", "web").drop("dataset", "version")
 
 
@@ -244,14 +285,14 @@ def build_attributions(spark, folder):
   s AS (SELECT a.chunk_id, round(sum(a.w * q.w) / (any_value(ma.norm) * any_value(mq.norm)), 12) AS sim
         FROM v a JOIN v q ON q.chunk_id = '?' AND q.bucket = a.bucket JOIN m ma ON ma.chunk_id = a.chunk_id
         JOIN m mq ON mq.chunk_id = '?' WHERE a.chunk_id <> '?' GROUP BY 1 ORDER BY sim DESC, a.chunk_id LIMIT 10)
-  SELECT chunk_id, piece AS content, url AS source_url, license, '{{}}' AS metadata, round(sim, 6) AS similarity,
-         'web' AS dataset, 'v2024.12.1' AS version, (SELECT count(*) FROM k) AS total_chunks
+  SELECT chunk_id, piece AS content, url AS source_url, license, metadata, round(sim, 6) AS similarity,
+         'web' AS dataset, 'v2025.3.2' AS version, (SELECT count(*) FROM k) AS total_chunks
   FROM s JOIN k USING (chunk_id)
 """)
 def search_version(spark, folder):
     """A text searched in the latest version built from stored pages, with a license filter."""
     root = scratch_path(spark, "built")
-    build.build_version(inputs.raw_crawl(spark, folder), root, "web", "v2024.12.1")
+    build.build_version(inputs.raw_crawl(spark, folder), root, "web", "v2025.3.2")
     hits = build.search_version(spark, root, "web", QUERY_TEXT, licenses=["MIT"])
     return hits.select(
         "chunk_id", "content", "source_url", "license", "metadata", F.round("similarity", 6).alias("similarity"), "meta.*"

@@ -61,7 +61,12 @@ POIS = _struct(
 MANIFEST = _struct(
     ("dataset", _S, False), ("version", _S, False), ("table", _S, False), ("row_count", _L, False),
     ("columns", T.ArrayType(_S)), ("compression", _S), ("chunk_size", _I), ("chunk_overlap", _I),
-    ("content_checksum", _S), ("created_at", T.TimestampType()),
+    ("content_checksum", _S), ("schema", _S), ("created_at", T.TimestampType()),
+)
+
+# The record of what readers see: the last line of a dataset, version and table counts.
+RELEASE = _struct(
+    ("dataset", _S, False), ("version", _S, False), ("table", _S, False), ("state", _S, False), ("at", T.TimestampType()),
 )
 
 REGISTRY = _struct(

@@ -2,7 +2,6 @@ import datetime
 import uuid
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from corpusloom.functions.versions import version_key
@@ -210,10 +209,10 @@ def test_layout(spark, tmp_path, compression):
     stored = layout.read_manifest(spark, root, "d", "v2024.9.1", "documents").first()
     assert (stored.row_count, stored.compression, stored.columns) == (100, compression, ["id", "content"])
     assert stored.content_checksum == manifest.content_checksum
-    files = layout.version_files(layout.read_all_versions(spark, root, "documents"))
+    files = layout.version_files(layout.read_all_versions(spark, root, "documents", with_files=True))
     sums = files.groupBy("dataset", "version").agg(F.sum("row_count"))
     assert rows_of(sums) == [("d", "v2024.12.1", 10), ("d", "v2024.9.1", 100), ("e", "v1", 100)]
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FileExistsError):
         layout.write_version(docs, root, "documents", "d", "v2024.9.1", compression)
     with pytest.raises(LookupError):
         layout.read_version(spark, root, "documents", "nobody")
@@ -221,6 +220,24 @@ def test_layout(spark, tmp_path, compression):
         layout.write_version(docs, root, "documents", "d", "v3", "none")
 
 
+def test_release_and_delete(spark, tmp_path):
+    root = str(tmp_path / "root")
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(10)], "id long, content string")
+    layout.write_version(docs, root, "documents", "2024", "v1")
+    layout.write_version(docs, root, "documents", "2024", "v2", released=False)
+    layout.write_version(docs.limit(4), root, "documents", "2024", "v2", released=False)
+    assert layout.resolve_version(spark, root, "2024") == "v1"
+    assert layout.read_all_versions(spark, root, "documents").count() == 10
+    assert layout.read_version(spark, root, "documents", "2024", "v2").count() == 4
+    layout.release(spark, root, "2024", "v2", ["documents"])
+    newest = layout.read_version(spark, root, "documents", "2024")
+    assert newest.count() == 4 and newest.schema["dataset"].dataType.simpleString() == "string"
+    assert layout.delete_version(spark, root, "2024", "v2") == ["documents"]
+    assert layout.resolve_version(spark, root, "2024") == "v1" and not (tmp_path / "root/documents/dataset=2024/version=v2").exists()
+    layout.write_version(docs, root, "documents", "2024", "v2")
+    assert layout.read_version(spark, root, "documents", "2024").count() == 10
+
+
 def test_catalog_table(spark):
     space = f"ns_{uuid.uuid4().hex}"
     tables.ensure_namespace(spark, space)
