@@ -46,6 +46,27 @@ def train_lists(sample: np.ndarray, lists: int, rounds: int = 12, seed: int = 3)
     return centres
 
 
+def probes_needed(sample: np.ndarray, centres: np.ndarray, k: int, recall: float, trials: int = 256) -> int:
+    """The fewest lists to probe for that share of the ``k`` nearest sample vectors of up to ``trials`` sample vectors.
+
+    Neighbours are found by brute force within the sample. In a larger table they are nearer, so fewer lists would do.
+    """
+    if len(sample) < 2:
+        return len(centres)
+    ranks = []
+    squares, middle = (sample**2).sum(1), (centres**2).sum(1)
+    cell = np.concatenate([(middle - 2 * part @ centres.T).argmin(1) for part in np.array_split(sample, -(-len(sample) // 4096))])
+    for n in range(0, len(sample), -(-len(sample) // trials)):
+        gaps = squares - 2 * sample @ sample[n]
+        gaps[n] = np.inf
+        near = np.argsort(gaps)[: min(k, len(sample) - 1)]
+        place = np.empty(len(centres), np.int64)
+        place[np.argsort(middle - 2 * centres @ sample[n], kind="stable")] = np.arange(len(centres))
+        ranks.append(place[cell[near]])
+    ranks = np.sort(np.concatenate(ranks))
+    return int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))) - 1)]) + 1
+
+
 def scan(k: int, turn: np.ndarray):
     """Scores a block of one list for a block of queries; greater is nearer inside, distances come out."""
     width = len(turn)
@@ -86,13 +107,13 @@ def scan(k: int, turn: np.ndarray):
 
 
 def nearest(
-    vectors: DataFrame, k: int = 10, query_every: int = 100, probe_share: float = 0.35, least_probes: int = 8,
+    vectors: DataFrame, k: int = 10, query_every: int = 100, recall: float = 0.95,
     id_column: str = "vec_id", vector_column: str = "embedding",
 ) -> DataFrame:
     """The ``k`` nearest candidates found, by Euclidean distance, for every row whose id ``query_every`` divides.
 
-    Every usable row is in one inverted list; a query probes ``probe_share`` of all lists, at least ``least_probes``, nearest
-    centres first. Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part.
+    Every usable row is in one inverted list; a query probes as many lists, nearest centres first, as it takes to find the
+    share ``recall`` of the neighbours within the sample (see :func:`probes_needed`). Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part.
     Shorter vectors count as filled with zeros; a repeated id counts once, with its nearest vector. Centres are fitted on about
     SAMPLE vectors chosen by a hash of the id, which come to the driver with the centres (at most MAX_LISTS); every row is
     indexed. Stores the usable vectors, the assigned vectors and the queries. Columns: ``query_id``, ``rank``, ``vec_id``, ``score``.
@@ -106,7 +127,7 @@ def nearest(
     if total and not len(sample):
         sample = matrix(rows.limit(1).select("vector").toArrow().column("vector"), width)
     centres = train_lists(sample, min(MAX_LISTS, -(-total // ROWS_PER_LIST))) if total else np.zeros((1, width))
-    probes = min(len(centres), max(least_probes, int(np.ceil(len(centres) * probe_share))))
+    probes = probes_needed(sample, centres, k, recall)
 
     def closest(column: pa.Array, n: int) -> np.ndarray:
         gaps = (centres**2).sum(1) - 2 * matrix(column, width) @ centres.T

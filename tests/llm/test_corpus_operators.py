@@ -77,8 +77,8 @@ def test_huge_components_do_not_overflow(spark):
     assert found == {0: [(1, 2**63 - 1), (2, -(2**63))]}
 
 
-@pytest.mark.parametrize("probe_share", [1.0, 0.35])
-def test_nearest(spark, probe_share, monkeypatch):
+@pytest.mark.parametrize("recall", [1.0, 0.95])
+def test_nearest(spark, recall, monkeypatch):
     from corpusloom.llm import approx_search
 
     monkeypatch.setattr(approx_search, "ROWS_PER_LIST", 20)
@@ -86,7 +86,7 @@ def test_nearest(spark, probe_share, monkeypatch):
     docs = spark.createDataFrame([(*r, "x") for r in rows], VECTOR + ", score string")
     distance = lambda a, b: -math.sqrt(sum((x - y) ** 2 for x, y in zip(a, b)))
     wanted = brute_top(rows, 10, lambda v: any(v), distance)
-    found = as_lists(nearest(docs, probe_share=probe_share).collect())
+    found = as_lists(nearest(docs, recall=recall).collect())
     assert set(found) == set(wanted)
     hits = [len({c for c, _ in found[q]} & {c for c, _ in wanted[q]}) / len(wanted[q]) for q in wanted]
     assert np.mean(hits) >= 0.9
