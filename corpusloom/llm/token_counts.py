@@ -181,19 +181,13 @@ class BatchTokenizer:
     def _group(self, group: list[list[bytes]]) -> Iterator[bytes]:
         if len(self.known) > REMEMBERED:
             self.known = {}
-        new = set()
-        for chunks in group:
-            new.update(chunks)
-        new.difference_update(self.known)
+        # One look into the table per chunk; what it does not have is learnt for the whole group.
+        values = [list(map(self.known.get, chunks)) for chunks in group]
+        new = dict.fromkeys([c for chunks, found in zip(group, values) for c, v in zip(chunks, found) if v is None])
         learnt = self._learn(list(new))
-        keep = {k: v for k, v in learnt.items() if len(k) <= LONGEST}
-        self.known.update(keep)
-        if len(keep) == len(learnt):
-            get = self.known.__getitem__
-        else:
-            get = lambda chunk: self.known[chunk] if chunk in self.known else learnt[chunk]
-        for chunks in group:
-            yield b"".join(map(get, chunks))
+        self.known.update({k: v for k, v in learnt.items() if len(k) <= LONGEST})
+        for chunks, found in zip(group, values):
+            yield b"".join([learnt[c] if v is None else v for c, v in zip(chunks, found)] if None in found else found)
 
     def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks that were not known: the plain ones all at once, the odd ones each by the library's rules."""
