@@ -198,19 +198,17 @@ def _sentence_cutter(size: int, overlap: int, min_chars: int) -> Callable[[Colum
 
 
 def register_chunk_text(spark, name: str = "chunk_text") -> None:
-    """Register ``chunk_text(content, size, overlap)`` for ``SELECT ... FROM docs, LATERAL chunk_text(...)``."""
-    from pyspark.sql.functions import udtf
-
-    @udtf(returnType="chunk_index: int, chunk_content: string")
-    class ChunkText:
-        def eval(self, content: str, size: int, overlap: int):
-            if content is None:
-                return
-            if not 0 <= overlap < size:
-                raise ValueError("need 0 <= overlap < size")
-            step = size - overlap
-            last = max(0, -(-(len(content) - size) // step)) if content else -1
-            for i in range(last + 1):
-                yield i, content[i * step : i * step + size]
-
-    spark.udtf.register(name, ChunkText)
+    """Register ``chunk_text(content, size, overlap)`` for ``SELECT ... FROM docs, LATERAL chunk_text(...)``.
+
+    A SQL function over the closed form: windows start ``size - overlap`` apart, and the last is the first that reaches the
+    end. It runs in the JVM; null and empty texts have no window.
+    """
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(content STRING, size INT, overlap INT)
+        RETURNS TABLE (chunk_index INT, chunk_content STRING)
+        RETURN SELECT i, substr(content, i * (size - overlap) + 1, size)
+        FROM explode(CASE WHEN NOT (overlap >= 0 AND overlap < size) THEN raise_error('need 0 <= overlap < size')
+                          WHEN length(content) > 0
+                          THEN sequence(0, greatest(0, CAST(ceil((length(content) - size) / (size - overlap)) AS INT)))
+                          END) AS window(i)
+    """)

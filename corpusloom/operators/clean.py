@@ -41,18 +41,15 @@ def dedup_latest(df: DataFrame, key: str = "url", order: str = "crawled_at", tie
 
 
 def dedup_exact(df: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """Keep the lowest id of every group of rows with identical text, with the number of copies.
+    """Keep the row with the lowest id of every group of rows with identical text, with the number of copies.
 
-    Grouping is by a 16-byte digest and combines on the map side, so a text copied into a third of the table leaves
-    each task as one row.
+    Ids are unique. Grouping sees ids and 16-byte digests only and combines in the map tasks, so a text copied into a third
+    of the table leaves each task as one row. The rows to keep are then picked by id: the narrow side is hashed, so text
+    is shuffled once and never sorted.
     """
-    rest = [c for c in df.columns if c != row_id]
-    grouped = df.groupBy(F.unhex(F.md5(text)).alias("_h")).agg(
-        F.min(row_id).alias(row_id),
-        F.min_by(F.struct(*rest), row_id).alias("_row"),
-        F.count(F.lit(1)).alias("copies"),
-    )
-    return grouped.select(row_id, *[F.col(f"_row.{c}").alias(c) for c in rest], "copies")
+    groups = df.groupBy(F.unhex(F.md5(text)).alias("_h")).agg(F.min(row_id).alias("_first"), F.count(F.lit(1)).alias("copies"))
+    firsts = groups.select("_first", "copies").hint("shuffle_hash")
+    return df.join(firsts, F.col(row_id) == F.col("_first")).drop("_first")
 
 
 def crawl_rows_from_pages(pages: DataFrame, crawled_at: Column, metadata: Column) -> DataFrame:

@@ -94,7 +94,7 @@ def scrub_personal_data(rows: DataFrame, text: str) -> DataFrame:
 
 
 def content_filter(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Documents that no label row calls toxic or of low quality; unlabelled documents pass."""
+    """Documents that no label row calls toxic or of low quality; unlabelled documents pass. Stores the ids to drop (an action)."""
     bad = labels.where((F.col("toxic") == 1) | (F.col("quality") == 0)).select(key).distinct()
     return docs.join(broadcast_if_small(bad), key, "left_anti")
 

@@ -6,16 +6,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.session import cut_lineage
 
-# Rows a side may have before it is no longer broadcast.
-BROADCAST_ROWS = 200_000
+# Rows a side may have, and bytes of its files, before it is no longer broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 32 << 20
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcasting when it has at most ``max_rows`` rows (runs one bounded count).
+    """Mark ``df`` for broadcasting when it has at most ``max_rows`` rows and BROADCAST_BYTES bytes (an action).
 
-    A larger side is returned unmarked, so the join is a shuffle join instead. ``df`` should be narrow.
+    It is stored first, so it is computed once; counting it then reads file footers. A larger side is returned
+    unmarked, so the join is a shuffle join with the same rows. ``df`` should be narrow.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    stored = cut_lineage(df)
+    size = int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    return F.broadcast(stored) if size <= BROADCAST_BYTES and stored.count() <= max_rows else stored
 
 
 def latest_per_key(
@@ -74,8 +77,12 @@ def join_on_hot_key(
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Equi-join with a ``right`` that is unique on ``key``: broadcast while it is small (counted), else split by hot keys."""
-    if right.limit(max_rows + 1).count() <= max_rows:
+    """Equi-join with a ``right`` that is unique on ``key``: broadcast while it is small, else split by hot keys.
+
+    Stores and counts ``right`` (an action).
+    """
+    right = cut_lineage(right)
+    if right.count() <= max_rows:
         return left.join(F.broadcast(right), key, how)
     return join_on_hot_key(left, right, key, how)
 

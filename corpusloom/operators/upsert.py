@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusloom.functions.dates import epoch_time
 from corpusloom.operators.skew import broadcast_if_small, latest_per_key
-from corpusloom.session import cut_lineage
 
 
 def upsert(
@@ -69,8 +68,9 @@ def changed_documents(current: DataFrame, seen: DataFrame, doc_id: str = "id", t
     """Documents that are new or whose text differs from what ``seen`` (id, content hash) recorded.
 
     Only these need chunking and embedding again. Both sides have one row per id. The comparison shuffles ids and
-    hashes only; texts are picked afterwards by the ids that changed, in place unless there are very many of them.
+    hashes only; texts are picked afterwards by the ids that changed, in place unless there are very many of them. Finding
+    these ids is an action.
     """
     hashes = current.select(doc_id, F.md5(text).alias("content_md5"))
-    changed = cut_lineage(hashes.join(seen.select(doc_id, "content_md5"), [doc_id, "content_md5"], "left_anti"))
+    changed = hashes.join(seen.select(doc_id, "content_md5"), [doc_id, "content_md5"], "left_anti")
     return current.join(broadcast_if_small(changed), doc_id)

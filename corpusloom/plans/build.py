@@ -29,8 +29,8 @@ def build_version(
 ) -> DataFrame:
     """Clean, deduplicate, chunk, attribute and (unless ``encoder`` is None) embed crawl rows into one version.
 
-    Stores documents, chunks, attributions and embeddings with their manifests and returns the closing report
-    ``(status, documents, chunks, dataset, version)``.
+    Stores documents, chunks, attributions and embeddings with their manifests, checks keys and required columns, releases
+    the version and returns the closing report ``(status, documents, chunks, dataset, version)``.
     """
     spark = raw.sparkSession
 
@@ -56,6 +56,10 @@ def build_version(
     def rows(table: str) -> Column:
         return F.max(F.when(F.col("table") == table, F.col("row_count")))
 
+    for table, key, required in (("documents", "id", ["source_url", "content", "license"]), ("chunks", "chunk_id", ["doc_id", "chunk_content"])):
+        broken = govern.constraint_report(stored(table), key, [key, *required]).where("violations > 0").collect()
+        if broken:
+            raise ValueError(f"{table} of {dataset} {version} is not released: {broken}")
     layout.release(spark, root, dataset, version, tables)
     written = layout.read_manifests(spark, root).where((F.col("dataset") == dataset) & (F.col("version") == version))
     counts = written.groupBy("dataset", "version").agg(

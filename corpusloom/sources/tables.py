@@ -22,15 +22,30 @@ def list_namespaces(spark: SparkSession) -> list[str]:
 def ensure_table(
     spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = (), provider: str = "parquet"
 ) -> bool:
-    """Create the table unless it exists; True when it was created."""
+    """Create the table unless it exists; True when it was created.
+
+    File tables do not keep which columns are required, so that is a table property; :func:`append_rows` and
+    :func:`overwrite_rows` hold to it, and :func:`table_schema` gives the schema with it.
+    """
     if spark.catalog.tableExists(name):
         return False
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({columns}) USING {provider} {parts}")
+    required = ",".join(f.name for f in schema if not f.nullable)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {provider} {parts} TBLPROPERTIES ('{_REQUIRED}' = '{required}')")
     return True
 
 
+_REQUIRED = "required.columns"
+
+
+def table_schema(spark: SparkSession, name: str) -> T.StructType:
+    """Schema of a table with the columns it requires."""
+    properties = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    required = properties.get(_REQUIRED, "").split(",")
+    return T.StructType([T.StructField(f.name, f.dataType, f.name not in required) for f in spark.table(name).schema])
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
@@ -40,9 +55,16 @@ def list_tables(spark: SparkSession, namespace: str) -> list[str]:
 
 
 def _fitted(df: DataFrame, name: str) -> DataFrame:
-    """Columns in table order, cast to the declared types; inserting goes by position."""
-    schema = df.sparkSession.table(name).schema
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema])
+    """Columns in table order, cast to the declared types; inserting goes by position. A null in a required column fails the
+    insert, which then adds nothing."""
+
+    def value(field: T.StructField):
+        cast = df[field.name].cast(field.dataType)
+        if not field.nullable:
+            cast = F.when(cast.isNull(), F.raise_error(F.lit(f"{name}.{field.name} is required"))).otherwise(cast)
+        return cast.alias(field.name)
+
+    return df.select(*[value(f) for f in table_schema(df.sparkSession, name)])
 
 
 def append_rows(df: DataFrame, name: str, rebalance_on: tuple[str, ...] = ()) -> None:

@@ -163,3 +163,19 @@ def test_frontier_step(spark):
     visited = spark.createDataFrame([("s.org/",), ("s.org/b",)], "canonical string")
     rows = graph.frontier_step(pages, visited).collect()
     assert [(r.canonical, r.link, r.links) for r in rows] == [("s.org/a", "https://s.org/a", 2)]
+
+
+ODD_PAGE = """<![foo[x]]><!weird><!-- <a href="/hidden">h</a> --><body><a href=/bare>b</a><A HREF='/q?a=1&amp;b=2'>q
+<script>var s = '<a href="/script">s</a>';</script><a href="/open">open <a href="/last">\0</a><![if !IE]><a href="/cond">c</a><![endif]><!-- open"""
+
+
+def test_odd_markup_gives_the_same_links_everywhere(spark):
+    pages = page_rows(spark, [("https://h.org/a", ODD_PAGE), ("https://h.org/b", "<![CDATA[x"), ("https://h.org/c", "<!["), ("https://h.org/d", "<!")])
+    wanted = ["/bare", "/q?a=1&b=2", "/open", "/last", "/cond"]
+    assert [r.href for r in html.page_links(pages).orderBy("position").collect()] == wanted
+    assert [r.href for r in html.page_links(pages, strip_regions=False).orderBy("position").collect()] == wanted
+    found = {r.url: r.links for r in html.extract_pages(pages).collect()}
+    assert found["https://h.org/a"] == [f"https://h.org{w}" for w in wanted] and len(found) == 4
+    listed = html.list_page_links(pages, needle="/").orderBy("position").collect()
+    assert [r.link for r in listed] == [f"https://h.org{w}" for w in wanted]
+    assert html.extract_messages(pages).count() == 4

@@ -261,6 +261,20 @@ def test_catalog_table(spark):
     assert tables.list_tables(spark, space) == []
 
 
+def test_required_columns(spark):
+    from corpusloom.schemas import MESSAGES
+
+    space = f"ns_{uuid.uuid4().hex}"
+    tables.ensure_namespace(spark, space)
+    assert tables.ensure_table(spark, f"{space}.messages", MESSAGES)
+    assert tables.table_schema(spark, f"{space}.messages") == MESSAGES
+    rows = spark.createDataFrame([("a",)], "id string").select(*[F.col("id") if f.name == "id" else F.lit(None).cast(f.dataType).alias(f.name) for f in MESSAGES])
+    tables.append_rows(rows, f"{space}.messages")
+    with pytest.raises(Exception, match="id is required"):
+        tables.append_rows(rows.withColumn("id", F.lit(None).cast("string")), f"{space}.messages")
+    assert spark.table(f"{space}.messages").count() == 1
+
+
 def test_json_files(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"url":"u1","content":"c","metadata":"{}","extra":1},\n {"url":"u2"}]')
     rows = crawl.read_json(spark, str(tmp_path / "*.json"), multiline=True)
