@@ -107,7 +107,8 @@ def test_packing_in_shards(spark, monkeypatch):
     packed = packing.pack(pieces, 100).collect()
     assert sorted(r["doc_id"] for r in packed) == list(range(400))
     used = check_packing(packed, [], None, 100)
-    assert used <= 1.04 * sum(r[2] for r in rows) / 100 + 2
+    # Items as large as these do not fit well: without shards best fit alone needs 206 sequences of at least 199.
+    assert used <= 1.05 * len(best_fit(np.array([r[2] for r in rows]), 100))
 
 
 @settings(max_examples=60, deadline=None)
