@@ -83,7 +83,7 @@ class LocalSearch:
 
     The emptiest bin gives: it moves an item, swaps one for one, two for one or one for two with another underfull
     bin so that the other gets fuller. Each step takes the exchange that carries most tokens over; a giver that can give
-    no more is left as it is and the next one tried. It ends at the fewest bins possible, or after ``patience`` givers in
+    no more is left until another exchange has changed something, and the next one tried. It ends at the fewest bins possible, or after ``patience`` givers in
     a row that could not be emptied.
     """
 
@@ -97,12 +97,15 @@ class LocalSearch:
         used, failed, stuck = int((self.fill > 0).sum()), 0, np.zeros(len(self.bins), bool)
         while used > self.fewest and failed < patience:
             givers = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity) & ~stuck)
-            if len(givers) < 2:
+            if not len(givers):
                 break
             giver = int(givers[np.argmin(self.fill[givers])])
+            changed = False
             while self.bins[giver] and self._step(giver):
-                pass
+                changed = True
             if self.bins[giver]:
+                if changed:
+                    stuck[:] = False  # there is other room now
                 stuck[giver] = True
                 failed += 1
             else:
