@@ -14,6 +14,8 @@ from corpusloom.llm.common import stored
 WORD = r"[^\x20\x09-\x0D]+"
 # Documents in a block of keys, about.
 BLOCK_ROWS = 4096
+# Weight of a document by its quality label.
+WEIGHTS = {"_good": 2.0, "_bad": 0.5, "_other": 1.0}
 
 
 def word_count(text: Column) -> Column:
@@ -53,11 +55,11 @@ def source_targets(sized: DataFrame, source: str, size: str, most: int = 3, cycl
     )
 
 
-def exponential_key(weight: Column, seed: int, *keys: Column) -> tuple[Column, Column]:
-    """Uniform draw in (0, 1) from the keys, and the exponential key it gives a row of that weight."""
+def exponential_key(weight: Column, seed: int, *keys: Column) -> Column:
+    """Exponential key of a row of that weight, from a uniform draw in (0, 1) that its keys fix."""
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys]))
     draw = (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 48))
-    return draw, -F.ln(draw) / weight
+    return -F.ln(draw) / weight
 
 
 def mix(
@@ -84,15 +86,21 @@ def mix(
         sized = sized.join(marks, F.col("_id") == F.col("_labelled"), "left").drop("_labelled")
     else:
         sized = sized.withColumn("_quality", F.lit(None).cast("int"))
-    weight = F.when(F.col("_quality") > 0, 2.0).when(F.col("_quality") <= 0, 0.5).otherwise(1.0)
-    draw, key = exponential_key(weight, seed, F.col("_id"))
-    sized = stored(sized.select("_id", "_from", "size", *extra, draw.alias("_draw"), key.alias("_key")))
-    targets = stored(source_targets(sized, "_from", "size", most))
-    # Blocks cut the key axis where an average source would have BLOCK_ROWS rows; exp(-key) is even for weight 1.
+    good, bad, other = (F.lit(w) for w in WEIGHTS.values())
+    weight = F.when(F.col("_quality") > 0, good).when(F.col("_quality") <= 0, bad).otherwise(other)
+    key = exponential_key(weight, seed, F.col("_id"))
+    sized = stored(sized.select("_id", "_from", "size", *extra, weight.alias("_weight"), key.alias("_key")))
+    targets = source_targets(sized, "_from", "size", most)
+    # Keys of a source are a mixture of exponentials, one for each weight, by the weights' shares of its rows.
+    shares = sized.groupBy(F.col("_from").alias("_whose")).agg(*[F.avg((F.col("_weight") == w).cast("double")).alias(n) for n, w in WEIGHTS.items()])
+    targets = stored(targets.join(shares, F.col("_source").eqNullSafe(F.col("_whose"))).drop("_whose"))
+    # Blocks are even in that distribution, about BLOCK_ROWS rows each, whatever the weights.
     blocks = F.ceil(F.col("_rows") / BLOCK_ROWS)
+    below = 1 - sum(F.col(n) * F.exp(-w * F.col("_key")) for n, w in WEIGHTS.items())
+    block = F.greatest(F.least(F.floor(below * blocks), blocks - 1), F.lit(0)).cast("long")
     # A source's limits are found by the join, so that a hot source is split and not sorted as one.
     joined = sized.join(targets, F.col("_from").eqNullSafe(F.col("_source"))).select(
-        *sized.columns, "source_size", "target", "_rows", F.least(F.floor((1 - F.exp(-F.col("_key"))) * blocks), blocks - 1).cast("long").alias("_block")
+        *sized.columns, "source_size", "target", "_rows", block.alias("_block")
     )
     sums = joined.groupBy("_from", "_block").agg(F.sum("size").alias("_sum"))
     until = Window.partitionBy("_from").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
