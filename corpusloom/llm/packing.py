@@ -83,8 +83,8 @@ class LocalSearch:
 
     The emptiest bin gives: it moves an item, swaps one for one, two for one or one for two with another underfull
     bin so that the other gets fuller. Each step takes the exchange that carries most tokens over; a giver that can give
-    no more is left until another exchange has changed something, and the next one tried. It ends at the fewest bins possible, or after ``patience`` givers in
-    a row that could not be emptied.
+    no more is left until another exchange has changed something, and the next one tried. It ends at the fewest bins
+    possible, or after ``patience`` givers in a row that could not be emptied.
     """
 
     def __init__(self, bins: list[list[int]], sizes: np.ndarray, capacity: int) -> None:
