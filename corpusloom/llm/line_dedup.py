@@ -69,41 +69,41 @@ def template_groups(lines: list[list[str]], agree: float) -> list[int]:
 
 
 def recurring_lines(
-    docs: DataFrame, min_documents: int = 10, agree: float = 0.7, spread: float = 0.5, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, min_documents: int = 10, agree: float = 0.7, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """Lines of recurring templates: id, ``line`` (hash of the masked line).
 
-    A template recurs if it stands in at least ``min_documents`` documents, in as many different surroundings, and these are at
-    least ``spread`` of its documents: surroundings are the leaves of the line before and of the line after, whichever
-    differ more. So copies of whole documents, where a line always has the same neighbours, are not boilerplate. Documents are
-    told apart by id; null ids count as one. Stores the parsed lines (narrow), the distinct lines of leaves with enough
+    A template recurs if it stands in at least ``min_documents`` different documents, wherever it stands in them. Copies count
+    once: a document is known by the least hash of its own lines, those whose template has fewer than ``min_documents``
+    lines. Where these are less than half of its words it is a copy but for some edits, and is known by the least of its other
+    templates. So copies of whole documents are not boilerplate, and boilerplate within copies is judged by the other documents.
+    Documents are told apart by id; null ids count as one. Stores the parsed lines (narrow), the distinct lines of leaves with enough
     lines, and the templates.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "leaf", "line", "before", "after", "masked"]
+    names = ["doc_id", "leaf", "line", "words", "masked"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, leaf, code, before, after, masked = [], [], [], [], [], []
+            of, leaf, code, words, masked = [], [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 parsed = [p for p in map(parse, text.split("\n")) if p] if text else []
                 seen = set()
-                for n, (own, line, form, count) in enumerate(parsed):
+                for own, line, form, count in parsed:
                     if line in seen:
                         continue
                     seen.add(line)
                     of.append(row)
                     leaf.append(own)
                     code.append(line)
-                    before.append(parsed[n - 1][0] if n else 0)
-                    after.append(parsed[n + 1][0] if n + 1 < len(parsed) else 0)
+                    words.append(count)
                     masked.append(form if count <= LONGEST else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(of, pa.int64())), *map(_signed, (leaf, code, before, after)), pa.array(masked, pa.string())], names
+                [batch.column(0).take(pa.array(of, pa.int64())), *map(_signed, (leaf, code)), pa.array(words, pa.int32()), pa.array(masked, pa.string())], names
             )
 
-    lines = stored(rows.mapInArrow(read, f"doc_id {kind}, leaf long, line long, before long, after long, masked string"))
+    lines = stored(rows.mapInArrow(read, f"doc_id {kind}, leaf long, line long, words int, masked string"))
     crowded = stored(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_documents).select("leaf"))
     counted = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.min("masked").alias("masked"))
     distinct = stored(counted.join(crowded, "leaf"))
@@ -126,24 +126,28 @@ def recurring_lines(
     templates = stored(templates)
     often = templates.groupBy("template").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_documents).select("template")
     wanted = stored(templates.join(often, "template").select("line", "template"))
-    places = lines.select("doc_id", "line", "before", "after").join(wanted, "line")
-    documents = places.select("template", "doc_id").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("_documents"))
-    ways = [places.select("template", c).distinct().groupBy("template").agg(F.count(F.lit(1)).alias(f"_{c}")) for c in ("before", "after")]
-    most = F.greatest("_before", "_after")
-    found = documents.join(ways[0], "template").join(ways[1], "template")
-    found = found.where((F.col("_documents") >= min_documents) & (most >= min_documents) & (most >= F.col("_documents") * spread))
-    found = stored(found.select("template").join(wanted, "template").select("line"))
+    own = F.col("template").isNull()
+    known = lines.select("doc_id", "line", "words").join(wanted, "line", "left").groupBy(F.col("doc_id").alias("_of")).agg(
+        F.sum("words").alias("_words"), F.sum(F.when(own, F.col("words")).otherwise(0)).alias("_own"),
+        F.min(F.when(own, F.col("line"))).alias("_own_line"), F.min("template").alias("_least"), F.max("template").alias("_most"),
+    )
+    other = F.when(F.col("_least") == F.col("template"), F.col("_most")).otherwise(F.col("_least"))
+    mark = F.when(F.col("_own") * 2 >= F.col("_words"), F.col("_own_line")).otherwise(other)
+    places = lines.select("doc_id", "line").join(wanted, "line")
+    marked = places.select("template", "doc_id").distinct().join(known, F.col("doc_id").eqNullSafe(F.col("_of")))
+    found = marked.select("template", mark.alias("_mark")).distinct().groupBy("template").agg(F.count(F.lit(1)).alias("_documents"))
+    found = stored(found.where(F.col("_documents") >= min_documents).select("template").join(wanted, "template").select("line"))
     return places.select("doc_id", "line").join(found, "line").select(F.col("doc_id").alias(id_column), "line").distinct()
 
 
-def drop_recurring(docs: DataFrame, min_documents: int = 10, agree: float = 0.7, spread: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def drop_recurring(docs: DataFrame, min_documents: int = 10, agree: float = 0.7, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` without the lines of recurring templates (see :func:`recurring_lines`); all its columns stay.
 
     A document of which nothing but white space is left, and had something before, goes; null and empty texts stay as they
     are. Rows that repeat an id lose the same lines; null ids count as one document. Other columns are not touched.
     """
     gone_column, key = fresh(docs, "_gone"), fresh(docs, "_loser")
-    losers = recurring_lines(docs, min_documents, agree, spread, id_column, text_column)
+    losers = recurring_lines(docs, min_documents, agree, id_column, text_column)
     losers = losers.groupBy(F.col(id_column).alias(key)).agg(F.collect_set("line").alias(gone_column))
     joined = docs.join(losers, F.col(id_column).eqNullSafe(F.col(key)), "left").drop(key)
     place, gone_place = docs.columns.index(text_column), len(docs.columns)

@@ -187,6 +187,24 @@ def test_recurring_templates_are_dropped_and_copies_are_not(spark):
     assert drop_recurring(docs.limit(0)).collect() == []
 
 
+def test_boilerplate_is_judged_by_different_documents(spark):
+    block = ["Subscribe to our letter", "Read on every device you own", "Follow us on all the networks"]
+    own = lambda n: [clean_line(10_000 + 10 * n + k) for k in range(4)]
+    header = "All of this is free to copy"
+    rows = [(n, [header, *own(n)] if n % 2 else [*own(n), header]) for n in range(40)]
+    rows += [(100 + n, [*block, *own(100 + n)]) for n in range(20)]
+    inside = "Printed on paper from our own mill"
+    copy = own(500) + [inside] + own(501)
+    rows += [(200 + n, copy) for n in range(50)]
+    rows += [(300 + n, [*own(300 + n)[:2], inside, *own(300 + n)[2:]]) for n in range(12)]
+    long = [clean_line(20_000 + k) for k in range(10)]
+    near = [(400 + n, [*long[: n % 10], clean_line(30_000 + n), *long[n % 10 + 1 :]]) for n in range(40)]
+    docs = spark.createDataFrame([(n, "\n".join(t)) for n, t in rows + near], DOC)
+    gone = {header, inside, *block}
+    kept = {r["doc_id"]: r["text"].split("\n") for r in drop_recurring(docs).collect()}
+    assert kept == {n: [x for x in t if x not in gone] for n, t in rows + near}
+
+
 def test_a_very_long_document_passes_line_dedup(spark):
     text = "\n".join(clean_line(n) for n in range(4000))
     assert drop_recurring(spark.createDataFrame([(1, text)], DOC)).collect()[0]["text"] == text
