@@ -19,8 +19,8 @@ from corpusloom.llm.common import fresh, stored
 
 VARIABLE = "<*>"
 _DIGIT = re.compile(r"\S*\d\S*")
-# Leading tokens that lead through the tree; lines with more tokens are templates by themselves (digits apart).
-DEPTH, LONGEST = 2, 40
+# Leading tokens that lead through the tree.
+DEPTH = 2
 # Different lines of a leaf that are compared in one task; a larger leaf is split by its next tokens.
 LEAF_LINES = 4096
 
@@ -77,20 +77,20 @@ def recurring_lines(
     once: a document is known by the least hash of its own lines, those whose template has fewer than ``min_documents``
     lines. Where these are less than half of its words it is a copy but for some edits, and is known by the least of its other
     templates. So copies of whole documents are not boilerplate, and boilerplate within copies is judged by the other documents.
-    Documents are told apart by id; null ids count as one. Stores the parsed lines (narrow), the distinct lines of leaves with enough
-    lines, and the templates.
+    Documents are told apart by id; null ids count as one. Stores the parsed lines and the distinct lines of leaves with enough lines, both
+    without text, and the templates. Texts are parsed again for the lines that are compared.
     """
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "leaf", "line", "words", "masked"]
+    names = ["doc_id", "leaf", "line", "words"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, leaf, code, words, masked = [], [], [], [], []
+            of, leaf, code, words = [], [], [], []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 parsed = [p for p in map(parse, text.split("\n")) if p] if text else []
                 seen = set()
-                for own, line, form, count in parsed:
+                for own, line, _, count in parsed:
                     if line in seen:
                         continue
                     seen.add(line)
@@ -98,18 +98,23 @@ def recurring_lines(
                     leaf.append(own)
                     code.append(line)
                     words.append(count)
-                    masked.append(form if count <= LONGEST else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(of, pa.int64())), *map(_signed, (leaf, code)), pa.array(words, pa.int32()), pa.array(masked, pa.string())], names
+                [batch.column(0).take(pa.array(of, pa.int64())), *map(_signed, (leaf, code)), pa.array(words, pa.int32())], names
             )
 
-    lines = stored(rows.mapInArrow(read, f"doc_id {kind}, leaf long, line long, words int, masked string"))
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = {p[1]: p[2] for text in batch.column(0).to_pylist() if text for p in map(parse, text.split("\n")) if p}
+            yield pa.RecordBatch.from_arrays([_signed(list(forms)), pa.array(forms.values(), pa.string())], ["line", "masked"])
+
+    lines = stored(rows.mapInArrow(read, f"doc_id {kind}, leaf long, line long, words int"))
     crowded = stored(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_documents).select("leaf"))
-    counted = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.min("masked").alias("masked"))
+    counted = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
     distinct = stored(counted.join(crowded, "leaf"))
-    # Templates of several lines, leaf by leaf.
-    sizes = distinct.where(F.col("masked").isNotNull()).groupBy("leaf").agg(F.count(F.lit(1)).alias("_lines")).where("_lines > 1")
-    several = distinct.where(F.col("masked").isNotNull()).join(sizes, "leaf")
+    # Templates of several lines, leaf by leaf; only here lines carry their text.
+    sizes = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("_lines")).where("_lines > 1")
+    forms = rows.select("text").mapInArrow(spell, "line long, masked string").groupBy("line").agg(F.min("masked").alias("masked"))
+    several = distinct.join(sizes, "leaf").join(forms, "line")
     tokens = F.split("masked", " ")
     branch = F.when(F.col("_lines") > LEAF_LINES, F.pmod(F.hash(F.slice(tokens, DEPTH + 1, 2)), F.ceil(F.col("_lines") * 2 / LEAF_LINES).cast("int"))).otherwise(0)
     several = several.select("leaf", branch.alias("branch"), "line", "masked")

@@ -205,6 +205,15 @@ def test_boilerplate_is_judged_by_different_documents(spark):
     assert kept == {n: [x for x in t if x not in gone] for n, t in rows + near}
 
 
+def test_long_lines_share_templates(spark):
+    words = " ".join(clean_line(40_000 + k) for k in range(8)).split()
+    notice = lambda n: " ".join([*words[:30], clean_line(41_000 + n).split()[0], *words[30:]])
+    rows = [(n, "\n".join([*(clean_line(42_000 + 20 * n + k) for k in range(12)), notice(n)])) for n in range(20)]
+    kept = drop_recurring(spark.createDataFrame(rows, DOC)).collect()
+    assert len(notice(0).split()) == 97 and len(kept) == 20
+    assert {r["doc_id"]: r["text"] for r in kept} == {n: t.rpartition("\n")[0] for n, t in rows}
+
+
 def test_a_very_long_document_passes_line_dedup(spark):
     text = "\n".join(clean_line(n) for n in range(4000))
     assert drop_recurring(spark.createDataFrame([(1, text)], DOC)).collect()[0]["text"] == text
