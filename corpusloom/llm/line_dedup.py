@@ -18,18 +18,20 @@ from pyspark.sql import DataFrame, functions as F
 from corpusloom.llm.common import fresh, stored
 
 VARIABLE = "<*>"
-_DIGIT = re.compile(r"\S*\d\S*")
+_DIGIT = re.compile(r"\d")
 # Leading tokens that lead through the tree.
 DEPTH = 2
-# Different lines of a leaf that are compared in one task; a larger leaf is split by its next tokens.
-LEAF_LINES = 4096
+# Different lines of a leaf, and tokens in them, that are clustered at once; blocks of a larger leaf are merged afterwards.
+LEAF_LINES, LEAF_TOKENS = 4096, 1 << 22
 
 
 def parse(line: str) -> tuple[int, int, str, int] | None:
     """Leaf, hash of the masked line, masked line and token count; None for a line without tokens."""
-    tokens = _DIGIT.sub(VARIABLE, line).split()
+    tokens = line.split()
     if not tokens:
         return None
+    if _DIGIT.search(line):
+        tokens = [VARIABLE if _DIGIT.search(t) else t for t in tokens]
     masked = " ".join(tokens)
     leaf = xxhash.xxh3_64_intdigest("\x1f".join([str(len(tokens)), *tokens[:DEPTH]]).encode("utf-8", "surrogatepass"))
     return leaf, xxhash.xxh3_64_intdigest(masked.encode("utf-8", "surrogatepass")), masked, len(tokens)
@@ -39,24 +41,38 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64), pa.int64())
 
 
+def _table(lines: list[list[str]]) -> np.ndarray:
+    codes: dict[str, int] = {VARIABLE: 0}
+    return np.array([[codes.setdefault(t, len(codes)) for t in line] for line in lines], np.int32)
+
+
+def _agreement(known: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """The share of places in which each of the known templates agrees with a line; 0 where too few would stay fixed."""
+    fixed = known != 0
+    equal = ((known == row) & fixed).sum(axis=1)
+    score = (equal + (~fixed).sum(axis=1)) / known.shape[1]
+    score[equal * 2 <= known.shape[1]] = 0
+    return score
+
+
 def template_groups(lines: list[list[str]], agree: float) -> list[int]:
     """For lines of one token count: the number of the first line of each one's template.
 
     A line joins the template that it agrees with in most places (variable places agree with anything), if that is a
     share of at least ``agree`` and over half of its places are still fixed; places that differ become variable.
     """
-    codes: dict[str, int] = {VARIABLE: 0}
-    table = np.array([[codes.setdefault(t, len(codes)) for t in line] for line in lines], np.int64)
+    return _grouped(lines, agree)[0]
+
+
+def _grouped(lines: list[list[str]], agree: float) -> tuple[list[int], dict[int, list[str]]]:
+    """The groups of :func:`template_groups`, and the template of each first line."""
+    table = _table(lines)
     templates = np.zeros_like(table)
     owners: list[int] = []
     result = []
     for n, row in enumerate(table):
         if owners:
-            known = templates[: len(owners)]
-            fixed = known != 0
-            equal = ((known == row) & fixed).sum(axis=1)
-            score = (equal + (~fixed).sum(axis=1)) / table.shape[1]
-            score[(equal * 2 <= table.shape[1])] = 0
+            score = _agreement(templates[: len(owners)], row)
             best = int(score.argmax())
             if score[best] >= agree:
                 templates[best][templates[best] != row] = 0
@@ -65,7 +81,81 @@ def template_groups(lines: list[list[str]], agree: float) -> list[int]:
         templates[len(owners)] = row
         owners.append(n)
         result.append(n)
-    return result
+    return result, {n: [t if code else VARIABLE for t, code in zip(lines[n], templates[k])] for k, n in enumerate(owners)}
+
+
+def settled_groups(lines: list[list[str]], agree: float) -> tuple[list[int], dict[int, list[str]]]:
+    """Groups as in :func:`template_groups`, their templates grouped again until none agrees enough with an earlier one."""
+    groups, forms = _grouped(lines, agree)
+    while True:
+        firsts = list(forms)
+        again, merged = _grouped([forms[n] for n in firsts], agree)
+        if len(merged) == len(firsts):
+            return groups, forms
+        into = {n: firsts[m] for n, m in zip(firsts, again)}
+        groups, forms = [into[n] for n in groups], {firsts[n]: form for n, form in merged.items()}
+
+
+def _in_blocks(rows: DataFrame, key: str) -> DataFrame:
+    """Adds the number of blocks of each leaf, and a block by a hash of ``key``."""
+    sizes = rows.groupBy("leaf").agg(F.greatest(F.ceil(F.count(F.lit(1)) / LEAF_LINES), F.ceil(F.sum("words") / LEAF_TOKENS)).cast("int").alias("blocks"))
+    return rows.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64(key), F.col("blocks")).cast("int"))
+
+
+def _merged(templates: DataFrame, agree: float) -> DataFrame:
+    """Templates of leaves in several blocks that agree enough with others: ``template``, ``into``.
+
+    In every round each block of a leaf meets each block in a task of its own, where a template looks for an earlier one that it
+    agrees with. Those whose earlier one has none itself join it. Ends when no template finds another; leaves without a
+    find leave the rounds before.
+    """
+
+    def look(table: pa.Table) -> pa.Table:
+        table = table.sort_by("template")
+        names, block = table.column("template").to_numpy(), table.column("block").to_numpy()
+        forms = _table([m.split(" ") for m in table.column("masked").to_pylist()])
+        apart, found, into = block.min() != block.max(), [], []
+        for n in range(1, len(forms)):
+            score = _agreement(forms[:n], forms[n])
+            if apart:
+                score[block[:n] == block[n]] = 0
+            best = int(score.argmax())
+            if score[best] >= agree:
+                found.append(names[n])
+                into.append(names[best])
+        return pa.table([table.column("leaf").take(pa.array([0] * len(found), pa.int64())), pa.array(found, pa.int64()), pa.array(into, pa.int64())], ["leaf", "template", "into"])
+
+    def join(table: pa.Table) -> pa.Table:
+        # The root is the least of its own members.
+        table = table.sort_by("template")
+        groups, forms = _grouped([m.split(" ") for m in table.column("masked").to_pylist()], agree)
+        of_root = pa.array([g == 0 for g in groups], pa.bool_())
+        own = table.select(["template", "into"]).filter(of_root)
+        return own.append_column("form", pa.array([" ".join(forms[0])] * own.num_rows, pa.string()))
+
+    moves: list[DataFrame] = []
+    live = templates
+    while True:
+        dealt = _in_blocks(live, "template")
+        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other")
+        pairs = dealt.select("leaf", "template", "masked", "block", other)
+        pairs = pairs.select("leaf", F.least("block", "_other").alias("low"), F.greatest("block", "_other").alias("high"), "template", "masked", "block")
+        found = pairs.groupBy("leaf", "low", "high").applyInArrow(look, "leaf long, template long, into long")
+        found = stored(found.groupBy("leaf", "template").agg(F.min("into").alias("into")))
+        if found.isEmpty():
+            break
+        ready = found.join(found.select(F.col("template").alias("into")), "into", "left_anti").select("template", "into")
+        ready = ready.union(ready.select(F.col("into").alias("template"), "into").distinct())
+        moved = stored(ready.join(live.select("template", "masked"), "template").groupBy("into").applyInArrow(join, "template long, into long, form string"))
+        moves.append(moved.where("template <> into").select("template", "into"))
+        live = live.join(found.select("leaf").distinct(), "leaf", "left_semi")
+        live = live.join(moves[-1], "template", "left_anti").join(moved.where("template = into").select("template", "form"), "template", "left")
+        live = stored(live.select("leaf", "template", F.coalesce("form", "masked").alias("masked"), "words"))
+    result = templates.select("template", F.col("template").alias("into"))
+    for move in moves:
+        result = result.join(move.select(F.col("template").alias("into"), F.col("into").alias("_next")), "into", "left")
+        result = result.select("template", F.coalesce("_next", "into").alias("into"))
+    return result.where("template <> into")
 
 
 def recurring_lines(
@@ -109,24 +199,32 @@ def recurring_lines(
 
     lines = stored(rows.mapInArrow(read, f"doc_id {kind}, leaf long, line long, words int"))
     crowded = stored(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_documents).select("leaf"))
-    counted = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"))
+    counted = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("n"), F.min("words").alias("words"))
     distinct = stored(counted.join(crowded, "leaf"))
     # Templates of several lines, leaf by leaf; only here lines carry their text.
     sizes = distinct.groupBy("leaf").agg(F.count(F.lit(1)).alias("_lines")).where("_lines > 1")
     forms = rows.select("text").mapInArrow(spell, "line long, masked string").groupBy("line").agg(F.min("masked").alias("masked"))
-    several = distinct.join(sizes, "leaf").join(forms, "line")
-    tokens = F.split("masked", " ")
-    branch = F.when(F.col("_lines") > LEAF_LINES, F.pmod(F.hash(F.slice(tokens, DEPTH + 1, 2)), F.ceil(F.col("_lines") * 2 / LEAF_LINES).cast("int"))).otherwise(0)
-    several = several.select("leaf", branch.alias("branch"), "line", "masked")
+    several = _in_blocks(distinct.join(sizes, "leaf").select("leaf", "line", "words"), "line").join(forms, "line")
+    several = several.select("leaf", "block", "blocks", "line", "masked")
 
     def cluster(table: pa.Table) -> pa.Table:
         table = table.sort_by("masked")
         code = table.column("line").to_numpy()
-        groups = template_groups([m.split(" ") for m in table.column("masked").to_pylist()], agree)
-        return pa.table([pa.array(code), pa.array(code[groups])], ["line", "template"])
+        groups, found = settled_groups([m.split(" ") for m in table.column("masked").to_pylist()], agree)
+        # Templates go on where their leaf has other blocks.
+        first = [n == g and blocks > 1 for n, (g, blocks) in enumerate(zip(groups, table.column("blocks").to_pylist()))]
+        form = pa.array([" ".join(found[n]) if own else None for n, own in enumerate(first)], pa.string())
+        words = pa.array([len(m.split(" ")) for m in table.column("masked").to_pylist()], pa.int32())
+        result = pa.table([table.column("leaf"), pa.array(code), pa.array(code[groups]), form, words], ["leaf", "line", "template", "form", "words"])
+        return result.filter(pa.array([a or g != n for n, (g, a) in enumerate(zip(groups, first))], pa.bool_()))
 
-    joined = several.groupBy("leaf", "branch").applyInArrow(cluster, "line long, template long").where("line <> template")
-    joined = stored(joined)
+    clustered = stored(several.groupBy("leaf", "block").applyInArrow(cluster, "leaf long, line long, template long, form string, words int"))
+    joined = clustered.where("line <> template").select("line", "template")
+    halves = clustered.where("form is not null").select("leaf", "template", F.col("form").alias("masked"), "words")
+    if not halves.isEmpty():
+        merged = stored(_merged(halves, agree))
+        joined = clustered.select("line", "template").join(merged, "template", "left")
+        joined = joined.select("line", F.coalesce("into", "template").alias("template")).where("line <> template")
     templates = distinct.select("line", "n").join(joined, "line", "left").select("line", F.coalesce("template", "line").alias("template"), "n")
     templates = stored(templates)
     often = templates.groupBy("template").agg(F.sum("n").alias("_n")).where(F.col("_n") >= min_documents).select("template")

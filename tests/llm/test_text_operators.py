@@ -214,6 +214,22 @@ def test_long_lines_share_templates(spark):
     assert {r["doc_id"]: r["text"] for r in kept} == {n: t.rpartition("\n")[0] for n, t in rows}
 
 
+def test_crowded_leaves_give_the_templates_of_small_ones(spark, monkeypatch):
+    from corpusloom.llm import line_dedup
+
+    name = lambda n: clean_line(50_000 + n).split()[0]
+    third = lambda n: f"Written by {name(n)} for all of the readers here"
+    late = lambda n: f"This work is licensed to {name(n)} under the usual terms"
+    rows = [(n, [third(n), *(clean_line(52_000 + 10 * n + k) for k in range(6)), late(n)]) for n in range(40)]
+    # A leaf of its own, in which no line is like another.
+    rows += [(100 + n, [f"We say {clean_line(60_000 + n)}", *(clean_line(62_000 + 10 * n + k) for k in range(3))]) for n in range(20)]
+    docs = spark.createDataFrame([(n, "\n".join(t)) for n, t in rows], DOC)
+    wanted = {n: t[1:-1] if n < 100 else t for n, t in rows}
+    for most in (4096, 9):
+        monkeypatch.setattr(line_dedup, "LEAF_LINES", most)
+        assert {r["doc_id"]: r["text"].split("\n") for r in drop_recurring(docs).collect()} == wanted
+
+
 def test_a_very_long_document_passes_line_dedup(spark):
     text = "\n".join(clean_line(n) for n in range(4000))
     assert drop_recurring(spark.createDataFrame([(1, text)], DOC)).collect()[0]["text"] == text
