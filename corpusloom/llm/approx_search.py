@@ -113,7 +113,8 @@ def nearest(
     """The ``k`` nearest candidates found, by Euclidean distance, for every row whose id ``query_every`` divides.
 
     Every usable row is in one inverted list; a query probes as many lists, nearest centres first, as it takes to find the
-    share ``recall`` of the neighbours within the sample (see :func:`probes_needed`). Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part.
+    share ``recall`` of the neighbours within the sample (see :func:`probes_needed`), and further ones until they hold ``k`` ids
+    besides its own: only where there are fewer candidates are there fewer rows. Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part.
     Shorter vectors count as filled with zeros; a repeated id counts once, with its nearest vector. Centres are fitted on about
     SAMPLE vectors chosen by a hash of the id, which come to the driver with the centres (at most MAX_LISTS); every row is
     indexed. Stores the usable vectors, the assigned vectors and the queries. Columns: ``query_id``, ``rank``, ``vec_id``, ``score``.
@@ -129,19 +130,26 @@ def nearest(
     centres = train_lists(sample, min(MAX_LISTS, -(-total // ROWS_PER_LIST))) if total else np.zeros((1, width))
     probes = probes_needed(sample, centres, k, recall)
 
-    def closest(column: pa.Array, n: int) -> np.ndarray:
+    def closest(column: pa.Array) -> np.ndarray:
         gaps = (centres**2).sum(1) - 2 * matrix(column, width) @ centres.T
-        return np.argsort(gaps, axis=1, kind="stable")[:, :n].astype(np.int32)
+        return np.argsort(gaps, axis=1, kind="stable").astype(np.int32)
 
     @arrow_udf("int")
     def own_list(column: pa.Array) -> pa.Array:
-        return pa.array(closest(column, 1)[:, 0])
+        return pa.array(closest(column)[:, 0])
+
+    held = stored(rows.select(own_list("vector").alias("list"), "vec_id", "vector"))
+    # A repeated id counts in one of its lists.
+    sizes = np.zeros(len(centres), np.int64)
+    for r in held.groupBy("vec_id").agg(F.min("list").alias("list")).groupBy("list").count().collect():
+        sizes[r["list"]] = r["count"]
 
     @arrow_udf("array<int>")
     def probed(column: pa.Array) -> pa.Array:
-        return pa.array(list(closest(column, probes)), pa.list_(pa.int32()))
+        order = closest(column)
+        enough = (np.cumsum(sizes[order], axis=1) < k + 1).sum(axis=1) + 1
+        return pa.array([row[: max(probes, n)] for row, n in zip(order, enough)], pa.list_(pa.int32()))
 
-    held = stored(rows.select(own_list("vector").alias("list"), "vec_id", "vector"))
     queries = rows.where(F.col("vec_id") % query_every == 0).select(F.col("vec_id").alias("query_id"), "vector", probed("vector").alias("lists"))
     queries = stored(queries.select(F.explode("lists").alias("list"), "query_id", "vector", F.lit(0.0).alias("bound")))
     return meet(held, queries, width, k, "double", False, scan(k, rotation(width)))

@@ -314,3 +314,19 @@ def test_queries_against_sql(spark, folder, name):
     found = QUERIES[name](spark, folder).select(*columns)
     rows = wanted.select(*[f'"{c}"' for c in columns]).fetchall()
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, rows))
+
+
+def test_queries_beside_small_lists_get_all_their_rows(spark, monkeypatch):
+    from corpusloom.llm import approx_search
+
+    monkeypatch.setattr(approx_search, "ROWS_PER_LIST", 50)
+    draw = np.random.default_rng(9)
+    rows = [(n, (draw.standard_normal(8) + 3).tolist()) for n in range(1, 600) if n % 100]
+    # Queries far from all others, alone or with a few copies of one id.
+    rows += [(100 * n, (np.eye(8)[n] * 1000 * n).tolist()) for n in range(1, 6)]
+    rows += [(7, (np.eye(8)[2] * 2000 + 1 + n).tolist()) for n in range(15)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {r["query_id"]: r["count"] for r in approx_search.nearest(vectors).groupBy("query_id").count().collect()}
+    assert found == {100 * n: 10 for n in range(1, 6)}
+    few = vectors.where("vec_id % 100 = 0")
+    assert {r["count"] for r in approx_search.nearest(few).groupBy("query_id").count().collect()} == {4}
