@@ -198,8 +198,14 @@ def _meet(chunks: DataFrame, queries: DataFrame, k: int, exclude_self: bool) ->
     chunks = chunks.where(F.col("cell").isin(sorted(asked)))
     held = {r[0]: r[1] for r in chunks.groupBy("cell").count().collect()}
     cuts = [(cell, -(-held[cell] // BLOCK_CHUNKS), -(-asked[cell] // BLOCK_QUERIES)) for cell in sorted(held)]
-    cuts = F.broadcast(spark.createDataFrame(cuts, "cell int, _parts int, _blocks int"))
     queries = queries.withColumn("_width", width)
+    if len(cuts) > 1:
+        plan = F.broadcast(spark.createDataFrame(cuts, "cell int, _parts int, _blocks int"))
+        chunks, queries = chunks.join(plan, "cell"), queries.join(plan, "cell")
+    else:  # a single cell, which an exact search has: its counts are literals, a join on it would have no key
+        cell, parts, blocks = cuts[0] if cuts else (0, 1, 1)
+        counts = {"_parts": F.lit(parts), "_blocks": F.lit(blocks)}
+        chunks, queries = chunks.withColumns(counts), queries.where(F.col("cell") == cell).withColumns(counts)
 
     def part(key: str, count: str):
         return F.pmod(F.xxhash64(key), F.col(count)).cast("int")
@@ -207,8 +213,8 @@ def _meet(chunks: DataFrame, queries: DataFrame, k: int, exclude_self: bool) ->
     def every(count: str):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    left = chunks.join(cuts, "cell").select("cell", part(chunk_id, "_parts").alias("part"), every("_blocks").alias("block"), chunk_id, vector)
-    right = queries.join(cuts, "cell").select(
+    left = chunks.select("cell", part(chunk_id, "_parts").alias("part"), every("_blocks").alias("block"), chunk_id, vector)
+    right = queries.select(
         "cell", every("_parts").alias("part"), part(query_id, "_blocks").alias("block"), query_id, query_vector, "_width"
     )
     shape = T.StructType([

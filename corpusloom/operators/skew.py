@@ -17,7 +17,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     unmarked, so the join is a shuffle join with the same rows. ``df`` should be narrow.
     """
     stored = cut_lineage(df)
-    size = int(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return F.broadcast(stored) if size <= BROADCAST_BYTES and stored.count() <= max_rows else stored
 
 

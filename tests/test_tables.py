@@ -147,7 +147,7 @@ def test_long_addresses_do_not_exhaust_the_stack(spark):
 def test_licenses(spark):
     cases = {
         "Released under the MIT License.": "MIT", "licensed under the apache license": "Apache-2.0", "cc by-nc 4.0": "CC-BY-NC-4.0",
-        "CC-BY 4.0": "CC-BY-4.0", "cc0": "CC0-1.0", "Creative commons zero": "CC0-1.0", "ODBL": "ODbL-1.0", "GPL v3": None, "": None,
+        "CC-BY 4.0": "CC-BY-4.0", "cc0": "CC0-1.0", "Creative commons zero": "CC0-1.0", "ODBL": "ODbL-1.0", "GPL v3": "GPL-3.0", "": None,
     }
     frame = spark.createDataFrame([(c,) for c in cases], "t string")
     found = frame.select("t", govern.detect_license("t").alias("license"))
