@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.approx_search import nearest
 from corpusloom.llm.common import documents, table
+from corpusloom.llm.exact_dedup import exact_duplicates
 from corpusloom.llm.exact_search import top_products
+from corpusloom.llm.importance import resample
 from corpusloom.llm.language_id import identify
 from corpusloom.llm.line_dedup import drop_recurring
+from corpusloom.llm.merkle import merkle_manifest
 from corpusloom.llm.mixing import mix
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.packing import pack_documents
@@ -80,11 +83,28 @@ def op10_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(documents(spark, folder, "doc_id", "text"), shingle=2)
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder, "doc_id", "source", "lang", "n_chars", "text")
+    # Tampering: where the checksum of the id is even, the line breaks are gone.
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shown = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle_manifest(docs, presented={"text": shown}).drop("path")
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample(documents(spark, folder, "doc_id", "text"), table(spark, folder, "benchmark")).drop("n_words")
+
+
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates(documents(spark, folder, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_line_dedup, op3_token_counts, op4_url_filters, op5_exact_top_k, op6_substring_dedup,
         op7_source_mixing, op8_adaptive_scan, op9_language_id, op10_minhash_near_dedup,
+        op11_merkle_manifest, op12_importance_resampling, op13_exact_dedup,
     )
 }
 
@@ -186,5 +206,94 @@ component AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, CAST(len(d.s) AS BIGINT) AS n_shingles, coalesce(k.component_id, d.doc_id) AS component_id,
        d.doc_id = coalesce(k.component_id, d.doc_id) AS kept
 FROM sets d LEFT JOIN classes c ON c.s = d.s LEFT JOIN component k ON k.node = c.rep
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE enc AS (
+  SELECT doc_id, source,
+         concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS front,
+         text, replace(text, chr(10), '') AS flat,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+  FROM documents),
+leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY source) AS size,
+         sha256(front || coalesce(strlen(text) || ':' || text, '-')) AS hash,
+         CASE WHEN crc % 2 = 0 THEN sha256(front || coalesce(strlen(flat) || ':' || flat, '-'))
+              ELSE sha256(front || coalesce(strlen(text) || ':' || text, '-')) END AS shown
+  FROM enc),
+nodes AS (
+  SELECT 0 AS height, tree, pos, size, hash FROM leaves
+  UNION ALL
+  SELECT height + 1, tree, pos // 3, (size + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos))
+  FROM nodes WHERE size > 1 GROUP BY height, tree, pos // 3, size),
+subroots AS (SELECT tree, hash, height FROM nodes WHERE size = 1),
+top AS (
+  SELECT 0 AS height, tree AS pos, (SELECT count(*) FROM subroots) AS size, hash FROM subroots
+  UNION ALL
+  SELECT height + 1, pos // 3, (size + 2) // 3, sha256(string_agg(hash, '' ORDER BY pos)) FROM top WHERE size > 1 GROUP BY height, pos // 3, size),
+beside AS (
+  SELECT n.tree, n.height, n.pos, coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos < n.pos), '') AS l,
+         coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos > n.pos), '') AS r
+  FROM nodes n JOIN nodes s ON n.tree = s.tree AND n.height = s.height AND n.pos // 3 = s.pos // 3 WHERE n.size > 1 GROUP BY ALL),
+top_beside AS (
+  SELECT n.height, n.pos, coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos < n.pos), '') AS l,
+         coalesce(string_agg(s.hash, '' ORDER BY s.pos) FILTER (s.pos > n.pos), '') AS r
+  FROM top n JOIN top s ON n.height = s.height AND n.pos // 3 = s.pos // 3 WHERE n.size > 1 GROUP BY ALL),
+steps AS (
+  SELECT v.doc_id, v.tree, v.shown, b.height AS step, b.l, b.r FROM leaves v JOIN beside b
+    ON v.tree = b.tree AND b.pos = CAST(floor(v.pos / pow(3, b.height)) AS BIGINT)
+  UNION ALL
+  SELECT v.doc_id, v.tree, v.shown, s.height + t.height, t.l, t.r FROM leaves v JOIN subroots s ON v.tree = s.tree
+    JOIN top_beside t ON t.pos = CAST(floor(v.tree / pow(3, t.height)) AS BIGINT)),
+proofs AS (
+  SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof, list(struct_pack(l := l, r := r) ORDER BY step) AS path
+  FROM steps GROUP BY doc_id),
+fold AS (
+  SELECT v.doc_id, 1 AS step, v.shown AS h, p.path FROM leaves v LEFT JOIN proofs p USING (doc_id)
+  UNION ALL
+  SELECT doc_id, step + 1, sha256(path[step].l || h || path[step].r), path FROM fold WHERE step <= len(path)),
+ends AS (SELECT doc_id, arg_max(h, step) AS folded_root FROM fold GROUP BY doc_id),
+root AS (SELECT hash AS root FROM top WHERE size = 1)
+SELECT v.doc_id, v.hash AS leaf, s.hash AS subroot, root, coalesce(p.proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves v JOIN subroots s USING (tree) LEFT JOIN proofs p USING (doc_id) JOIN ends USING (doc_id) CROSS JOIN root
+""",
+    "op12_importance_resampling": r"""
+WITH low AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+goal AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+words AS (SELECT doc_id, unnest(w) AS word FROM low),
+bucketed AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(range(1, 2 * strlen(word), 2), lambda p: CAST('0x' || substr(hex(encode(word)), p, 2) AS BIGINT))),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 10000 AS bucket
+  FROM (SELECT word FROM words UNION SELECT word FROM goal)),
+source AS (SELECT bucket, count(*) AS s FROM words JOIN bucketed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM goal JOIN bucketed USING (word) GROUP BY bucket),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT count(*) FROM words) + 10000)::DOUBLE
+         / ((coalesce(s, 0) + 1) * ((SELECT count(*) FROM goal) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM source FULL JOIN target USING (bucket)),
+weighed AS (
+  SELECT doc_id, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+  FROM words JOIN bucketed USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5)::DOUBLE / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM low LEFT JOIN weighed USING (doc_id)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+""",
+    "op13_exact_dedup": r"""
+WITH low AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM low WINDOW same AS (PARTITION BY t)
 """,
 }
