@@ -29,7 +29,7 @@ def token_pieces(
     Columns: the id, ``piece``, ``start``, ``length``, ``ids_crc32`` of the little-endian ids. No shuffle.
     """
     vocabulary = docs.sparkSession.sparkContext.broadcast(vocabulary_bytes(tokenizer_path))
-    closing, step = np.array([closing_id], "<u4").tobytes(), 4 * capacity
+    closing = np.array([closing_id], "<u4")
     kind = docs.schema[id_column].dataType.simpleString()
     names = [id_column, "piece", "start", "length", "ids_crc32"]
 
@@ -37,14 +37,14 @@ def token_pieces(
         tokenizer = BatchTokenizer(vocabulary.value)
         for batch in batches:
             of, piece, start, length, crc = [], [], [], [], []
-            for row, ids in enumerate(tokenizer.encode(batch.column(1).to_pylist())):
-                ids += closing
-                for number, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
+            for row, ids in enumerate(tokenizer.encode(batch.column(1))):
+                ids = np.r_[ids, closing]
+                for number, at in enumerate(range(0, len(ids), capacity)):
+                    part = ids[at : at + capacity]
                     of.append(row)
                     piece.append(number)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
+                    start.append(at)
+                    length.append(len(part))
                     crc.append(zlib.crc32(part))
             columns = [batch.column(0).take(pa.array(of, pa.int64())), pa.array(piece, pa.int32())]
             columns += [pa.array(x, pa.int64()) for x in (start, length, crc)]
@@ -187,7 +187,8 @@ class LocalSearch:
 def _pack_shards(pieces: DataFrame, capacity: int, seed: int, columns: list[str]) -> DataFrame:
     """Bin number and offset for pieces shorter than ``capacity``, shard by shard; adds ``_shard``, ``_bin``, ``_at``, ``_fill``."""
     shards = max(1, -(-pieces.count() // SHARD_PIECES))
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(shards)).cast("int"))
+    # By row, not by id: rows that repeat an id, or have none, are spread like all others.
+    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(shards)).cast("int"))
     schema = StructType([*dealt.schema.fields, StructField("_bin", IntegerType()), StructField("_at", LongType()), StructField("_fill", LongType())])
     names = schema.names
 

@@ -1,8 +1,9 @@
 """Token counts by merging whole batches of pre-tokens at once.
 
-A text is cut at ASCII white space, which no pre-token of the tokenizer crosses. Every new chunk of a batch is cut
-into pre-tokens, all of these lie in one ragged array of symbols, and each pass merges in every sequence its pair of
-lowest rank. What has been merged once is remembered, within a bound, for the rest of the task.
+Arrow cuts the texts of a batch at ASCII white space, which no pre-token of the tokenizer crosses, and numbers the different
+chunks. Every new chunk is cut into pre-tokens, all of these lie in one ragged array of symbols, and each pass merges in every
+sequence its pair of lowest rank. What has been merged once is remembered, within a bound, for the rest of the task: its ids lie
+in one flat array, from which the ids of whole texts are taken at once.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-# Chunks a task remembers before it starts anew, and the longest chunk that it remembers. Memory only.
-REMEMBERED, LONGEST = 500_000, 64
+# Chunks a task remembers before it starts anew, and their bytes; bytes of text that are looked up at a time. Memory only.
+REMEMBERED, REMEMBERED_BYTES, AT_ONCE = 750_000, 32 << 20, 8 << 20
 # Below this code point every Unicode version agrees on classes, composition and lower case.
 _SETTLED = 0x250
 
@@ -76,10 +78,18 @@ class MergeTable:
         """Ranks of pairs of symbols; the number of merges where there is none."""
         keys = first * self.width + second
         at = _slots(keys)
-        ranks = np.where(self.slot_keys[at] == keys, self.slot_ranks[at], len(self.made))
+        held = self.slot_keys[at]
+        ranks = np.where(held == keys, self.slot_ranks[at], len(self.made))
+        # The table is nearly empty, so few look-ups meet another pair in their place and have to go on.
+        open_ = np.flatnonzero((held != keys) & (held >= 0))
         for probe in range(1, self.probes):
-            more = (at + probe) & 0xFFFFF
-            ranks = np.where(self.slot_keys[more] == keys, self.slot_ranks[more], ranks)
+            if not len(open_):
+                break
+            more = (at[open_] + probe) & 0xFFFFF
+            held = self.slot_keys[more]
+            hit = held == keys[open_]
+            ranks[open_[hit]] = self.slot_ranks[more[hit]]
+            open_ = open_[~hit & (held >= 0)]
         return ranks
 
     def pieces(self, chunk: str) -> list[bytes]:
@@ -136,7 +146,10 @@ def _slots(keys: np.ndarray) -> np.ndarray:
 
 
 def _quick_patterns(rule: str) -> tuple[re.Pattern, re.Pattern]:
-    """What the quick path leaves to the library, and the file's rule with its classes spelled out up to _SETTLED."""
+    """What the quick path leaves to the library, and the file's rule with its classes spelled out up to _SETTLED.
+
+    Left to it are all characters from there on, those below whose composed or lower-case form lies there, and special strings.
+    """
     import regex
 
     def spelled(kind: str) -> str:
@@ -144,7 +157,9 @@ def _quick_patterns(rule: str) -> tuple[re.Pattern, re.Pattern]:
 
     for kind in (r"\p{L}", r"\p{N}", r"\s"):
         rule = rule.replace(kind, spelled(kind))
-    odd = re.compile(f"[^\\x00-{chr(_SETTLED - 1)}]|\u0130|<\\|")
+    forms = {c: unicodedata.normalize("NFC", chr(c)).lower() for c in range(_SETTLED)}
+    leaving = "".join(re.escape(chr(c)) for c, form in forms.items() if max(map(ord, form)) >= _SETTLED)
+    odd = re.compile(f"[^\\x00-{chr(_SETTLED - 1)}]|[{leaving}]|<\\|")
     return odd, re.compile(f"\\n|{rule}")
 
 
@@ -160,36 +175,70 @@ def _byte_letters() -> list[str]:
 
 
 class BatchTokenizer:
-    """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers."""
+    """Token ids of texts, a batch at a time."""
 
     def __init__(self, raw: bytes) -> None:
         self.table = MergeTable(raw)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text; null is empty. Long texts are taken one by one, short ones in groups."""
-        group: list[list[bytes]] = []
-        held = 0
-        for text in texts:
-            group.append((text or "").encode("utf-8", "surrogatepass").split())
-            held += len(group[-1])
-            if held >= 400_000:
-                yield from self._group(group)
-                group, held = [], 0
-        yield from self._group(group)
-
-    def _group(self, group: list[list[bytes]]) -> Iterator[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        # One look into the table per chunk; what it does not have is learnt for the whole group.
-        values = [list(map(self.known.get, chunks)) for chunks in group]
-        new = dict.fromkeys([c for chunks, found in zip(group, values) for c, v in zip(chunks, found) if v is None])
-        learnt = self._learn(list(new))
-        self.known.update({k: v for k, v in learnt.items() if len(k) <= LONGEST})
-        for chunks, found in zip(group, values):
-            yield b"".join([learnt[c] if v is None else v for c, v in zip(chunks, found)] if None in found else found)
-
-    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.known_bytes = 0
+        # Of every remembered chunk: where its ids begin in the flat array, and how many there are.
+        self.flat, self.begins, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int32), np.zeros(0, np.int32)
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids (32 bits each) of every text; null is empty."""
+        for offsets, chunks in self._chunks(texts):
+            sizes = self.sizes[chunks]
+            ends = np.cumsum(sizes, dtype=np.int64)
+            # A stretch has fewer than 2 ** 31 ids, as a text has fewer bytes.
+            at = np.repeat((self.begins[chunks] - ends + sizes).astype(np.int32), sizes)
+            at += np.arange(len(at), dtype=np.int32)
+            ids = self.flat[at]
+            stops = np.r_[0, ends][offsets].tolist()
+            yield from (ids[a:b] for a, b in zip(stops, stops[1:]))
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of every text."""
+        found = [np.zeros(0, np.int64)]
+        for offsets, chunks in self._chunks(texts):
+            found.append(np.diff(np.r_[0, np.cumsum(self.sizes[chunks], dtype=np.int64)][offsets]))
+        return np.concatenate(found)
+
+    def _chunks(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of a stretch of texts: where the chunks of each begin, and the numbers of all chunks. A long text is a stretch."""
+        upto = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))]
+        start = 0
+        while start < len(texts):
+            end = max(start + 1, int(np.searchsorted(upto, upto[start] + AT_ONCE, side="right")) - 1)
+            cut = pc.ascii_split_whitespace(pc.fill_null(texts[start:end], ""))
+            offsets = cut.offsets.to_numpy()
+            coded = cut.flatten().dictionary_encode()
+            numbers = self._numbers(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+            yield offsets - offsets[0], numbers[coded.indices.to_numpy()]
+            start = end
+
+    def _numbers(self, chunks: list[bytes]) -> np.ndarray:
+        """The numbers of different chunks, remembered or learnt now."""
+        if len(self.known) > REMEMBERED or self.known_bytes > REMEMBERED_BYTES:
+            self._forget()
+        found = list(map(self.known.get, chunks))
+        new = [c for c, n in zip(chunks, found) if n is None]
+        if new:
+            self._learn([c for c in new if c])
+            if b"" in new:  # beside white space at either end
+                self._remember([b""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
+            found = list(map(self.known.__getitem__, chunks))
+        return np.array(found, np.int32)
+
+    def _remember(self, chunks: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known.update(zip(chunks, range(len(self.known), len(self.known) + len(chunks))))
+        self.known_bytes += sum(map(len, chunks))
+        self.begins = np.r_[self.begins, (len(self.flat) + np.cumsum(sizes) - sizes).astype(np.int32)]
+        self.sizes, self.flat = np.r_[self.sizes, sizes.astype(np.int32)], np.r_[self.flat, ids]
+
+    def _learn(self, chunks: list[bytes]) -> None:
         """Ids of chunks that were not known: the plain ones all at once, the odd ones each by the library's rules."""
         table, joined = self.table, b"\n".join(chunks).decode("utf-8", "replace")
         odd: list[bytes] = []
@@ -218,9 +267,8 @@ class BatchTokenizer:
         of = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
         begins, sizes = (np.cumsum(counts) - counts)[of], counts[of]
         ends = np.cumsum(sizes)
-        flat = ids[np.arange(sizes.sum()) + np.repeat(begins - ends + sizes, sizes)].tobytes()
-        stops = (ends[of == 0] * 4).tolist()
-        return {c: flat[a:b] for c, a, b in zip(chunks + odd, [0, *stops], stops)}
+        flat = ids[np.arange(sizes.sum()) + np.repeat(begins - ends + sizes, sizes)]
+        self._remember(chunks + odd, flat, np.diff(np.r_[0, ends[of == 0]]))
 
 
 def vocabulary_bytes(path: str) -> bytes:
@@ -242,9 +290,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int, id_column: st
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = BatchTokenizer(vocabulary.value)
         for batch in batches:
-            sizes = [len(ids) // 4 for ids in tokenizer.encode(batch.column(2).to_pylist())]
+            sizes = tokenizer.count(batch.column(2))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array([n > limit for n in sizes], pa.bool_())],
+                [batch.column(0), batch.column(1), pa.array(sizes), pa.array(sizes > limit)],
                 [id_column, "n_bytes", "n_tokens", "over_limit"],
             )
 
