@@ -124,31 +124,53 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 10
 """,
     "op6_substring_dedup": r"""
-WITH pieces AS (
-  SELECT doc_id, string_split(text, chr(10)) AS parts, length(text) AS chars FROM documents WHERE text IS NOT NULL),
-placed AS (
-  SELECT doc_id, chars, len(parts) AS n, generate_subscripts(parts, 1) AS place, unnest(parts) AS part FROM pieces),
+WITH sentences AS (
+  SELECT doc_id, text, list_filter(regexp_extract_all(text, '(?s)(.*?(?:[.!?…]+["'')\]]*[ \t\r\n\f]+|\n[ \t\r\n\f]*\n)|.+$)', 1), lambda x: x <> '') AS parts
+  FROM documents WHERE text IS NOT NULL),
+sentence AS (SELECT doc_id, generate_subscripts(parts, 1) AS s, unnest(parts) AS part FROM sentences),
+placed AS (SELECT *, CAST(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY s) - length(part) AS BIGINT) AS at_char FROM sentence),
+tokens AS (
+  SELECT doc_id, s, at_char, regexp_extract_all(part, '[^\p{L}\p{N}]*[\p{L}\p{N}]+') AS t FROM placed),
+token AS (
+  SELECT doc_id, s, at_char, len(t) AS n, generate_subscripts(t, 1) AS k, unnest(t) AS token FROM tokens),
+word AS (
+  SELECT *, lower(regexp_extract(token, '[\p{L}\p{N}]+$')) AS w,
+         CAST(at_char + sum(length(token)) OVER (PARTITION BY doc_id, s ORDER BY k) - length(regexp_extract(token, '[\p{L}\p{N}]+$')) AS BIGINT) AS word_char
+  FROM token),
+cuts AS (
+  SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(range(1, 2 * strlen(w), 2), lambda p: CAST('0x' || substr(hex(encode(w)), p, 2) AS BIGINT))),
+             lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) % 8 = 0 AS cut
+  FROM (SELECT DISTINCT w FROM word WHERE n > 12)),
+numbered AS (
+  SELECT doc_id, word.w, row_number() OVER (PARTITION BY doc_id ORDER BY s, k) - 1 AS number, k = 1 OR (n > 12 AND cut) AS opens,
+         CASE WHEN k = 1 THEN at_char ELSE word_char END AS opens_at
+  FROM word LEFT JOIN cuts ON word.w = cuts.w),
+wordlists AS (SELECT doc_id, list(w ORDER BY number) AS ws FROM numbered GROUP BY doc_id),
 unit AS (
-  SELECT *, trim(regexp_replace(lower(part), '[^\p{L}\p{N}]+', ' ', 'g')) AS words,
-         CAST(sum(length(part) + 1) OVER (PARTITION BY doc_id ORDER BY place) - length(part) - 1 AS BIGINT) AS start
-  FROM placed),
-ranked AS (
-  SELECT *, len(string_split(words, ' ')) >= 8 AND row_number() OVER (PARTITION BY words ORDER BY doc_id, place) > 1 AS gone,
-         CASE WHEN place = n THEN chars ELSE start + length(part) + 1 END AS stop
-  FROM unit),
-islands AS (
-  SELECT *, sum(gone::INT) OVER (PARTITION BY doc_id ORDER BY place) AS island FROM ranked),
-stretches AS (
-  SELECT doc_id, island, min(start) AS a, max(stop) AS b FROM islands WHERE NOT gone GROUP BY ALL HAVING max(stop) > min(start)),
-spans AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS spans FROM stretches GROUP BY doc_id),
+  SELECT doc_id, number AS a, lead(number, 1, len(ws)) OVER u AS b, CASE WHEN row_number() OVER u = 1 THEN 0 ELSE opens_at END AS start,
+         lead(opens_at, 1, length(text)) OVER u AS stop
+  FROM numbered JOIN wordlists USING (doc_id) JOIN documents USING (doc_id) WHERE opens WINDOW u AS (PARTITION BY doc_id ORDER BY number)),
+run AS (
+  SELECT x.doc_id, x.a, y.b, x.start, y.stop, array_to_string(ws[x.a + 1 : y.b], ' ') AS words
+  FROM unit x ASOF JOIN unit y ON x.doc_id = y.doc_id AND x.a + 30 <= y.b JOIN wordlists l ON l.doc_id = x.doc_id),
+ranked AS (SELECT *, first_value(doc_id) OVER r AS first_doc, first_value(b) OVER r AS first_b FROM run WINDOW r AS (PARTITION BY words ORDER BY doc_id, a)),
+losing AS (SELECT * FROM ranked WHERE doc_id <> first_doc OR a >= first_b),
+gone AS (SELECT DISTINCT u.doc_id, u.start, u.stop FROM unit u JOIN losing l ON u.doc_id = l.doc_id AND u.a >= l.a AND u.b <= l.b),
+marked AS (
+  SELECT u.doc_id, u.start, u.stop, g.start IS NOT NULL AS gone,
+         coalesce(lag(g.start IS NOT NULL) OVER (PARTITION BY u.doc_id ORDER BY u.start), FALSE) AS before
+  FROM unit u LEFT JOIN gone g ON u.doc_id = g.doc_id AND u.start = g.start),
+islands AS (SELECT *, sum((gone <> before)::INT) OVER (PARTITION BY doc_id ORDER BY start) AS island FROM marked),
+stretches AS (SELECT doc_id, island, gone, min(start) AS a, max(stop) AS b FROM islands GROUP BY ALL),
 whole AS (
-  SELECT doc_id, coalesce(string_agg(part || CASE WHEN place = n THEN '' ELSE chr(10) END, '' ORDER BY place) FILTER (NOT gone), '') AS text,
-         count(*) AS n_units, CAST(sum(gone::INT) AS BIGINT) AS n_removed,
-         CAST(coalesce(sum(stop - start) FILTER (gone), 0) AS BIGINT) AS removed_chars
-  FROM ranked GROUP BY doc_id)
-SELECT d.doc_id, w.text, coalesce(w.n_units, 0) AS n_units, coalesce(w.n_removed, 0) AS n_removed,
-       coalesce(w.removed_chars, 0) AS removed_chars, coalesce(s.spans, '') AS spans
-FROM documents d LEFT JOIN whole w USING (doc_id) LEFT JOIN spans s USING (doc_id)
+  SELECT doc_id, count(*) FILTER (gone) AS n_removed, CAST(coalesce(sum(b - a) FILTER (gone), 0) AS BIGINT) AS removed_chars,
+         coalesce(string_agg(substr(text, a + 1, b - a), '' ORDER BY a) FILTER (NOT gone), '') AS text,
+         coalesce(string_agg(a || '-' || b, ',' ORDER BY a) FILTER (NOT gone), '') AS spans
+  FROM stretches JOIN documents USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN w.doc_id IS NULL THEN d.text ELSE w.text END AS text, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed_chars, 0) AS removed_chars, coalesce(spans, CASE WHEN length(d.text) > 0 THEN '0-' || length(d.text) ELSE '' END) AS spans
+FROM documents d LEFT JOIN whole w USING (doc_id)
 """,
     "op7_source_mixing": r"""
 WITH RECURSIVE sized AS (

@@ -1,6 +1,7 @@
 """Token counts, packing, language, line and unit deduplication against the libraries and brute force."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -15,7 +16,7 @@ from corpusloom.llm.language_id import UNKNOWN, calibrate, identify
 from corpusloom.llm.line_dedup import drop_recurring, parse, template_groups
 from corpusloom.llm.packing import LocalSearch, best_fit, pack_documents
 from corpusloom.llm.queries import CAPACITY, QUERIES, tokenizer_path
-from corpusloom.llm.substring_dedup import PARAGRAPH, repeated_units
+from corpusloom.llm.substring_dedup import LINE, PARAGRAPH, repeated_units
 from corpusloom.llm.token_counts import BatchTokenizer, count_tokens, vocabulary_bytes
 
 DOC = "doc_id long, text string"
@@ -247,41 +248,71 @@ def test_a_very_long_document_passes_line_dedup(spark):
     assert drop_recurring(spark.createDataFrame([(1, text)], DOC)).collect()[0]["text"] == text
 
 
-def brute_units(rows, min_words=8):
-    import re
+def word_list(text):
+    return [w.lower() for w in re.findall(r"[^\W_]+", text or "")]
 
-    first, result = {}, {}
-    for doc_id, text in sorted(set(r for r in rows if r[1] is not None), key=lambda r: (r[0] is None, r[0] or 0)):
-        left = []
-        parts = text.split("\n")
-        for n, part in enumerate(parts):
-            words = tuple(re.sub(r"[\W_]+", " ", part.lower()).split())
-            if len(words) < min_words or first.setdefault(words, (doc_id, n)) == (doc_id, n):
-                left.append(part + ("\n" if n + 1 < len(parts) else ""))
-        result[doc_id] = "".join(left)
-    return result
 
+def windows(words, n):
+    return {tuple(words[at : at + n]) for at in range(len(words) - n + 1)}
 
-def test_units_against_brute_force(spark):
-    passages = [clean_line(n) for n in range(6)]
-    random.seed(2)
-    rows = [(n, "\n".join(random.choices([*passages, "short one", "", clean_line(100 + n)], k=7))) for n in range(60)]
-    rows += [(70, passages[0].upper() + "!"), (71, ""), (72, None), (None, passages[1]), (5, rows[5][1])]
-    docs = spark.createDataFrame([(*r, "x") for r in rows], DOC + ", digest string")
+
+def wrapped(words, rng):
+    """The same words, wrapped and punctuated in another way."""
+    return "".join(w.capitalize() + rng.choice([" ", " ", "  ", "\n", ", "]) for w in words)
+
+
+def test_passages_by_their_words(spark):
+    """Held against the words alone: shared passages of over 50 words go but once, however wrapped; documents that share none keep all."""
+    rng = random.Random(3)
+    fresh_words = lambda n: ["".join(rng.choices("bcdfgaeiou", k=6)) for _ in range(n)]
+    prose = lambda n: ". ".join(" ".join(fresh_words(rng.randint(3, 18))) for _ in range(n)) + ". "
+    passages = [fresh_words(70) for _ in range(8)] + [word_list(prose(9)) for _ in range(8)]
+    short = " ".join(fresh_words(9)) + ". "
+    opener = next(w for w in fresh_words(200) if zlib.crc32(w.encode()) % 8 == 0)
+    rows = []
+    for n in range(160):
+        body = [prose(6), short, prose(5)]
+        if n % 2 == 0:
+            body.insert(rng.choice([0, 1, 2, 3]), wrapped(rng.choice(passages), rng) + ". ")
+        rows.append((n, "".join(body)))
+    rows += [(300, ""), (301, None), (None, wrapped(passages[0], rng)), (302, f"{opener} " * 400), (5, rows[5][1]), (5, rows[4][1]), (None, None)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], DOC + ", digest string, start int").repartition(4)
     found = repeated_units(docs).collect()
-    wanted = brute_units(rows)
-    texts = dict(rows)
     assert len(found) == len(rows)
+    texts, left = {}, {}
+    for doc_id, text in rows:
+        texts.setdefault(doc_id, []).append(text)
+    missed = caught = 0
     for r in found:
-        assert r["text"] == wanted.get(r["doc_id"])
-        original = texts[r["doc_id"]] or ""
-        assert "".join(original[s["start"] : s["end"]] for s in r["spans"]) == (r["text"] or "")
-        assert r["removed_chars"] == len(original) - len(r["text"] or "")
+        original = next(t for t in texts[r["doc_id"]] if (t is None) == (r["text"] is None) and len(t or "") == len(r["text"] or "") + r["removed_chars"])
+        assert r["text"] is None or "".join(original[s["start"] : s["end"]] for s in r["spans"]) == r["text"]
+        assert r["n_removed"] == 0 or r["removed_chars"] > 0
+        left.setdefault(r["doc_id"], []).append(r)
+    for n in range(160):
+        shares = any(windows(word_list(rows[n][1]), 50) & windows(word_list(other), 50) for i, other in rows if i != n and other)
+        lost = left[n][0]["removed_chars"] if n != 5 else 0
+        assert shares or lost == 0
+    # Every passage is left once; what is left of a copy is less than a unit at either end.
+    for passage in passages:
+        holders = [n for n, text in rows if text and windows(passage, 50) & windows(word_list(text), 50)]
+        still = [n for n in set(holders) if any(windows(passage, 50) & windows(word_list(r["text"]), 50) for r in left[n])]
+        caught, missed = caught + len(set(holders)) - len(still), missed + max(0, len(still) - 1)
+        assert not holders or len(still) >= 1
+    assert caught > 40 and missed <= 2
+    # A text that repeats itself keeps its first run; a word that opens units is needed for that.
+    assert [len(word_list(r["text"])) for r in left[302]] == [30]
     assert repeated_units(docs.limit(0)).collect() == []
 
 
+def test_lines_as_units(spark):
+    block = clean_line(1) + "\n" + clean_line(2)
+    docs = spark.createDataFrame([(1, f"intro\n{block}\nend"), (2, f"{block}\nother"), (3, clean_line(2))], DOC)
+    found = {r["doc_id"]: r["text"] for r in repeated_units(docs, separator=LINE, min_words=len(word_list(clean_line(2))), longest=None).collect()}
+    assert found == {1: f"intro\n{block}\nend", 2: "other", 3: ""}
+
+
 def test_paragraph_units(spark):
     block = clean_line(1) + "\n" + clean_line(2)
     docs = spark.createDataFrame([(1, f"intro\n\n{block}\n\nend"), (2, f"{block}\n\nother")], DOC)
-    found = {r["doc_id"]: r["text"] for r in repeated_units(docs, separator=PARAGRAPH).collect()}
+    found = {r["doc_id"]: r["text"] for r in repeated_units(docs, separator=PARAGRAPH, min_words=8, longest=None).collect()}
     assert found == {1: f"intro\n\n{block}\n\nend", 2: "other"}
