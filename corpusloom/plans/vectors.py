@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import cosine, to_matrix
-from corpusloom.operators import embed, search
+from corpusloom.operators import embed, graph_index, search
 from corpusloom.plans import inputs
 from corpusloom.plans.catalog import query, table, wide_table
 
@@ -237,3 +237,19 @@ def poi_build(spark, folder):
         (F.col("s_suppkey") * 7).alias("osm_id"),
     )
     return embed.poi_rows(features)
+
+
+@query("knn_graph", """
+  SELECT count(*) AS queries, CAST(10 * count(*) AS BIGINT) AS found, TRUE AS recall_reached
+  FROM embeddings WHERE vec_id % 20 = 0
+""")
+def knn_graph(spark, folder):
+    """Recall of a walk over the neighbour graph, held against the exact search: the neighbours of every twentieth vector."""
+    corpus = inputs.vectors(spark, folder).select("chunk_id", "embedding")
+    asked = corpus.where(F.col("chunk_id") % 20 == 0).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    index = graph_index.build_graph(corpus)
+    found = graph_index.search_graph(index, asked, 10, exclude_self=True)
+    exact = search.search_many(corpus, asked, 10, exclude_self=True)
+    judged = graph_index.recall(found, exact)
+    right = F.sum("right") >= 0.9 * F.sum("wanted")
+    return judged.agg(F.count(F.lit(1)).alias("queries"), F.sum("found").alias("found"), right.alias("recall_reached"))
