@@ -64,6 +64,20 @@ def story_endpoint(name: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), name), F.lit(STORY_LISTS["top"]))
 
 
+UNCHANGED, CHANGED, NEW, DELETED = "unchanged", "changed", "new", "deleted"
+
+
+def document_states(current: DataFrame, before: DataFrame, doc_id: str = "id", text: str = "content") -> DataFrame:
+    """What became of every document of two versions: (id, state). Ids and 16-byte hashes are all that is shuffled.
+
+    Both sides have one row per id. Null texts are equal to each other.
+    """
+    new, old = (df.select(F.col(doc_id).alias("id"), F.unhex(F.md5(text)).alias(h)) for df, h in ((current, "_new"), (before, "_old")))
+    joined = new.withColumn("_here", F.lit(True)).join(old.withColumn("_there", F.lit(True)), "id", "full_outer")
+    state = F.when(F.col("_there").isNull(), NEW).when(F.col("_here").isNull(), DELETED)
+    return joined.select("id", state.when(F.col("_new").eqNullSafe(F.col("_old")), UNCHANGED).otherwise(CHANGED).alias("state"))
+
+
 def changed_documents(current: DataFrame, seen: DataFrame, doc_id: str = "id", text: str = "content") -> DataFrame:
     """Documents that are new or whose text differs from what ``seen`` (id, content hash) recorded.
 

@@ -12,6 +12,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.operators import chunk, clean, embed, govern, search, stats
+from corpusloom.operators.skew import join_on_hot_key
+from corpusloom.operators.upsert import CHANGED, DELETED, NEW, UNCHANGED, document_states
+from corpusloom.session import cut_lineage
 from corpusloom.sources import layout
 
 
@@ -32,40 +35,109 @@ def build_version(
     Stores documents, chunks, attributions and embeddings with their manifests, checks keys and required columns, releases
     the version and returns the closing report ``(status, documents, chunks, dataset, version)``.
     """
-    spark = raw.sparkSession
+    draft = _Draft(raw.sparkSession, root, dataset, version, compression)
+    draft.store(_newest_documents(raw, min_chars), "documents")
+    chunks = chunk.chunk_documents(draft.stored("documents"), strategy, size, overlap, min_chars, keep=_FROM_DOCUMENT)
+    draft.store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
+    draft.store(govern.attributions(draft.stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
+    if encoder is not None:
+        draft.store(embed.embeddings_table(embed.embed_chunks(draft.stored("chunks"), encoder)), "embeddings", sort_by="chunk_id")
+    return draft.release()
 
-    tables = []
 
-    def store(df: DataFrame, table: str, **options) -> None:
-        layout.write_version(df, root, table, dataset, version, compression, released=False, **options)
-        tables.append(table)
+def update_version(
+    raw: DataFrame,
+    root: str,
+    dataset: str,
+    version: str,
+    base: str = "latest",
+    strategy: str = "grid",
+    size: int = 1000,
+    overlap: int = 200,
+    min_chars: int = 50,
+    encoder: Callable[[], embed.Encoder] = embed.HashingEncoder,
+    compression: str = "zstd",
+) -> DataFrame:
+    """A new version from a new crawl that reuses what the ``base`` version has: the same rows as :func:`build_version`.
 
-    def stored(table: str) -> DataFrame:
-        return layout.read_version(spark, root, table, dataset, version).drop("dataset", "version")
+    Documents are compared by id and content hash. Chunks of unchanged documents are carried over, with the address, title, license and
+    metadata that the document has now; new and changed documents are chunked. A chunk whose text stood under the same id
+    before keeps its vector; only the others are encoded. What the crawl no longer has is left out. ``strategy`` and the sizes must be
+    those of the base; sizes are checked.
 
-    docs = clean.dedup_latest(clean.clean_documents(raw, min_chars), key="source_url", tie="id")
-    store(docs.drop("crawled_at"), "documents")
-    chunks = chunk.chunk_documents(
-        stored("documents"), strategy, size, overlap, min_chars, keep=("source_url", "title", "license", "author", "metadata")
-    )
-    store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
-    store(govern.attributions(stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
-    if encoder is not None:
-        store(embed.embeddings_table(embed.embed_chunks(stored("chunks"), encoder)), "embeddings", sort_by="chunk_id")
-
-    def rows(table: str) -> Column:
-        return F.max(F.when(F.col("table") == table, F.col("row_count")))
-
-    for table, key, required in (("documents", "id", ["source_url", "content", "license"]), ("chunks", "chunk_id", ["doc_id", "chunk_content"])):
-        broken = govern.constraint_report(stored(table), key, [key, *required]).where("violations > 0").collect()
-        if broken:
-            raise ValueError(f"{table} of {dataset} {version} is not released: {broken}")
-    layout.release(spark, root, dataset, version, tables)
-    written = layout.read_manifests(spark, root).where((F.col("dataset") == dataset) & (F.col("version") == version))
-    counts = written.groupBy("dataset", "version").agg(
-        rows("documents").alias("document_count"), rows("chunks").alias("chunk_count")
-    )
-    return stats.build_summary(counts)
+    Only ids and hashes are shuffled to find the difference, chunks meet their documents through a join that leaves chunks of a huge
+    document in place, and vectors meet chunks by chunk id. Returns the report of the build with ``unchanged``, ``changed``, ``new``,
+    ``deleted`` documents and ``carried``, ``encoded`` vectors.
+    """
+    spark = raw.sparkSession
+    base = layout.resolve_version(spark, root, dataset, base, "embeddings")
+
+    def before(table: str) -> DataFrame:
+        return layout.read_version(spark, root, table, dataset, base).drop("dataset", "version")
+
+    made = layout.read_manifest(spark, root, dataset, base, "chunks").select("chunk_size", "chunk_overlap").first()
+    if (made.chunk_size, made.chunk_overlap) != (size, overlap):
+        raise ValueError(f"{dataset} {base} has chunks of {made.chunk_size} with {made.chunk_overlap} overlap")
+    draft = _Draft(spark, root, dataset, version, compression)
+    draft.store(_newest_documents(raw, min_chars), "documents")
+    docs = draft.stored("documents")
+    states = cut_lineage(document_states(docs, before("documents")))
+    same = states.where(F.col("state") == UNCHANGED).select("id")
+    about = docs.select(F.col("id").alias("doc_id"), *_FROM_DOCUMENT).join(same.withColumnRenamed("id", "doc_id"), "doc_id")
+    carried = join_on_hot_key(before("chunks").drop(*_FROM_DOCUMENT), about, "doc_id")
+    others = docs.join(states.where(F.col("state").isin(CHANGED, NEW)).select("id"), "id", "left_semi")
+    fresh = chunk.chunk_documents(others, strategy, size, overlap, min_chars, keep=_FROM_DOCUMENT)
+    chunks = fresh.unionByName(carried.select(fresh.columns))
+    draft.store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
+    draft.store(govern.attributions(draft.stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
+    known = before("embeddings").select("chunk_id", F.md5("chunk_content").alias("_md5"), "embedding").where("embedding IS NOT NULL")
+    met = cut_lineage(draft.stored("chunks").withColumn("_md5", F.md5("chunk_content")).join(known, ["chunk_id", "_md5"], "left").drop("_md5"))
+    kept, missing = met.where("embedding IS NOT NULL"), met.where("embedding IS NULL").drop("embedding")
+    vectors = kept.unionByName(embed.embed_chunks(missing, encoder).select(kept.columns))
+    draft.store(embed.embeddings_table(vectors), "embeddings", sort_by="chunk_id")
+    documents = [F.count(F.when(F.col("state") == s, 1)).alias(s) for s in (UNCHANGED, CHANGED, NEW, DELETED)]
+    vectors = met.agg(F.count("embedding").alias("carried"), F.count_if(F.col("embedding").isNull()).alias("encoded"))
+    numbers = states.agg(*documents).first().asDict() | vectors.first().asDict()
+    return draft.release().withColumns({name: F.lit(number).cast("long") for name, number in numbers.items()})
+
+
+# What chunks repeat of their document.
+_FROM_DOCUMENT = ("source_url", "title", "license", "author", "metadata")
+
+
+def _newest_documents(raw: DataFrame, min_chars: int) -> DataFrame:
+    return clean.dedup_latest(clean.clean_documents(raw, min_chars), key="source_url", tie="id").drop("crawled_at")
+
+
+class _Draft:
+    """The tables of one version while it is built: stored one after the other, checked and released together."""
+
+    def __init__(self, spark: SparkSession, root: str, dataset: str, version: str, compression: str) -> None:
+        self.spark, self.root, self.dataset, self.version, self.compression = spark, root, dataset, version, compression
+        self.tables: list[str] = []
+
+    def store(self, df: DataFrame, table: str, **options) -> None:
+        layout.write_version(df, self.root, table, self.dataset, self.version, self.compression, released=False, **options)
+        self.tables.append(table)
+
+    def stored(self, table: str) -> DataFrame:
+        return layout.read_version(self.spark, self.root, table, self.dataset, self.version).drop("dataset", "version")
+
+    def release(self) -> DataFrame:
+        """Check keys and required columns, show the version to readers, and report on it."""
+
+        def rows(table: str) -> Column:
+            return F.max(F.when(F.col("table") == table, F.col("row_count")))
+
+        for table, key, required in (("documents", "id", ["source_url", "content", "license"]), ("chunks", "chunk_id", ["doc_id", "chunk_content"])):
+            broken = govern.constraint_report(self.stored(table), key, [key, *required]).where("violations > 0").collect()
+            if broken:
+                raise ValueError(f"{table} of {self.dataset} {self.version} is not released: {broken}")
+        layout.release(self.spark, self.root, self.dataset, self.version, self.tables)
+        written = layout.read_manifests(self.spark, self.root)
+        written = written.where((F.col("dataset") == self.dataset) & (F.col("version") == self.version))
+        counts = written.groupBy("dataset", "version").agg(rows("documents").alias("document_count"), rows("chunks").alias("chunk_count"))
+        return stats.build_summary(counts)
 
 
 def search_version(

@@ -297,3 +297,30 @@ def search_version(spark, folder):
     return hits.select(
         "chunk_id", "content", "source_url", "license", "metadata", F.round("similarity", 6).alias("similarity"), "meta.*"
     )
+
+
+@query("update_version", f"""
+  WITH RECURSIVE {CLEANED_SQL},
+  old AS (SELECT page_id % 10 AS part FROM pages WHERE length(html) > 50)
+  SELECT 'complete' AS status, 'web' AS dataset, 'v2025.4.1' AS version, (SELECT count(*) FROM cleaned) AS documents,
+         (SELECT count(*) FROM k) AS chunks, count(*) FILTER (part NOT IN (3, 4)) AS unchanged, count(*) FILTER (part = 4) AS changed,
+         count(*) FILTER (part = 3) AS new, count(*) FILTER (part = 5) AS deleted, TRUE AS as_rebuilt, TRUE AS some_carried
+  FROM old
+""")
+def update_version(spark, folder):
+    """A version brought up to date after a crawl: some pages are new, some changed, some gone. Compared with a full build."""
+    root, raw = scratch_path(spark, "built"), inputs.raw_crawl(spark, folder)
+    part = F.col("crawl_part")
+    marked = raw.join(table(spark, folder, "pages").select("url", (F.col("page_id") % 10).alias("crawl_part")), "url")
+    text = F.when(part == 4, F.concat("content", F.lit(" <p>as it was</p>"))).otherwise(F.col("content"))
+    earlier = marked.where(part != 3).withColumn("content", text)
+    gone = marked.where(part == 5).withColumn("url", F.concat("url", F.lit("/gone")))
+    build.build_version(earlier.unionByName(gone).select(raw.columns), root, "web", "v2025.3.2")
+    report = build.update_version(raw, root, "web", "v2025.4.1")
+    build.build_version(raw, root, "rebuilt", "v2025.4.1")
+    whole = [
+        layout.read_version(spark, root, "embeddings", name, "v2025.4.1").drop("dataset", "version", "created_at") for name in ("web", "rebuilt")
+    ]
+    same = whole[0].exceptAll(whole[1]).isEmpty() and whole[1].exceptAll(whole[0]).isEmpty()
+    some = (F.col("carried") > F.col("encoded")) & (F.col("encoded") > 0)
+    return report.withColumns({"as_rebuilt": F.lit(same), "some_carried": some}).drop("carried", "encoded")
