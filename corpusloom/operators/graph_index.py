@@ -51,14 +51,14 @@ class GraphIndex:
     def read(spark, path: str) -> GraphIndex:
         nodes, edges, members = (spark.read.parquet(f"{path}/{name}") for name in ("nodes", "edges", "members"))
         first = nodes.select(F.size("vector")).first()
-        return GraphIndex(nodes, edges, members, first[0] if first else 0)
+        return GraphIndex(nodes, edges, members, first[0] if first else 1)
 
 
 def build_graph(
     corpus: DataFrame, degree: int = 16, rounds: int = 4, chunk_id: str = "chunk_id", vector: str = "embedding", seed: int = 42
 ) -> GraphIndex:
     """The neighbour graph of all vectors (actions). Vectors without direction, or of another width than most, are left out."""
-    width = corpus.where(F.size(vector) > 0).agg(F.mode(F.size(vector))).first()[0] or 0
+    width = corpus.where(F.size(vector) > 0).agg(F.mode(F.size(vector))).first()[0] or 1
     kind = "array<float>"
 
     @arrow_udf(kind)
@@ -84,7 +84,7 @@ def build_graph(
 
 def _first_edges(nodes: DataFrame, degree: int, width: int, seed: int) -> DataFrame:
     """Edges between vectors that lie close along random directions: ranges of each direction, compared block by block."""
-    shares = np.random.default_rng(seed).standard_normal((DIRECTIONS, max(width, 1)))
+    shares = np.random.default_rng(seed).standard_normal((DIRECTIONS, width))
 
     def along(direction: np.ndarray) -> Column:
         @arrow_udf("double")
@@ -181,7 +181,7 @@ def search_graph(
     width = index.width
     entries = index.nodes.orderBy(F.xxhash64("node")).limit(ENTRIES).collect()
     starts = np.array([r.node for r in entries], np.int64)
-    matrix = np.array([r.vector for r in entries], np.float64).reshape(-1, max(width, 1))
+    matrix = np.array([r.vector for r in entries], np.float64).reshape(-1, width)
 
     @arrow_udf("array<struct<node:long,similarity:double>>")
     def entered(vectors: pa.Array) -> pa.Array:

@@ -323,3 +323,42 @@ def thread_depths(spark, folder):
         F.when(F.col("turn") > 0, F.col("conv_id") * 100000 + F.col("turn") - 1).alias("parent"),
     )
     return graph.item_depths(items)
+
+
+# Every message answers the turn before it; some are not stored, and some name their parent only in In-Reply-To.
+_MAIL_MISSING = "(conv_id * 7 + turn) % 5 = 2"
+
+
+@query("message_threads", f"""
+  WITH RECURSIVE m AS (
+    SELECT conv_id AS c, turn AS t, min(turn) OVER (PARTITION BY conv_id) AS t0, {_MAIL_MISSING} AS missing
+    FROM (SELECT DISTINCT conv_id, turn FROM conversations)),
+  stored AS (SELECT * FROM m WHERE NOT missing),
+  named AS (
+    SELECT DISTINCT m.c, m.t, m.t > m.t0 AND EXISTS (SELECT 1 FROM stored s WHERE s.c = m.c AND s.t > m.t AND s.t % 3 <> 0) AS chained
+    FROM m JOIN stored s ON s.c = m.c AND (s.t = m.t + 1 OR (s.t > m.t AND s.t % 3 <> 0)) WHERE m.missing),
+  nodes AS (
+    SELECT c, t, CASE WHEN t > t0 THEN t - 1 END AS p, TRUE AS here FROM stored
+    UNION ALL SELECT c, t, CASE WHEN chained THEN t - 1 END, FALSE FROM named),
+  up AS (
+    SELECT c, t AS root, t, 0 AS depth FROM nodes WHERE p IS NULL
+    UNION ALL SELECT n.c, u.root, n.t, u.depth + 1 FROM nodes n JOIN up u ON n.c = u.c AND n.p = u.t)
+  SELECT 'c' || n.c || '.' || n.t || '@list' AS message_id, 'c' || n.c || '.' || n.p || '@list' AS parent_id, q.here AS parent_stored,
+         'c' || n.c || '.' || u.root || '@list' AS root_id, u.depth
+  FROM nodes n JOIN up u ON n.c = u.c AND n.t = u.t LEFT JOIN nodes q ON q.c = n.c AND q.t = n.p WHERE n.here
+""")
+def message_threads(spark, folder):
+    """Threads from reply headers, with messages missing in between."""
+    from corpusloom.operators.threads import message_threads as threads
+
+    turns = table(spark, folder, "conversations").select("conv_id", "turn").distinct()
+    first = turns.groupBy("conv_id").agg(F.min("turn").alias("t0"))
+    turns = turns.join(first, "conv_id").where(f"NOT ({_MAIL_MISSING})")
+    address = lambda t: F.concat(F.lit("<c"), F.col("conv_id").cast("string"), F.lit("."), t.cast("string"), F.lit("@list>"))
+    later = F.col("turn") > F.col("t0")
+    earlier = F.transform(F.sequence("t0", F.col("turn") - 1), address)
+    return threads(turns.select(
+        F.regexp_extract(address(F.col("turn")), "<(.*)>", 1).alias("message_id"),
+        F.when(later, address(F.col("turn") - 1)).alias("in_reply_to"),
+        F.when(later & (F.col("turn") % 3 != 0), F.array_join(earlier, "\n ")).alias("references"),
+    ))

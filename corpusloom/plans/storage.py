@@ -13,8 +13,8 @@ from corpusloom.plans.text import GRID_SQL
 from corpusloom.plans.vectors import QUERY_TEXT
 from corpusloom.schemas import RAW_CRAWL
 from corpusloom.session import scratch_path
-from corpusloom.sources import crawl, layout, tables
-from corpusloom.streaming import incremental
+from corpusloom.sources import crawl, file_index, layout, tables
+from corpusloom.streaming import buckets, incremental
 
 D, RAW = inputs.DOCUMENTS_SQL, inputs.RAW_CRAWL_SQL
 
@@ -324,3 +324,40 @@ def update_version(spark, folder):
     same = whole[0].exceptAll(whole[1]).isEmpty() and whole[1].exceptAll(whole[0]).isEmpty()
     some = (F.col("carried") > F.col("encoded")) & (F.col("encoded") > 0)
     return report.withColumns({"as_rebuilt": F.lit(same), "some_carried": some}).drop("carried", "encoded")
+
+
+@query("bucketed_upsert", """
+  SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value, max(ts) AS ts,
+         coalesce(min(ts) FILTER (event_id % 3 = 0), min(ts) FILTER (event_id % 3 = 1), min(ts)) AS first_ts, TRUE AS others_untouched
+  FROM events GROUP BY 1
+""")
+def bucketed_upsert(spark, folder):
+    """The latest event per user after three batches and a replay of the second; a last batch of one user touches one bucket only."""
+    target = scratch_path(spark, "buckets")
+    events = table(spark, folder, "events").select("user_id", "event_id", "value", "ts", F.col("ts").alias("first_ts"))
+    order = ["ts", "event_id"]
+    for part in (0, 1, 2, 1):
+        buckets.upsert_buckets(events.where(F.col("event_id") % 3 == part), target, "user_id", order, 16, ("first_ts",))
+
+    def files():
+        rows = buckets.read_buckets(spark, target, events.schema).select("bucket", F.col("_metadata.file_name").alias("file"))
+        return {(r.bucket, r.file) for r in rows.distinct().collect()}
+
+    before = files()
+    user = events.agg(F.max("user_id")).first()[0]
+    touched = buckets.upsert_buckets(events.where(F.col("user_id") == user), target, "user_id", order, 16, ("first_ts",))
+    kept = {f for f in before if f[0] not in touched} <= files() and len(touched) == 1
+    return buckets.read_buckets(spark, target, events.schema).drop("bucket").withColumn("others_untouched", F.lit(kept))
+
+
+@query("indexed_lookup", """
+  SELECT doc_id, source, n_chars, TRUE AS few_files_opened FROM documents WHERE doc_id IN (5, 77, 123)
+""")
+def indexed_lookup(spark, folder):
+    """Three documents of a table in no order, found through the index of its files: no more files are opened than hold them."""
+    path, index = scratch_path(spark, "table"), scratch_path(spark, "index")
+    docs = table(spark, folder, "documents").select("doc_id", "source", "n_chars", "text")
+    docs.repartition(32, "doc_id").write.parquet(path)
+    file_index.build_index(spark, path, "doc_id", index, docs.schema)
+    found = file_index.lookup(spark, docs.schema, index, "doc_id", [5, 77, 123, 1 << 40])
+    return found.select("doc_id", "source", "n_chars").withColumn("few_files_opened", F.lit(len(found.inputFiles()) <= 4))
