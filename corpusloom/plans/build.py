@@ -41,7 +41,9 @@ def build_version(
     draft.store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
     draft.store(govern.attributions(draft.stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
     if encoder is not None:
-        draft.store(embed.embeddings_table(embed.embed_chunks(draft.stored("chunks"), encoder)), "embeddings", sort_by="chunk_id")
+        # Stored before they are sorted: the sort reads its input twice, and no text is to be encoded twice.
+        vectors = cut_lineage(embed.embed_chunks(draft.stored("chunks"), encoder))
+        draft.store(embed.embeddings_table(vectors), "embeddings", sort_by="chunk_id")
     return draft.release()
 
 
@@ -93,7 +95,8 @@ def update_version(
     known = before("embeddings").select("chunk_id", F.md5("chunk_content").alias("_md5"), "embedding").where("embedding IS NOT NULL")
     met = cut_lineage(draft.stored("chunks").withColumn("_md5", F.md5("chunk_content")).join(known, ["chunk_id", "_md5"], "left").drop("_md5"))
     kept, missing = met.where("embedding IS NOT NULL"), met.where("embedding IS NULL").drop("embedding")
-    vectors = kept.unionByName(embed.embed_chunks(missing, encoder).select(kept.columns))
+    # Stored before they are sorted, as in a whole build.
+    vectors = kept.unionByName(cut_lineage(embed.embed_chunks(missing, encoder).select(kept.columns)))
     draft.store(embed.embeddings_table(vectors), "embeddings", sort_by="chunk_id")
     documents = [F.count(F.when(F.col("state") == s, 1)).alias(s) for s in (UNCHANGED, CHANGED, NEW, DELETED)]
     vectors = met.agg(F.count("embedding").alias("carried"), F.count_if(F.col("embedding").isNull()).alias("encoded"))
