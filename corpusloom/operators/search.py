@@ -24,6 +24,8 @@ from corpusloom.session import cut_lineage
 
 # Chunks and queries of one cell that meet in one task.
 BLOCK_CHUNKS, BLOCK_QUERIES = 16_384, 4096
+# Ids of hits that are put into a scan, at most.
+PUSHED_IDS = 1000
 # The cell of chunks without direction.
 NO_CELL = -1
 
@@ -57,9 +59,15 @@ def hydrate(
 ) -> DataFrame:
     """Add the content columns to search hits.
 
-    ``max_hits`` is what the search guarantees (``k``, or ``k`` times the number of queries). Up to
-    ``BROADCAST_ROWS`` the hits are broadcast and the content is filtered in place; more hits join by shuffle.
+    ``max_hits`` is what the search guarantees (``k``, or ``k`` times the number of queries). Up to ``PUSHED_IDS`` the hits are found now (an
+    action) and their ids go into the scan of the content, which skips what cannot hold them; up to ``BROADCAST_ROWS`` the hits are
+    broadcast and the content is filtered in place; more hits join by shuffle.
     """
+    if max_hits <= PUSHED_IDS:
+        hits = cut_lineage(hits)
+        found = hits.select(key).distinct().limit(PUSHED_IDS + 1).collect()
+        if len(found) <= PUSHED_IDS:
+            content = content.where(F.col(key).isin([row[0] for row in found]))
     if not include_embeddings and "embedding" in content.columns:
         content = content.drop("embedding")
     return content.join(F.broadcast(hits) if max_hits <= BROADCAST_ROWS else hits, key)
