@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
-from corpusloom.llm.common import share_below, stored
+from corpusloom.llm.common import share_of, stored
 from corpusloom.llm.vector_blocks import Best, matrix, meet, usable
 
 # Lists are trained on about SAMPLE vectors; ROWS_PER_LIST vectors to a list on average, MAX_LISTS lists at most.
@@ -116,14 +116,16 @@ def nearest(
     share ``recall`` of the neighbours within the sample (see :func:`probes_needed`), and further ones until they hold ``k`` ids
     besides its own: only where there are fewer candidates are there fewer rows. Vectors that are null, zero or hold null or non-finite components, and rows without id, take no part.
     Shorter vectors count as filled with zeros; a repeated id counts once, with its nearest vector. Centres are fitted on about
-    SAMPLE vectors chosen by a hash of the id, which come to the driver with the centres (at most MAX_LISTS); every row is
+    SAMPLE vectors (twice as many at most) chosen by a hash of id and vector, which come to the driver with the centres (at most MAX_LISTS); every row is
     indexed. Stores the usable vectors, the assigned vectors and the queries. Columns: ``query_id``, ``rank``, ``vec_id``, ``score``.
     """
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).alias("vector"))
     rows = stored(rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector"), nonzero=True)))
-    total, width = rows.agg(F.count(F.lit(1)), F.max(F.size("vector"))).collect()[0]
+    draw = F.xxhash64("vec_id", "vector", F.lit(11))
+    total, different, width = rows.agg(F.count(F.lit(1)), F.approx_count_distinct(draw), F.max(F.size("vector"))).collect()[0]
     width = width or 0
-    chosen = rows.where(share_below(F.lit(min(1.0, SAMPLE / max(total, 1))), 11, "vec_id"))
+    # Rows that repeat id and vector are drawn together and count once; the limit is there for a count that is far off.
+    chosen = rows.where(share_of(draw) < min(1.0, SAMPLE / max(different, 1))).dropDuplicates(["vec_id", "vector"]).limit(2 * SAMPLE)
     sample = matrix(chosen.select("vector").toArrow().column("vector"), width) if total else np.zeros((0, width))
     if total and not len(sample):
         sample = matrix(rows.limit(1).select("vector").toArrow().column("vector"), width)

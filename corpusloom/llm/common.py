@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from corpusloom.plans.catalog import table
 from corpusloom.session import cut_lineage
 
-__all__ = ["documents", "fresh", "positions", "share_below", "stored", "table"]
+__all__ = ["documents", "fresh", "positions", "share_below", "share_of", "stored", "table"]
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -32,8 +32,12 @@ def fresh(df: DataFrame, name: str) -> str:
 
 def share_below(share: Column, seed: int, *keys: str) -> Column:
     """True for about that share of all keys; the same keys on every run."""
-    draw = F.shiftrightunsigned(F.xxhash64(*keys, F.lit(seed)), 11) / F.lit(float(1 << 53))
-    return draw < share
+    return share_of(F.xxhash64(*keys, F.lit(seed))) < share
+
+
+def share_of(draw: Column | str) -> Column:
+    """A 64-bit hash as a number from 0 up to 1."""
+    return F.shiftrightunsigned(draw, 11) / F.lit(float(1 << 53))
 
 
 # Rows of one sorted block, about, while the blocks are no more than the shuffle partitions; at most beyond.

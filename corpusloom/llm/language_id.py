@@ -11,14 +11,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusloom.llm.common import share_below
+from corpusloom.llm.common import share_of
 
 # Hashed features, longest n-gram.
 FEATURES, LONGEST = 1 << 14, 3
-# About so many sample documents for each language, and so many languages (the most frequent) at most.
-SAMPLE_PER_LANGUAGE, LANGUAGES = 1000, 256
+# Sample documents of a language and of all languages at most: with more than 256 languages, each has fewer.
+SAMPLE_PER_LANGUAGE, SAMPLE = 1000, 256_000
 UNKNOWN = "und"
 
 
@@ -130,12 +130,14 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
     """Fit a model on rows that have a label and a letter in their text; None if there are none.
 
     Languages and document frequencies are counted over all such rows (frequencies: one row per feature and task is
-    shuffled, FEATURES rows come to the driver). About SAMPLE_PER_LANGUAGE documents of each language, chosen by a hash of
-    the id, come to the driver for the fit; whole texts. Of more than LANGUAGES languages the most frequent are learnt.
+    shuffled, FEATURES rows come to the driver). For the fit, at most SAMPLE_PER_LANGUAGE documents of each language and SAMPLE
+    in all come to the driver, whole texts, chosen by a hash of id and text. Every language is learnt. Rows that repeat id and
+    text count as one in the sample; null or repeated ids with other texts are rows like any other.
     """
     rows = labelled.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label"))
     rows = rows.where(F.col("label").isNotNull() & has_letter(F.col("text")))
-    counts = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LANGUAGES).collect()
+    rows = rows.withColumn("draw", F.xxhash64("id", "text", F.lit(23)))
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct("draw").alias("different")).collect()
     if not counts:
         return None
 
@@ -152,15 +154,27 @@ def train(labelled: DataFrame, id_column: str = "doc_id", text_column: str = "te
     frequency[table.column("feature").to_numpy()] = table.column("n").to_numpy()
     total = sum(r["count"] for r in counts)
     idf = np.log((1 + total) / (1 + frequency)) + 1
-    chosen = F.lit(False)
-    for r in counts:
-        share = min(1.0, SAMPLE_PER_LANGUAGE / r["count"])
-        chosen = chosen | ((F.col("label") == r["label"]) & share_below(F.lit(share), 23, "id"))
-    sample = rows.where(chosen).toArrow().sort_by([("id", "ascending"), ("label", "ascending"), ("text", "ascending")])
+    sample = draw_sample(rows, {r["label"]: r["different"] for r in counts}).toArrow()
+    sample = sample.sort_by([("id", "ascending"), ("label", "ascending"), ("text", "ascending")])
     labels = sample.column("label").to_pylist()
     return fit(sorted(set(labels)), idf, sample.column("text").to_pylist(), labels) if labels else None
 
 
+def draw_sample(rows: DataFrame, different: dict[str, int]) -> DataFrame:
+    """The rows (id, text, label, draw) of least ``draw`` of every label, each once, within the bounds of the sample.
+
+    ``different`` has about the number of different draws of every label; twice as many as are wanted are looked at, so that only these
+    few are sorted, and copies of one row leave each task once.
+    """
+    most = max(1, min(SAMPLE_PER_LANGUAGE, SAMPLE // len(different)))
+    shares = F.create_map(*[F.lit(x) for label, n in different.items() for x in (label, min(1.0, 2 * most / max(n, 1)))])
+    near = rows.where(share_of("draw") < F.element_at(shares, F.col("label")))
+    once = Window.partitionBy("label", "draw").orderBy("label")
+    first = Window.partitionBy("label").orderBy("draw")
+    near = near.withColumn("_n", F.row_number().over(once)).where(F.col("_n") == 1)
+    return near.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= most).select("id", "text", "label")
+
+
 def predict(docs: DataFrame, model: LanguageModel | None, text_column: str = "text") -> Column:
     """Struct of ``lang_pred`` and ``score`` for a text column; ``und`` and 0 for null, for text without a letter, and without a model."""
     from pyspark.sql.functions import arrow_udf

@@ -95,6 +95,18 @@ def test_nearest(spark, recall, monkeypatch):
     assert nearest(docs.limit(0)).collect() == []
 
 
+def test_sample_of_lists_is_bounded_when_a_row_repeats(spark, monkeypatch):
+    from corpusloom.llm import approx_search
+
+    monkeypatch.setattr(approx_search, "SAMPLE", 16)
+    seen = []
+    monkeypatch.setattr(approx_search, "train_lists", lambda sample, lists, train=approx_search.train_lists: seen.append(len(sample)) or train(sample, lists))
+    rng = np.random.default_rng(4)
+    rows = [(300, [1.0, 2.0, 3.0])] * 400 + [(n, rng.normal(size=3).tolist()) for n in range(400)]
+    found = as_lists(nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert 0 < seen[0] <= 32 and sorted(found) == [0, 100, 200, 300] and all(len(hits) == 10 for hits in found.values())
+
+
 def test_recall_on_the_table(spark, folder):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     table = np.array([r[1] for r in rows])

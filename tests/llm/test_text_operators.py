@@ -159,6 +159,24 @@ def test_language_on_held_out_documents(spark):
     assert identify(docs.limit(0), F.lit(True)).collect() == []
 
 
+def test_sample_of_a_language_is_bounded_and_never_empty(spark, monkeypatch):
+    from corpusloom.llm import language_id
+
+    monkeypatch.setattr(language_id, "SAMPLE_PER_LANGUAGE", 20)
+    # One label with null ids only, one that is a single row over and over, one that is rare.
+    rows = [(None, f"{clean_line(n)}", "aa") for n in range(2000)] + [(7, "und der die", "bb")] * 2000 + [(n, f"rare {n}", "cc") for n in range(3)]
+    docs = spark.createDataFrame(rows, "id long, text string, label string").withColumn("draw", F.xxhash64("id", "text", F.lit(23)))
+    different = {"aa": 2000, "bb": 1, "cc": 3}
+    drawn = [tuple(r) for r in language_id.draw_sample(docs, different).collect()]
+    by_label = {label: [r for r in drawn if r[2] == label] for label in different}
+    assert {label: len(found) for label, found in by_label.items()} == {"aa": 20, "bb": 1, "cc": 3}
+    assert len(set(drawn)) == len(drawn) and sorted(drawn, key=repr) == sorted(map(tuple, language_id.draw_sample(docs, different).collect()), key=repr)
+    monkeypatch.setattr(language_id, "SAMPLE", 6)
+    assert language_id.draw_sample(docs, different).groupBy("label").count().agg(F.max("count")).first()[0] == 2
+    model = language_id.train(docs, "id", label_column="label")
+    assert model.languages == ["aa", "bb", "cc"]
+
+
 def test_language_of_the_table(spark, folder):
     found = QUERIES["op9_language_id"](spark, folder)
     truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
