@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from corpusloom.functions.urls import canonical_url
 from corpusloom.operators.html import page_links
 from corpusloom.operators.skew import join_on_hot_key, join_unique, without_keys
-from corpusloom.session import cut_lineage
+from corpusloom.session import cut_lineage, scratch_path
 
 
 def frontier_step(
@@ -37,8 +37,11 @@ def crawl_order(
     """Breadth-first walk over stored pages: (canonical, url, depth, place), at most ``max_pages`` visited.
 
     ``place`` sorts pages in visiting order. Within a level, targets are visited in the order of the page that first
-    links to them, then by position on that page. Each level is sorted, numbered and stored. URLs that are not among ``pages`` count as visited but lead nowhere, like pages that
-    could not be fetched.
+    links to them, then by position on that page. URLs that are not among ``pages`` count as visited but lead nowhere, like
+    pages that could not be fetched. Null and repeated start URLs do not matter; without any the result is empty.
+
+    Each level is sorted, numbered and added to one stored table, the visited set: its plan is one scan however deep the walk
+    goes, and a lost executor repeats a part of one level.
     """
     spark = pages.sparkSession
     # Of several URLs with the same canonical form the smallest stands for the page.
@@ -47,23 +50,24 @@ def crawl_order(
     links = page_links(pages, strip_regions=strip_regions, where=url_filter).join(chosen, "page_url")
     links = cut_lineage(links.select("source", "position", "link", canonical_url("link").alias("canonical")))
 
-    seeds = spark.createDataFrame([(u, i) for i, u in enumerate(start_urls)], "link string, position long")
+    seeds = spark.createDataFrame([(u, i) for i, u in enumerate(start_urls) if u is not None], "link string, position long")
     targets = seeds.groupBy(canonical_url("link").alias("canonical")).agg(
         F.min(F.struct(F.lit(0).cast("long").alias("parent"), "position")).alias("rank"),
         F.min_by("link", "position").alias("link"),
     )
-    visited, count, depth = None, 0, 0
+    path, count, depth = scratch_path(spark, "visited"), 0, 0
     while True:
         level, found = _next_places(targets, count, max_pages, depth)
-        visited = level if visited is None else visited.unionByName(level)
+        level.write.mode("append").parquet(path)
+        visited = spark.read.schema(level.schema).parquet(path)
         count += found
         if not found or count >= max_pages or (max_depth is not None and depth >= max_depth):
             return visited
+        here = visited.where(F.col("depth") == depth).select(F.col("canonical").alias("source"), F.col("place").alias("parent"))
         depth += 1
-        here = level.select(F.col("canonical").alias("source"), F.col("place").alias("parent"))
         rank = F.struct("parent", "position")
         onward = join_unique(links, here, "source")
-        targets = onward.groupBy("canonical").agg(F.min(rank).alias("rank"), F.min_by("link", rank).alias("link"))
+        targets = onward.groupBy("canonical").agg(F.min(rank).alias("rank"), F.min_by("link", F.struct(rank, "link")).alias("link"))
         targets = without_keys(targets, visited, "canonical")
 
 

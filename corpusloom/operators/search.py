@@ -173,19 +173,37 @@ def search_cells(
     query_id: str = "query_id",
     query_vector: str = "query_vector",
     exclude_self: bool = False,
+    licenses: list[str] | None = None,
+    enough: int = 4,
 ) -> DataFrame:
     """Approximate top ``k`` per query from the ``probes`` cells nearest to it, ranked exactly.
 
     ``cells`` carries the ``cell`` column of :func:`assign_cells`; stored with :func:`write_cells` it is a partition
     column, so cells that no query probes are not read. Every query also visits the chunks without direction, which rank
     last; a query without direction probes the first cells. Both sides are counted by cell first (an action).
+
+    With ``licenses`` only chunks of these (column ``license``) are looked at. The cells are chosen by how many of them they hold, which
+    is counted (an action; one row per cell): cells without any are passed over, and a query goes on, nearest cells first, until its
+    cells hold ``enough * k`` of them. So a rare license still gives ``k`` rows where there are as many.
     """
     goals = unit_rows(np.asarray(centroids, dtype=np.float64))
+    if licenses is not None:
+        cells = cells.where(F.col("license").isin(licenses))
+        held = np.zeros(len(goals), np.int64)
+        for row in cells.where(F.col("cell") != NO_CELL).groupBy("cell").count().collect():
+            held[row["cell"]] = row["count"]
 
     @arrow_udf("array<int>")
     def probed(vectors: pa.Array) -> pa.Array:
         scores = np.round(unit_rows(to_matrix(vectors, goals.shape[1])) @ goals.T, RANK_DIGITS)
-        order = np.argsort(-np.nan_to_num(scores, nan=-2.0), axis=1, kind="stable")[:, :probes].astype(np.int32)
+        order = np.argsort(-np.nan_to_num(scores, nan=-2.0), axis=1, kind="stable").astype(np.int32)
+        if licenses is None:
+            order = order[:, :probes]
+        else:
+            found = held[order]
+            ahead = np.cumsum(found, axis=1) - found, np.cumsum(found > 0, axis=1) - (found > 0)
+            wanted = (found > 0) & ((ahead[0] < enough * k + exclude_self) | (ahead[1] < probes))
+            return pa.array([[*row[some].tolist(), NO_CELL] for row, some in zip(order, wanted)], pa.list_(pa.int32()))
         return pa.array([[*row, NO_CELL] for row in order.tolist()], pa.list_(pa.int32()))
 
     wanted = queries.select(F.col(query_id), F.col(query_vector).cast("array<double>").alias(query_vector))

@@ -253,3 +253,20 @@ def knn_graph(spark, folder):
     judged = graph_index.recall(found, exact)
     right = F.sum("right") >= 0.9 * F.sum("wanted")
     return judged.agg(F.count(F.lit(1)).alias("queries"), F.sum("found").alias("found"), right.alias("recall_reached"))
+
+
+@query("knn_licensed", """
+  SELECT count(*) AS queries, count(*) * (SELECT least(10, count(*)) FROM embeddings WHERE vec_id % 50 = 7) AS found, TRUE AS recall_reached
+  FROM embeddings WHERE vec_id % 20 = 0
+""")
+def knn_licensed(spark, folder):
+    """Search in trained cells for chunks of a license that few have, held against the exact search."""
+    rare = F.when(F.col("chunk_id") % 50 == 7, "ODbL-1.0").otherwise(F.col("license"))
+    corpus = inputs.vectors(spark, folder).withColumn("license", rare)
+    asked = corpus.where(F.col("chunk_id") % 20 == 0).select(F.col("chunk_id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    centroids = search.train_centroids(corpus, 16)
+    found = search.search_cells(search.assign_cells(corpus, centroids), asked, centroids, 10, 2, licenses=["ODbL-1.0"])
+    exact = search.search_many(corpus.where(F.col("license") == "ODbL-1.0"), asked, 10)
+    judged = graph_index.recall(found, exact)
+    right = F.sum("right") >= 0.9 * F.sum("wanted")
+    return judged.agg(F.count(F.lit(1)).alias("queries"), F.sum("found").alias("found"), right.alias("recall_reached"))
