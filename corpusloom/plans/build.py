@@ -1,4 +1,4 @@
-"""The two whole journeys: build a dataset version from crawl rows, and search a built version.
+"""The whole journeys: build a dataset version from crawl rows, pages, messages or items, update it, and search it.
 
 Each stage reads what the stage before has stored, so every table is computed once and a lost executor repeats a part of
 one stage. Readers see a version when all of its tables are stored; a build that failed is simply run again.
@@ -7,11 +7,13 @@ one stage. Readers see a version when all of its tables are stored; a build that
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpusloom.operators import chunk, clean, embed, govern, search, stats
+from corpusloom.functions.text import strip_tags
+from corpusloom.operators import chunk, clean, embed, govern, html, search, stats
 from corpusloom.operators.skew import join_on_hot_key
 from corpusloom.operators.upsert import CHANGED, DELETED, NEW, UNCHANGED, document_states
 from corpusloom.session import cut_lineage
@@ -35,8 +37,55 @@ def build_version(
     Stores documents, chunks, attributions and embeddings with their manifests, checks keys and required columns, releases
     the version and returns the closing report ``(status, documents, chunks, dataset, version)``.
     """
-    draft = _Draft(raw.sparkSession, root, dataset, version, compression)
-    draft.store(_newest_documents(raw, min_chars), "documents")
+    return build_documents(_newest_documents(raw, min_chars), root, dataset, version, strategy, size, overlap, min_chars, encoder, compression)
+
+
+@dataclass
+class Moderation:
+    """What must not get into a version.
+
+    ``unwanted`` lists document ids (column ``id``), ``takedowns`` addresses (column ``source_url``), with ``scrub`` e-mail addresses, IPv4
+    addresses and phone numbers are replaced in title and content. Nulls and repeated rows in the lists do not matter.
+    """
+
+    unwanted: DataFrame | None = None
+    takedowns: DataFrame | None = None
+    scrub: bool = False
+
+    def apply(self, docs: DataFrame) -> DataFrame:
+        """The documents that stay, scrubbed last, so that no text is scrubbed in vain. Counts the lists (an action each)."""
+        columns = docs.columns
+        if self.unwanted is not None:
+            docs = govern.without_takedowns(docs, self.unwanted, "id")
+        if self.takedowns is not None:
+            docs = govern.without_takedowns(docs, self.takedowns, "source_url")
+        if self.scrub:
+            for text in ("title", "content"):
+                docs = govern.scrub_personal_data(docs, text).select(*columns)
+        return docs.select(*columns)
+
+
+def build_documents(
+    docs: DataFrame,
+    root: str,
+    dataset: str,
+    version: str,
+    strategy: str = "grid",
+    size: int = 1000,
+    overlap: int = 200,
+    min_chars: int = 50,
+    encoder: Callable[[], embed.Encoder] | None = embed.HashingEncoder,
+    compression: str = "zstd",
+    moderation: Moderation | None = None,
+    source: str = "crawl",
+) -> DataFrame:
+    """The build from documents on (columns of ``DOCUMENTS``, unique ids): the stages and the report of :func:`build_version`.
+
+    ``moderation`` is applied before the first table is stored. A sidecar ``(dataset_name, version, record_count, created_at, source,
+    license)`` is stored beside the tables; its license lists those of the documents (:func:`layout.read_sidecar`).
+    """
+    draft = _Draft(docs.sparkSession, root, dataset, version, compression)
+    draft.store(docs if moderation is None else moderation.apply(docs), "documents")
     chunks = chunk.chunk_documents(draft.stored("documents"), strategy, size, overlap, min_chars, keep=_FROM_DOCUMENT)
     draft.store(chunks, "chunks", checksum_of="chunk_content", chunk_size=size, chunk_overlap=overlap)
     draft.store(govern.attributions(draft.stored("chunks"), "chunk_id"), "attributions", sort_by="record_id")
@@ -44,7 +93,70 @@ def build_version(
         # Stored before they are sorted: the sort reads its input twice, and no text is to be encoded twice.
         vectors = cut_lineage(embed.embed_chunks(draft.stored("chunks"), encoder))
         draft.store(embed.embeddings_table(vectors), "embeddings", sort_by="chunk_id")
-    return draft.release()
+    return draft.release(source)
+
+
+def build_from_pages(
+    pages: DataFrame, root: str, dataset: str, version: str, default_license: str = "unknown", min_chars: int = 50, **options
+) -> DataFrame:
+    """A version from stored pages ``(url, html, status_code, content_type, crawled_at)``; ``options`` as in :func:`build_documents`.
+
+    Title and text are extracted from the page's structure, the license is looked for in the text, and the response goes into the
+    metadata. Pages that were not answered with 200 (null counts as 200) and texts of at most ``min_chars`` characters are left out; of pages
+    with one address the last crawled counts, of these the one with the greatest HTML. Pages without address or HTML are left out.
+    """
+    answered = pages.where(F.col("url").isNotNull() & F.col("html").isNotNull() & (F.coalesce("status_code", F.lit(200)) == 200))
+    newest = clean.dedup_latest(answered.select("url", "html", "status_code", "content_type", "crawled_at"), tie="html")
+    found = html.extract_pages(newest, status_code=F.col("status_code"), content_type=F.col("content_type"))
+    docs = found.where(F.length("content") > min_chars).select(
+        F.md5("url").alias("id"), F.col("url").alias("source_url"), "title", "content", F.to_json("metadata").alias("metadata"),
+        F.coalesce(govern.detect_license("content"), F.lit(default_license)).alias("license"), F.lit("Unknown").alias("author"),
+        F.current_timestamp().alias("processed_at"),
+    )
+    return build_documents(docs, root, dataset, version, min_chars=min_chars, **options)
+
+
+def build_messages(
+    pages: DataFrame, root: str, dataset: str, version: str, license_label: str = "unknown", list_name: str = "pgsql-hackers",
+    min_chars: int = 50, **options
+) -> DataFrame:
+    """A version from stored message pages ``(url, html, crawled_at)``; ``options`` as in :func:`build_documents`.
+
+    The subject is the title; message id, date, thread and list go into the metadata. Pages without address or HTML, and messages of at
+    most ``min_chars`` characters, are left out; of pages with one address the last crawled counts, as in :func:`build_from_pages`.
+    """
+    newest = clean.dedup_latest(pages.where("url IS NOT NULL AND html IS NOT NULL").select("url", "html", "crawled_at"), tie="html")
+    rows = html.message_rows(html.extract_messages(newest, list_name=list_name))
+    about = F.struct("message_id", F.date_format("date_parsed", "yyyy-MM-dd'T'HH:mm:ss").alias("date"), "thread_id", "list_name")
+    docs = rows.where(F.length("content") > min_chars).select(
+        F.md5("url").alias("id"), F.col("url").alias("source_url"), F.col("subject").alias("title"), "content",
+        F.to_json(about).alias("metadata"), F.lit(license_label).alias("license"), F.coalesce("author", F.lit("Unknown")).alias("author"),
+        F.current_timestamp().alias("processed_at"),
+    )
+    return build_documents(docs, root, dataset, version, min_chars=min_chars, source="archive", **options)
+
+
+def build_items(
+    items: DataFrame, root: str, dataset: str, version: str, license_label: str = "unknown", min_chars: int = 0,
+    address: str = "item:", **options
+) -> DataFrame:
+    """A version from stored items (columns of ``ITEMS``); ``options`` as in :func:`build_documents`.
+
+    The content is the title and the text without tags, on lines of their own. The address is the item's, else ``address`` and the id. Type,
+    score, time, list and parent go into the metadata. Items without id, and of at most ``min_chars`` characters, are left out; of rows with
+    one id the last crawled counts.
+    """
+    newest = clean.dedup_latest(items.where("id IS NOT NULL"), "id").withColumn("text", strip_tags("text"))
+    content = F.concat_ws("\n", F.nullif("title", F.lit("")), F.nullif("text", F.lit("")))
+    own = F.concat(F.lit(address), F.col("id").cast("string"))
+    about = F.struct("type", "score", F.date_format("time_parsed", "yyyy-MM-dd'T'HH:mm:ss").alias("time"), "story_type", "parent")
+    docs = newest.select(
+        F.col("id").cast("string").alias("id"), F.coalesce("url", own).alias("source_url"), "title", content.alias("content"),
+        F.to_json(about).alias("metadata"), F.lit(license_label).alias("license"), F.coalesce("by", F.lit("Unknown")).alias("author"),
+        F.current_timestamp().alias("processed_at"),
+    )
+    docs = docs.where(F.length("content") > min_chars)
+    return build_documents(docs, root, dataset, version, min_chars=min_chars, source="api", **options)
 
 
 def update_version(
@@ -126,8 +238,8 @@ class _Draft:
     def stored(self, table: str) -> DataFrame:
         return layout.read_version(self.spark, self.root, table, self.dataset, self.version).drop("dataset", "version")
 
-    def release(self) -> DataFrame:
-        """Check keys and required columns, show the version to readers, and report on it."""
+    def release(self, source: str = "crawl") -> DataFrame:
+        """Check keys and required columns, store the sidecar, show the version to readers, and report on it."""
 
         def rows(table: str) -> Column:
             return F.max(F.when(F.col("table") == table, F.col("row_count")))
@@ -136,6 +248,10 @@ class _Draft:
             broken = govern.constraint_report(self.stored(table), key, [key, *required]).where("violations > 0").collect()
             if broken:
                 raise ValueError(f"{table} of {self.dataset} {self.version} is not released: {broken}")
+        licenses = F.coalesce(F.array_join(F.sort_array(F.collect_set("license")), "/"), F.lit(""))
+        label = self.stored("documents").agg(licenses).first()[0]
+        sidecar = stats.metadata_sidecar(self.stored("documents"), self.dataset, self.version, source, label)
+        layout.write_sidecar(sidecar, self.root, self.dataset, self.version)
         layout.release(self.spark, self.root, self.dataset, self.version, self.tables)
         written = layout.read_manifests(self.spark, self.root)
         written = written.where((F.col("dataset") == self.dataset) & (F.col("version") == self.version))

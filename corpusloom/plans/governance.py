@@ -126,7 +126,7 @@ def attribution_build(spark, folder):
 _MAIL = r"[\w.%+-]+@[[:alnum:]][[:alnum:].-]*\.[[:alnum:]-]+"
 _ADDRESS = r"\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}"
 _PHONE = r"\+?\d{1,3}[. -]\(?\d{2,4}\)?[. -]\d{3,4}(?:[. -]\d{2,4})?"
-_SCRUB = f"""
+SCRUB_SQL = f"""
   WITH a AS (SELECT doc_id, text, regexp_replace(text, '{_MAIL}', '[EMAIL]', 'g') AS t1 FROM documents),
   b AS (SELECT *, regexp_replace(t1, '{_ADDRESS}', '[IP]', 'g') AS t2 FROM a),
   c AS (SELECT *, regexp_replace(t2, '{_PHONE}', '[PHONE]', 'g') AS t3 FROM b)
@@ -137,7 +137,7 @@ _SCRUB = f"""
 """
 
 
-@query("pii_scrub", _SCRUB)
+@query("pii_scrub", SCRUB_SQL)
 def pii_scrub(spark, folder):
     rows = govern.scrub_personal_data(wide_table(spark, folder, "documents", "doc_id", "text"), "text")
     return rows.select("doc_id", "email_hits", "ip_hits", "phone_hits", "text")

@@ -214,13 +214,16 @@ def _decoded(expression: str) -> str:
     return expression
 
 
-@query("page_extract", f"""
+PAGE_EXTRACT_SQL = f"""
   SELECT page_id, url, trim({_decoded("regexp_extract(html, '(?is)<title>(.*?)</title>', 1)")}, {_SPACE}) AS title,
          array_to_string(list_filter(list_transform(
            string_split(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '(?s)<[^>]*>', chr(1), 'g'),
                         chr(1)), lambda x: trim({_decoded('x')}, {_SPACE})), lambda x: x <> ''), chr(10)) AS content
   FROM pages
-""")
+"""
+
+
+@query("page_extract", PAGE_EXTRACT_SQL)
 def page_extract(spark, folder):
     return html.extract_pages(wide_table(spark, folder, "pages", "page_id", "url", "html")).select("page_id", "url", "title", "content")
 
@@ -342,6 +345,11 @@ def _escaped(column):
 """)
 def message_extract(spark, folder):
     """Conversation turns rendered as archive pages, then parsed back."""
+    return html.extract_messages(message_pages(spark, folder))
+
+
+def message_pages(spark, folder):
+    """Conversation turns as pages of a message archive: (url, html)."""
     conv, turn = F.col("conv_id").cast("string"), F.col("turn").cast("string")
     rows = [
         ("From:", F.concat("role", F.lit(" & co"))), ("Date:", F.lit("2024-12-15 18:30:45")),
@@ -354,11 +362,10 @@ def message_extract(spark, folder):
         F.lit("<html><head><title>Archive</title></head><body><h1> Re: topic "), conv, F.lit("</h1><table>"), header,
         F.lit("</table><p>quoted<pre>"), _escaped(F.col("text")), F.lit("</pre></body></html>"),
     )
-    pages = wide_table(spark, folder, "conversations", "conv_id", "turn", "role", "text").select(
+    return wide_table(spark, folder, "conversations", "conv_id", "turn", "role", "text").select(
         F.concat(F.lit("https://archive.example.org/message-id/"), conv, F.lit("-"), turn).alias("url"),
         page.alias("html"),
     )
-    return html.extract_messages(pages)
 
 
 @query("thread_key", "SELECT conv_id, turn, md5('topic ' || conv_id) AS thread_id FROM conversations")

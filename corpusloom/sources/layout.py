@@ -56,6 +56,25 @@ def release(spark: SparkSession, root: str, dataset: str, version: str, tables:
     _record(spark.createDataFrame(rows, "dataset string, version string, table string"), root, RELEASED)
 
 
+SIDECAR = T.StructType([
+    T.StructField(name, kind) for name, kind in (
+        ("dataset_name", T.StringType()), ("version", T.StringType()), ("record_count", T.LongType()),
+        ("created_at", T.TimestampType()), ("source", T.StringType()), ("license", T.StringType()),
+    )
+])
+
+
+def write_sidecar(sidecar: DataFrame, root: str, dataset: str, version: str) -> None:
+    """Store the one row that describes a version as JSON beside its tables (an action); that of a failed attempt is replaced."""
+    sidecar.coalesce(1).write.mode("overwrite").json(version_path(root, "metadata", dataset, version))
+
+
+def read_sidecar(spark: SparkSession, root: str, dataset: str, version: str = "latest") -> DataFrame:
+    """What :func:`write_sidecar` stored with a version that readers see."""
+    version = resolve_version(spark, root, dataset, version)
+    return _lines(spark, version_path(root, "metadata", dataset, version), SIDECAR)
+
+
 def delete_version(spark: SparkSession, root: str, dataset: str, version: str) -> list[str]:
     """Take a version from readers and remove its files, those of failed attempts included; its tables (an action).
 
@@ -65,7 +84,7 @@ def delete_version(spark: SparkSession, root: str, dataset: str, version: str) -
     tables = sorted(r.table for r in written.select("table").distinct().collect())
     rows = [(dataset, version, table) for table in tables]
     _record(spark.createDataFrame(rows, "dataset string, version string, table string"), root, DELETED)
-    for table in tables:
+    for table in [*tables, "metadata"]:
         files, where = _folder(spark, version_path(root, table, dataset, version))
         files.delete(where, True)
     return tables
