@@ -300,14 +300,15 @@ _SITE_SQL = f"""
             FROM found JOIN named USING (page_id)),
   chosen AS (SELECT source, min(page_url) AS page_url FROM links GROUP BY 1),
   edges AS (SELECT source, {_canonical('link')} AS canonical, position, link FROM links JOIN chosen USING (source, page_url)),
-  seed AS (SELECT min(page_url) AS url FROM named)
+  seed AS (SELECT page_url AS url, row_number() OVER (ORDER BY page_url) - 1 AS n FROM (SELECT DISTINCT page_url FROM named)
+           QUALIFY n < 10)
 """
 
 
 @query("link_bfs", f"""
   WITH RECURSIVE {_SITE_SQL},
   walk(canonical, depth, path, url) USING KEY (canonical) AS (
-    SELECT {_canonical('url')}, 0, [(0::BIGINT, '')], url FROM seed
+    SELECT {_canonical('url')}, 0, [(n::BIGINT, {_canonical('url')})], url FROM seed
     UNION
     SELECT e.canonical, w.depth + 1, min(list_append(w.path, (e.position::BIGINT, e.canonical))),
            arg_min(e.link, (w.path, e.position::BIGINT, e.link))
@@ -317,7 +318,7 @@ _SITE_SQL = f"""
   SELECT * FROM placed WHERE place < 150
 """)
 def link_bfs(spark, folder):
-    """A walk over stored pages, at most four links deep and 150 pages long."""
+    """A walk over stored pages from ten of them, at most four links deep and 150 pages long."""
     pages = wide_table(spark, folder, "pages", "page_id", "html")
     first = html.page_links(
         pages.select(F.col("page_id").cast("string").alias("url"), "html"), strip_regions=False, same_site=False,
@@ -325,8 +326,8 @@ def link_bfs(spark, folder):
     ).where(F.col("position") == 0)
     names = first.select(F.col("page_url").cast("long").alias("page_id"), F.concat(F.lit("https://site.example"), "href").alias("url"))
     site = pages.join(names, "page_id").select("url", "html")
-    start = names.agg(F.min("url")).first()[0]
-    return graph.crawl_order(site, [start], 150, 4, strip_regions=False)
+    start = [row.url for row in names.select("url").distinct().orderBy("url").limit(10).collect()]
+    return graph.crawl_order(site, start, 150, 4, strip_regions=False)
 
 
 # --- messages -----------------------------------------------------------------------------------------------------
