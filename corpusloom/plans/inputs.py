@@ -30,6 +30,15 @@ RAW_CRAWL_SQL = """
   FROM pages
 """
 
+# The newest crawl row per address with at least some text, without tags; what the metadata does not say has a default.
+CLEANED_SQL = f"""
+  SELECT md5(url) AS id, url, r.title AS title, regexp_replace(r.content, '<[^>]+>', '', 'g') AS content, r.metadata AS metadata,
+         ifnull(json_extract_string(r.metadata, '$.license'), 'MIT') AS license,
+         ifnull(json_extract_string(r.metadata, '$.author'), 'Unknown') AS author
+  FROM (SELECT url, arg_max(struct_pack(title, content, metadata), crawled_at) AS r FROM ({RAW_CRAWL_SQL})
+        WHERE length(content) > 50 GROUP BY url)
+"""
+
 
 def documents(spark: SparkSession, folder: str, spread_rows: bool = True) -> DataFrame:
     """The document table: string id, address, content, license found in the text (unknown when none), language."""
