@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from corpusloom.plans.catalog import table
 from corpusloom.session import cut_lineage
 
-__all__ = ["documents", "fresh", "positions", "share_below", "share_of", "stored", "table"]
+__all__ = ["documents", "fresh", "positions", "row_parts", "share_below", "share_of", "stored", "table"]
 
 
 def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -30,6 +30,16 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+# Bytes of compressed files whose rows go to one task together, about.
+PART_BYTES = 16 << 20
+
+
+def row_parts(table: DataFrame) -> int:
+    """Parts to deal the whole rows of a stored table into: the shuffle partitions, more where these would grow too large."""
+    size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
 def share_below(share: Column, seed: int, *keys: str) -> Column:
     """True for about that share of all keys; the same keys on every run."""
     return share_of(F.xxhash64(*keys, F.lit(seed))) < share
