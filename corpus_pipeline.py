@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm.common import fresh, stored, table
+from corpusloom.llm.common import fresh, row_parts, stored, table
 from corpusloom.llm.language_id import UNKNOWN, predict, train
 from corpusloom.llm.line_dedup import drop_recurring
 from corpusloom.llm.mixing import mix
@@ -45,11 +45,17 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture takes them."""
-    names = docs.columns
-    kept = docs.select(F.struct(*[F.col(c) for c in names]).alias("_row"), "doc_id", "text", "source")
-    taken = mix(kept, table(spark, sf_dir, "labels"), extra=("_row",))
-    return taken.select(F.explode(F.array_repeat("_row", F.col("copies"))).alias("_row")).select("_row.*")
+    """Documents as often as the mixture takes them.
+
+    Rows are numbered and stored. Only their numbers, ids and sizes go through the mixture; the whole rows then meet their number of
+    copies in one shuffle, in parts that grow in number with the table, and are neither sorted nor gathered by source.
+    """
+    row, of = fresh(docs, "_number"), fresh(docs, "_of")
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))
+    taken = mix(numbered.select("doc_id", "text", "source", row), table(spark, sf_dir, "labels"), extra=(row,))
+    wanted = taken.where("copies > 0").select(F.col(row).alias(of), F.sequence(F.lit(1), F.col("copies")).alias(f"{of}_copies"))
+    met = numbered.repartition(row_parts(numbered), row).join(wanted.hint("shuffle_hash"), F.col(row) == F.col(of))
+    return met.select(*docs.columns, F.explode(f"{of}_copies").alias(of)).select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
