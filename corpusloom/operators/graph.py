@@ -138,3 +138,27 @@ def item_depths(items: DataFrame) -> DataFrame:
         )
         steps = cut_lineage(steps.where("done").unionByName(moved))
     return steps.where("done").select("id", F.col("up").alias("root"), F.col("depth").cast("int").alias("depth"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """Smallest node that every node of ``edges`` (``a``, ``b``: long) is connected with: (node, component), without these smallest ones.
+
+    Rounds of stars: every neighbour that is larger than a node goes to the node's smallest neighbour, then every smaller one does too.
+    No component gains an edge by that, and the rounds end when each is one star, after about the logarithm of its size. A node that
+    many others hang on is met in place. Every round stores its edges (actions).
+    """
+    larger, smaller = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    stars, before = cut_lineage(edges.where("a <> b").select(larger, smaller).distinct()), None
+    while True:
+        marks = [F.bit_xor(F.xxhash64("a", "b", F.lit(n))) for n in range(2)]
+        state = stars.agg(F.count(F.lit(1)), *marks).first()
+        if state == before:
+            return stars.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        before = state
+        both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        lowest = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")))
+        moved = join_on_hot_key(both, lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        stars = cut_lineage(moved.distinct())
+        lowest = cut_lineage(stars.groupBy("a").agg(F.min("b").alias("low")))
+        moved = join_on_hot_key(stars, lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
+        stars = cut_lineage(moved.unionByName(lowest.select("a", F.col("low").alias("b"))).where("a <> b").distinct())

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import cosine, to_matrix
-from corpusloom.operators import embed, graph_index, search
+from corpusloom.operators import embed, graph_index, search, similar
 from corpusloom.plans import inputs
 from corpusloom.plans.catalog import query, table, wide_table
 
@@ -270,3 +270,27 @@ def knn_licensed(spark, folder):
     judged = graph_index.recall(found, exact)
     right = F.sum("right") >= 0.9 * F.sum("wanted")
     return judged.agg(F.count(F.lit(1)).alias("queries"), F.sum("found").alias("found"), right.alias("recall_reached"))
+
+
+@query("similar_documents", """
+  WITH RECURSIVE t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS token FROM documents),
+  b AS (SELECT doc_id, (('0x' || substr(md5(token), 1, 8))::BIGINT % 64)::INTEGER AS bucket, count(*) AS c FROM t GROUP BY 1, 2),
+  w AS (SELECT doc_id, bucket, (c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)))::FLOAT AS weight FROM b),
+  v AS (SELECT d.doc_id, list(coalesce(w.weight, 0)::DOUBLE ORDER BY place) AS vector
+        FROM (SELECT DISTINCT doc_id FROM w) d CROSS JOIN range(64) r(place) LEFT JOIN w ON w.doc_id = d.doc_id AND w.bucket = place
+        GROUP BY 1),
+  n AS (SELECT vector, min(doc_id) AS node, count(*) AS copies FROM v GROUP BY 1),
+  l AS MATERIALIZED (SELECT x.node AS a, y.node AS b FROM n x JOIN n y
+                     ON x.node <> y.node AND round(list_cosine_similarity(x.vector, y.vector), 12) >= 0.98),
+  reached AS (SELECT node AS a, node AS b FROM n UNION SELECT reached.a, l.b FROM reached JOIN l ON l.a = reached.b),
+  g AS (SELECT a, min(b) AS group_id FROM reached GROUP BY 1),
+  k AS (SELECT a, count(*) AS links FROM l GROUP BY 1),
+  m AS (SELECT doc_id, group_id, coalesce(links, 0) AS links, copies FROM v JOIN n USING (vector) JOIN g ON g.a = node LEFT JOIN k ON k.a = node)
+  SELECT doc_id, coalesce(group_id, doc_id) AS group_id, coalesce(links, 0) AS links, coalesce(copies, 1) AS copies
+  FROM (SELECT doc_id FROM documents) LEFT JOIN m USING (doc_id)
+""")
+def similar_documents(spark, folder):
+    """Groups of documents whose vectors are alike, with the links of each; documents without a vector are alone."""
+    docs = wide_table(spark, folder, "documents", "doc_id", "text")
+    vectors = embed.embed_chunks(docs, text="text").select("doc_id", "embedding")
+    return similar.similar_groups(vectors, 0.98, chunk_id="doc_id")
