@@ -1,9 +1,10 @@
 """Groups of similar chunks: tables of signed random projections propose pairs, cosine similarity decides.
 
 Chunks with the same vector, however many, are one node. A table gives every node the signs of its products with a few random
-directions; nodes of equal signs are compared. More nodes take more signs, so that unrelated vectors meet rarely at any size, and as many
-tables as keep the chance of missing a link below a bound. A crowd of similar nodes is cut into blocks that meet pairwise in tasks of their
-own. What leaves a task is one row per node, its links and the smallest node it hangs together with: pairs are never written.
+directions; nodes of equal signs are compared. How many signs a table has follows from the number of nodes and from how alike the nodes
+of a sample are, so that nodes without a link meet rarely; there are as many tables as keep the chance of missing a link below a bound. A
+crowd of similar nodes is cut into blocks that meet pairwise in tasks of their own. What leaves a task is one row per node, its links and
+the smallest node it hangs together with: pairs are never written.
 """
 
 from __future__ import annotations
@@ -20,18 +21,28 @@ from corpusloom.operators.graph import components
 from corpusloom.operators.skew import broadcast_if_small, join_on_hot_key
 from corpusloom.session import cut_lineage
 
-# Unrelated nodes of a bucket, about, and nodes of a block at most, about.
-BUCKET, BLOCK = 128, 512
+# Nodes of a block at most, about; comparisons that cost as much as sending a node once; nodes of the sample; signs of a table at most.
+BLOCK, SENT, SAMPLE, MOST_SIGNS = 512, 128, 1024, 40
 
 
-def projections(nodes: int, threshold: float, miss: float) -> tuple[int, int]:
+def projections(nodes: int, threshold: float, miss: float, others: np.ndarray) -> tuple[int, int]:
     """Signs of a table and number of tables, such that two vectors at the threshold share no table with a chance of ``miss`` at most.
 
     Two vectors at an angle ``a`` agree in a sign with the chance ``1 - a / pi``, hence in all signs of a table with a power of that.
+    More signs keep vectors apart that are not linked and take more tables. Of all choices that keep to ``miss`` the one with the least
+    work is taken: a node is sent once a table and compared with those of ``others``, some similarities below the threshold, that it meets.
     """
-    signs = max(1, math.ceil(math.log2(max(2, nodes / BUCKET))))
-    together = (1 - math.acos(min(threshold, 1.0)) / math.pi) ** signs
-    return signs, 1 if together >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - together)))
+
+    def agree(similarity: np.ndarray) -> np.ndarray:
+        return 1 - np.arccos(np.clip(similarity, -1, 1)) / np.pi
+
+    together, meet = float(agree(np.float64(threshold))), agree(others)
+    choices = []
+    for signs in range(1, MOST_SIGNS + 1):
+        chance = together**signs
+        tables = 1 if chance >= 1 else max(1, math.ceil(math.log(miss) / math.log1p(-chance)))
+        choices.append((tables * (SENT + nodes * float((meet**signs).mean() if len(meet) else 0.0)), signs, tables))
+    return min(choices)[1:]
 
 
 def similar_groups(
@@ -69,7 +80,10 @@ def similar_groups(
 
 def _links(nodes: DataFrame, width: int, threshold: float, miss: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """Number of links of every linked node (``node``, ``links``), and edges (``a``, ``b``) that connect what links connect."""
-    signs, tables = projections(nodes.count(), threshold, miss)
+    drawn = nodes.orderBy(F.xxhash64("vector")).select("vector").limit(SAMPLE).toArrow().column("vector").combine_chunks()
+    units = unit_rows(to_matrix(drawn, width))
+    others = (units @ units.T)[np.triu_indices(len(units), 1)]
+    signs, tables = projections(nodes.count(), threshold, miss, others[others < threshold])
     directions = np.random.default_rng(seed).standard_normal((width, tables * signs))
     powers = 1 << np.arange(signs, dtype=np.int64)
 

@@ -59,7 +59,7 @@ def rows():
 @pytest.mark.parametrize("threshold,block", [(0.95, 512), (0.95, 32), (0.9, 64)])
 def test_groups_against_brute_force(spark, rows, threshold, block, monkeypatch):
     monkeypatch.setattr(similar, "BLOCK", block)
-    monkeypatch.setattr(similar, "BUCKET", 16)
+    monkeypatch.setattr(similar, "SENT", 8)
     frame = spark.createDataFrame(rows, "chunk_id long, embedding array<float>").repartition(5)
     found = {r.chunk_id: (r.group_id, r.links, r.copies) for r in similar.similar_groups(frame, threshold, 1e-9).collect()}
     wanted = brute([(n, None if v is None else np.float32(v)) for n, v in rows], threshold)
@@ -75,11 +75,13 @@ def test_groups_of_few_rows(spark):
 
 
 def test_tables_keep_the_chance_of_a_miss():
-    for nodes in (1, 1000, 10**6, 10**9):
+    for others in (np.zeros(0), np.linspace(-0.2, 0.2, 50), np.linspace(0.5, 0.8, 50)):
         for threshold in (0.8, 0.95, 1.0):
-            signs, tables = similar.projections(nodes, threshold, 1e-4)
-            together = (1 - np.arccos(threshold) / np.pi) ** signs
-            assert (1 - together) ** tables <= 1e-4 and nodes / 2**signs <= similar.BUCKET
+            chosen = [similar.projections(nodes, threshold, 1e-4, others[others < threshold]) for nodes in (1, 1000, 10**6, 10**9)]
+            for signs, tables in chosen:
+                together = (1 - np.arccos(threshold) / np.pi) ** signs
+                assert (1 - together) ** tables <= 1e-4
+            assert chosen == sorted(chosen)
 
 
 def test_components(spark):
