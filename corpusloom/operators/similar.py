@@ -1,10 +1,15 @@
-"""Groups of similar chunks: tables of signed random projections propose pairs, cosine similarity decides.
+"""Groups of similar chunks: cells or tables of signed random projections propose pairs, cosine similarity decides.
 
-Chunks with the same vector, however many, are one node. A table gives every node the signs of its products with a few random
-directions; nodes of equal signs are compared. How many signs a table has follows from the number of nodes and from how alike the nodes
-of a sample are, so that nodes without a link meet rarely; there are as many tables as keep the chance of missing a link below a bound. A
-crowd of similar nodes is cut into blocks that meet pairwise in tasks of their own. What leaves a task is one row per node, its links and
-the smallest node it hangs together with: pairs are never written.
+Chunks with the same vector, however many, are one node. Nodes meet in one of two ways, whichever a sample of nodes foretells less work for:
+
+* Cells around a few centres. A node belongs to the nearest centre, and visits an earlier cell if its distance to the plane between both
+  centres lets a linked node lie there. Every link meets in exactly one cell. Good for vectors that lie in clusters or narrow cones.
+* Tables: each gives a node the signs of its products with a few random directions; nodes of equal signs are compared. How many signs a
+  table has follows from the number of nodes and from how alike the nodes of the sample are, so that nodes without a link meet rarely;
+  there are as many tables as keep the chance of missing a link below a bound. Good for scattered vectors.
+
+A crowd of nodes is cut into blocks that meet pairwise in tasks of their own. What leaves a task is one row per node, its links and the
+smallest node it hangs together with: pairs are never written, nor held for more than a slab of a block.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from corpusloom.functions.vectors import RANK_DIGITS, to_matrix, unit_rows
@@ -21,8 +26,10 @@ from corpusloom.operators.graph import components
 from corpusloom.operators.skew import broadcast_if_small, join_on_hot_key
 from corpusloom.session import cut_lineage
 
-# Nodes of a block at most, about; comparisons that cost as much as sending a node once; nodes of the sample; signs of a table at most.
-BLOCK, SENT, SAMPLE, MOST_SIGNS = 512, 128, 1024, 40
+# Nodes of a block at most, about; comparisons that cost as much as sending a node once; nodes of the sample; signs of a table and cells at most.
+BLOCK, SENT, SAMPLE, MOST_SIGNS, MOST_CELLS = 8192, 512, 1024, 40, 64
+# Similarities that are held at once.
+SLAB = 1 << 20
 
 
 def projections(nodes: int, threshold: float, miss: float, others: np.ndarray) -> tuple[int, int]:
@@ -45,6 +52,55 @@ def projections(nodes: int, threshold: float, miss: float, others: np.ndarray) -
     return min(choices)[1:]
 
 
+def tables_work(nodes: int, signs: int, tables: int, others: np.ndarray) -> float:
+    """Comparisons a node, and its sends counted as such, of tables over that many nodes. A row names its earlier tables, 8 bytes each."""
+    met = nodes * float(((1 - np.arccos(np.clip(others, -1, 1)) / np.pi) ** signs).mean() if len(others) else 0.0)
+    return tables * (SENT * (1 + tables / 64) * max(1.0, met / BLOCK) + met)
+
+
+def centres_for(units: np.ndarray, nodes: int, threshold: float) -> tuple[np.ndarray, float]:
+    """Centres of cells for that many nodes like the sample ``units``, and the work a node takes, as :func:`tables_work` counts it."""
+    choices = []
+    for cells in [1 << n for n in range(MOST_CELLS.bit_length())]:
+        if cells > max(1, len(units) // 4):
+            break
+        # The first centres are nodes as far from each other as can be; then a few rounds of spherical k-means.
+        chosen, near = [0], units @ units[0]
+        while len(chosen) < cells:
+            chosen.append(int(near.argmin()))
+            near = np.maximum(near, units @ units[chosen[-1]])
+        centres = units[chosen]
+        for _ in range(8):
+            own = (units @ centres.T).argmax(axis=1)
+            sums = np.zeros_like(centres)
+            np.add.at(sums, own, units)
+            lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+            centres = np.where(lengths > 0, sums / np.where(lengths > 0, lengths, 1), centres)
+        own, visits = cells_of(units, centres, threshold)
+        times = nodes / max(1, len(units))
+        members, visitors = np.bincount(own, minlength=cells) * times, visits.sum(axis=0) * times
+        blocks, others = np.ceil(members / BLOCK), np.ceil(visitors / BLOCK)
+        compared = (members * (members / 2 + visitors)).sum()
+        sent = (members * (blocks + others) + visitors * blocks).sum()
+        choices.append(((compared + SENT * sent) / max(1, nodes), cells, centres))
+    work, _, centres = min(choices, key=lambda choice: choice[:2])
+    return centres, work
+
+
+def cells_of(units: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of every row and, as a matrix of rows and cells, the earlier cells that it visits.
+
+    Rows of a similarity of at least ``threshold`` are at most ``reach`` apart. A row that is nearer to ``c`` than to ``d`` lies on the side
+    of ``c`` of the plane between both, so a row further than ``reach`` on the other side has no link into the cell of ``c``.
+    """
+    products = units @ centres.T
+    own = products.argmax(axis=1)
+    reach = np.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-5
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (centres @ centres.T)))
+    behind = products[np.arange(len(own)), own][:, None] - products
+    return own, (behind <= reach * apart[own] + 1e-9) & (np.arange(len(centres)) < own[:, None])
+
+
 def similar_groups(
     corpus: DataFrame, threshold: float = 0.95, miss: float = 1e-4, chunk_id: str = "chunk_id", vector: str = "embedding", seed: int = 42
 ) -> DataFrame:
@@ -81,9 +137,74 @@ def similar_groups(
 def _links(nodes: DataFrame, width: int, threshold: float, miss: float, seed: int) -> tuple[DataFrame, DataFrame]:
     """Number of links of every linked node (``node``, ``links``), and edges (``a``, ``b``) that connect what links connect."""
     drawn = nodes.orderBy(F.xxhash64("vector")).select("vector").limit(SAMPLE).toArrow().column("vector").combine_chunks()
-    units = unit_rows(to_matrix(drawn, width))
+    units, count = unit_rows(to_matrix(drawn, width)), nodes.count()
     others = (units @ units.T)[np.triu_indices(len(units), 1)]
-    signs, tables = projections(nodes.count(), threshold, miss, others[others < threshold])
+    others = others[others < threshold]
+    signs, tables = projections(count, threshold, miss, others)
+    centres, work = centres_for(units, count, threshold) if len(units) and 0 < threshold else (units, np.inf)
+    if work <= tables_work(count, signs, tables, others):
+        dealt = _by_cells(nodes, width, threshold, centres)
+    else:
+        dealt = _by_tables(nodes, width, signs, tables, seed)
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, block = table.column("node").to_numpy(), table.column("block").to_numpy()
+        units = unit_rows(to_matrix(table.column("vector").combine_chunks(), width))
+        earlier = table.column("earlier").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        here, there = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        links, hung = np.zeros(len(ids), np.int64), _Hung(ids)
+        goals, slab = units[there].T, max(1, SLAB // max(1, len(there)))
+        for start in range(0, len(here), slab):
+            some = here[start : start + slab]
+            scores = units[some] @ goals
+            near = scores >= threshold - 2 * 10.0**-RANK_DIGITS
+            near[near] = np.round(scores[near], RANK_DIGITS) >= threshold
+            if low == high:
+                near &= np.arange(len(there)) > np.arange(start, start + len(some))[:, None]
+            left, right = np.nonzero(near)
+            left, right = some[left], there[right]
+            hung.link(left, right)
+            # A pair counts in the first table in which it meets.
+            first = np.ones(len(left), bool)
+            for column in earlier.T:
+                first &= column[left] != column[right]
+            links += np.bincount(left[first], minlength=len(ids)) + np.bincount(right[first], minlength=len(ids))
+        told, least = hung.told, hung.least()
+        return pa.table([pa.array(a[told]) for a in (ids, links, least)], ["node", "links", "least"])
+
+    met = dealt.groupBy("key", "low", "high").applyInArrow(compare, "node long, links long, least long")
+    met = cut_lineage(met.groupBy("node", "least").agg(F.sum("links").alias("links")))
+    return met.groupBy("node").agg(F.sum("links").alias("links")), met.select(F.col("node").alias("a"), F.col("least").alias("b"))
+
+
+def _by_cells(nodes: DataFrame, width: int, threshold: float, centres: np.ndarray) -> DataFrame:
+    """Nodes dealt to their cells and those they visit. Blocks of members meet each other and blocks of visitors."""
+    centres = np.ascontiguousarray(centres)
+
+    @arrow_udf("array<struct<key:long,visits:boolean>>")
+    def cells(vectors: pa.Array) -> pa.Array:
+        own, visits = cells_of(unit_rows(to_matrix(vectors, width)), centres, threshold)
+        wanted = visits.copy()
+        wanted[np.arange(len(own)), own] = True
+        row, key = np.nonzero(wanted)
+        offsets = np.concatenate([[0], np.cumsum(wanted.sum(axis=1))]).astype(np.int32)
+        parts = pa.StructArray.from_arrays([pa.array(key.astype(np.int64)), pa.array(visits[row, key])], ["key", "visits"])
+        return pa.ListArray.from_arrays(pa.array(offsets), parts)
+
+    placed = cut_lineage(nodes.select("node", "vector", F.explode(cells("vector")).alias("cell")).select("node", "vector", "cell.*"))
+    counts = placed.groupBy("key").agg(*[F.ceil(F.count_if(c) / BLOCK).cast("int").alias(n) for n, c in (("blocks", ~F.col("visits")), ("guests", F.col("visits")))])
+    # A cell that nobody belongs to has visitors only, and no block that they could meet.
+    sized = placed.join(F.broadcast(counts.where("blocks > 0")), "key")
+    draw = F.xxhash64("node", "key")
+    block = F.when(F.col("visits"), F.col("blocks") + F.pmod(draw, "guests")).otherwise(F.pmod(draw, "blocks")).cast("int")
+    last = F.when(F.col("visits"), F.col("blocks")).otherwise(F.col("blocks") + F.col("guests")) - 1
+    dealt = sized.select("key", "node", "vector", block.alias("block"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    return dealt.select("key", *_meeting(), "node", "vector", F.array().cast("array<long>").alias("earlier"), "block")
+
+
+def _by_tables(nodes: DataFrame, width: int, signs: int, tables: int, seed: int) -> DataFrame:
+    """Nodes dealt to their buckets, one a table, with the buckets of earlier tables."""
     directions = np.random.default_rng(seed).standard_normal((width, tables * signs))
     powers = 1 << np.arange(signs, dtype=np.int64)
 
@@ -103,43 +224,43 @@ def _links(nodes: DataFrame, width: int, threshold: float, miss: float, seed: in
     block = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
     dealt = dealt.select("key", "node", "vector", F.slice("keys", 1, F.col("table")).alias("earlier"), block.alias("block"), "blocks")
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "vector", "earlier", "block")
+    return dealt.select("key", *_meeting(), "node", "vector", "earlier", "block")
 
-    def compare(table: pa.Table) -> pa.Table:
-        ids, block = table.column("node").to_numpy(), table.column("block").to_numpy()
-        units = unit_rows(to_matrix(table.column("vector").combine_chunks(), width))
-        earlier = table.column("earlier").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-        near = np.triu(np.round(units @ units.T, RANK_DIGITS) >= threshold, 1)
-        if block.min() != block.max():
-            near &= block[:, None] != block[None, :]
-        left, right = np.nonzero(near)
-        # A pair counts in the first table in which it meets.
-        first = np.ones(len(left), bool)
-        for column in earlier.T:
-            first &= column[left] != column[right]
-        count = np.bincount(left[first], minlength=len(ids)) + np.bincount(right[first], minlength=len(ids))
-        least = _least(ids, left, right)
-        told = np.zeros(len(ids), bool)
-        told[left] = told[right] = True
-        return pa.table([pa.array(a[told]) for a in (ids, count.astype(np.int64), least)], ["node", "links", "least"])
 
-    met = dealt.groupBy("key", "low", "high").applyInArrow(compare, "node long, links long, least long")
-    met = cut_lineage(met.groupBy("node", "least").agg(F.sum("links").alias("links")))
-    return met.groupBy("node").agg(F.sum("links").alias("links")), met.select(F.col("node").alias("a"), F.col("least").alias("b"))
+def _meeting() -> list[Column]:
+    """The two blocks whose meeting a row is sent to."""
+    return [F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+
+
+class _Hung:
+    """The smallest id that links connect each place with; links come in slabs, and are not kept."""
+
+    def __init__(self, ids: np.ndarray):
+        self.order = np.argsort(ids, kind="stable")
+        self.ids = ids[self.order]
+        self.place = np.empty_like(self.order)
+        self.place[self.order] = np.arange(len(ids))
+        self.label = np.arange(len(ids))
+        self.told = np.zeros(len(ids), bool)
 
+    def link(self, left: np.ndarray, right: np.ndarray) -> None:
+        self.told[left] = self.told[right] = True
+        a, b = self.label[self.place[left]], self.label[self.place[right]]
+        open_ = a != b
+        if not open_.any():
+            return
+        # Links between places that hang together already are settled; of the others one a pair of labels is enough.
+        a, b = np.divmod(np.unique(np.minimum(a, b)[open_] * len(self.ids) + np.maximum(a, b)[open_]), len(self.ids))
+        label = np.arange(len(self.ids))
+        while True:
+            lower = label.copy()
+            np.minimum.at(lower, a, label[b])
+            np.minimum.at(lower, b, label[a])
+            lower = lower[lower]
+            if (lower == label).all():
+                break
+            label = lower
+        self.label = label[self.label]
 
-def _least(ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest id that pairs of places connect each place with."""
-    order = np.argsort(ids, kind="stable")
-    place = np.empty_like(order)
-    place[order] = np.arange(len(ids))
-    a, b = place[left], place[right]
-    label = np.arange(len(ids))
-    while True:
-        lower = label.copy()
-        np.minimum.at(lower, a, label[b])
-        np.minimum.at(lower, b, label[a])
-        lower = lower[lower]
-        if (lower == label).all():
-            return ids[order][label[place]]
-        label = lower
+    def least(self) -> np.ndarray:
+        return self.ids[self.label[self.place]]

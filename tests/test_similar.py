@@ -93,3 +93,32 @@ def test_components(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(shuffled, "a long, b long")).collect()}
     assert found == {n: low for n, low in label.items() if n != low}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("way", ["cells", "tables"])
+def test_both_ways_against_brute_force(spark, rows, way, monkeypatch):
+    monkeypatch.setattr(similar, "BLOCK", 64)
+    monkeypatch.setattr(similar, "SLAB", 500)
+    monkeypatch.setattr(similar, "tables_work", lambda *_: np.inf if way == "cells" else -1.0)
+    frame = spark.createDataFrame(rows, "chunk_id long, embedding array<float>").repartition(5)
+    found = {r.chunk_id: (r.group_id, r.links, r.copies) for r in similar.similar_groups(frame, 0.95, 1e-9).collect()}
+    assert found == brute([(n, None if v is None else np.float32(v)) for n, v in rows], 0.95)
+
+
+def test_vectors_in_narrow_cones_are_sent_a_few_times():
+    rng = np.random.default_rng(11)
+    cones = np.abs(rng.standard_normal((8, 64)))
+    vectors = np.concatenate([c / np.linalg.norm(c) + 0.04 * rng.standard_normal((250, 64)) for c in cones])
+    vectors[1::5] = vectors[::5] + 0.01 * rng.standard_normal((400, 64))
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    centres, work = similar.centres_for(units[::2], len(units), 0.98)
+    others = (units[::2] @ units[::2].T)[np.triu_indices(1000, 1)]
+    others = others[others < 0.98]
+    assert work < similar.tables_work(len(units), *similar.projections(len(units), 0.98, 1e-4, others), others)
+    own, visits = similar.cells_of(units, centres, 0.98)
+    assert visits.sum() < 2 * len(units)
+    # Linked rows meet once: in the cell of both, or in the earlier one of their two.
+    left, right = np.nonzero(np.triu(units @ units.T >= 0.98, 1))
+    later = np.where(own[left] > own[right], left, right)
+    assert len(left) > 300 and (visits[later, np.minimum(own[left], own[right])] | (own[left] == own[right])).all()
+    assert not visits[np.arange(len(own)), own].any()
