@@ -1,5 +1,7 @@
+import tracemalloc
 from urllib.parse import urljoin
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,3 +181,19 @@ def test_odd_markup_gives_the_same_links_everywhere(spark):
     listed = html.list_page_links(pages, needle="/").orderBy("position").collect()
     assert [r.link for r in listed] == [f"https://h.org{w}" for w in wanted]
     assert html.extract_messages(pages).count() == 4
+
+
+def test_rows_of_a_batch_are_not_held_as_objects(monkeypatch):
+    monkeypatch.setattr(html, "_SLICE", 20_000)
+    page = "<title>t</title><main>" + "".join(f'<p>text {i} <a href="/a/{i}">label {i}</a></p>' for i in range(100)) + "</main>"
+    wanted = html._Page().walk(page).row()
+    for shape, row in ((html.PAGE, wanted), (html.LINKS, wanted["links"]), (html.HREFS, [link["href"] for link in wanted["links"]])):
+        peaks = []
+        for pages in (20, 400):
+            batch = pa.array([page, None, ""] + [page] * pages)
+            tracemalloc.start()
+            found = html._found(batch, html._Page, shape)
+            peaks.append(tracemalloc.get_traced_memory()[1])
+            tracemalloc.stop()
+            assert found[0].as_py() == found[len(found) - 1].as_py() == row and found[1].as_py() is None and len(found) == len(batch)
+        assert peaks[1] < 2 * peaks[0]
