@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,3 +159,37 @@ def test_mean_vectors(spark, corpus, vectors):
     means = {r.license: r["mean"] for r in search.mean_vectors(corpus.unionByName(extra), "license").collect()}
     for i, name in enumerate(("MIT", "ODbL-1.0")):
         assert np.allclose(means[name], vectors[i::2].astype(float).mean(axis=0))
+
+
+def test_equal_scores_are_kept_up_to_k_a_query():
+    ids = pa.array(np.random.default_rng(2).permutation(5000))
+    rows, goals = np.ones((5000, 4)) / 2, np.ones((300, 4)) / 2
+    rows[ids.to_numpy() % 2 == 1] = np.nan
+    rows[ids.to_numpy() == 4444, 0] = 0.9
+    for wanted, some in (([4444, 0, 2], goals), ([0, 1, 2], goals * np.nan)):
+        keep = search._Keeper(3)
+        keep.offer(ids, rows, np.arange(5000), some, np.arange(300))
+        # Held: k rows a query, not all that are equal.
+        assert keep.size == 3 * 300
+        query, chunk, _ = keep.result()
+        assert query.tolist() == np.repeat(np.arange(300), 3).tolist()
+        assert chunk.to_pylist() == wanted * 300
+
+
+def test_few_texts_are_strings_at_once():
+    seen = []
+
+    class Encoder:
+        def encode(self, texts):
+            seen.append(len(texts))
+            return np.ones((len(texts), 2))
+
+    texts = pa.array([None if i % 7 == 0 else f"{i} " * 2000 for i in range(1000)])
+    peaks = []
+    for part in (texts[:100], texts):
+        tracemalloc.start()
+        (found,) = list(embed._encoded(iter([part]), Encoder(), 10))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert found.to_pylist() == [None if t is None else [1.0, 1.0] for t in part.to_pylist()]
+    assert max(seen) == 10 and peaks[1] < 2 * peaks[0]
