@@ -1,7 +1,10 @@
 """Groups of similar vectors and connected components against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from corpusloom.operators import similar
 from corpusloom.operators.graph import components
@@ -122,3 +125,63 @@ def test_vectors_in_narrow_cones_are_sent_a_few_times():
     later = np.where(own[left] > own[right], left, right)
     assert len(left) > 300 and (visits[later, np.minimum(own[left], own[right])] | (own[left] == own[right])).all()
     assert not visits[np.arange(len(own)), own].any()
+
+
+def shuffled(spark):
+    """Bytes that all stages so far have written into shuffle files."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+    return {(s.stageId(), s.attemptId()): s.shuffleWriteBytes() for s in (stages.apply(i) for i in range(stages.size()))}
+
+
+@pytest.mark.parametrize("way", ["cells", "tables"])
+def test_a_crowd_is_not_sent_once_for_every_block_it_meets(spark, way, monkeypatch):
+    monkeypatch.setattr(similar, "tables_work", lambda *_: np.inf if way == "cells" else -1.0)
+    rng = np.random.default_rng(7)
+    vectors = rng.standard_normal(64) + 0.05 * rng.standard_normal((1500, 64))
+    frame = spark.createDataFrame([(n, v) for n, v in enumerate(vectors.tolist())], "chunk_id long, embedding array<float>")
+    sent = {}
+    for block in (8192, 100):
+        monkeypatch.setattr(similar, "BLOCK", block)
+        before = shuffled(spark)
+        found = similar.similar_groups(frame, 0.99)
+        assert {(r.group_id, r.links, r.copies) for r in found.collect()} == {(0, 1499, 1)}
+        sent[block] = sum(n for stage, n in shuffled(spark).items() if stage not in before)
+    assert sent[100] < 2 * sent[8192]
+
+
+def test_the_number_of_nodes_does_not_raise_how_often_one_is_sent():
+    rng = np.random.default_rng(13)
+    for threshold in (0.8, 0.95, 0.98):
+        assert similar.projections(10**9, threshold, 1e-4, np.linspace(-0.2, 0.2, 50))[1] <= similar.MOST_TABLES
+        noise = rng.standard_normal(16) / 2 + rng.standard_normal((1000, 16))
+        units = noise / np.linalg.norm(noise, axis=1, keepdims=True)
+        centres, _ = similar.centres_for(units, 10**9, threshold)
+        assert similar.cells_of(units, centres, threshold)[1].sum() <= similar.MOST_VISITS * len(units)
+
+
+def test_similarities_close_to_the_threshold(spark, monkeypatch):
+    """Single precision cannot tell them from the threshold."""
+    monkeypatch.setattr(similar, "BLOCK", 16)
+    offsets = [s * 10.0**-n for n in range(6, 14) for s in (1, -1)] + [0.0]
+    angles = [n + turn for n in range(3) for turn in [0.0] + [np.arccos(0.9 + o) for o in offsets]]
+    vectors = [[float(np.cos(a)), float(np.sin(a))] for a in angles]
+    frame = spark.createDataFrame(list(enumerate(vectors)), "chunk_id long, embedding array<double>").repartition(3)
+    matrix = np.array(vectors)
+    near = np.round(matrix @ matrix.T, 12) >= 0.9
+    label = closure(range(len(vectors)), list(zip(*(x.tolist() for x in np.nonzero(np.triu(near, 1))))))
+    found = {r.chunk_id: (r.group_id, r.links) for r in similar.similar_groups(frame, 0.9).collect()}
+    assert found == {n: (label[n], near[n].sum() - 1) for n in range(len(vectors))}
+
+
+def test_a_vector_is_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @arrow_udf("array<float>")
+    def model(numbers: pa.Array) -> pa.Array:
+        made.add(len(numbers))
+        return pa.array([[1.0, float(n)] for n in numbers.to_pylist()], pa.list_(pa.float32()))
+
+    found = similar.similar_groups(spark.range(50).select(F.col("id").alias("chunk_id"), model("id").alias("embedding")))
+    assert found.count() == 50 and made.value == 50
